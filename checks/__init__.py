@@ -33,5 +33,5 @@ def check(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from checks import (  # noqa: F401
-        dedup, scoring,
+        aggregates, dedup, enrichment, feeds, functions, pages, scoring, sinks, stores,
     )

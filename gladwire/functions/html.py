@@ -148,7 +148,9 @@ def post_content_links(body: Column) -> Column:
         depth, links = state["depth"], state["links"]
         is_open, start = depth > 0, F.lower(F.substring(tag, 1, 5))
         change = (
-            F.when(~is_open, F.lit(0)).when(start == "</div", F.lit(-1)).when(start == "<div", F.lit(1))
+            F.when(~is_open, F.lit(0))
+            .when(start == "</div", F.lit(-1))
+            .when(start.startswith("<div"), F.lit(1))
         )
         taken = is_open & start.startswith("<a")
         return F.struct(

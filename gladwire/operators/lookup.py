@@ -81,7 +81,8 @@ def compute_once(
     Gives (key and result columns for every key of ``rows``, the new entries).
     Rows with a null key are left out.
     """
-    jobs = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(*[F.first(i).alias(i) for i in inputs])
+    keyed = rows.filter(F.col(key).isNotNull()).select(key, *inputs)
+    jobs = keyed.dropDuplicates([key])
     fresh = compute(jobs if cache is None else cache_misses(jobs, cache, key)).drop(*inputs)
     if cache is None:
         return fresh, fresh

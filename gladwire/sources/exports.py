@@ -14,13 +14,22 @@ def _stamp(name: str):
     return format_datetime(name).alias(name)
 
 
+def order_final(articles: DataFrame) -> DataFrame:
+    """Newest crawl first, then by score, then by id; nulls last."""
+    return articles.orderBy(
+        F.desc_nulls_last("crawled_at"), F.desc_nulls_last("uplifting_score"), F.desc_nulls_last("id")
+    )
+
+
+def order_latest(crawled: DataFrame) -> DataFrame:
+    """Best score first, then by title; null titles first, as they sort lowest."""
+    return crawled.orderBy(F.desc_nulls_last("uplifting_score"), F.asc_nulls_first("title"))
+
+
 def final_export(articles: DataFrame, sources: DataFrame) -> DataFrame:
     """Final articles with the key of their source: newest crawl first, then by score, then id."""
     keys = sources.select(F.col("id").alias("source_id"), F.col("source_id").alias("source"))
-    joined = articles.join(keys, "source_id", "inner").orderBy(
-        F.desc_nulls_last("crawled_at"), F.desc_nulls_last("uplifting_score"), F.desc_nulls_last("id")
-    )
-    return joined.select(
+    return order_final(articles.join(keys, "source_id", "inner")).select(
         "id", "title", "url", "source_url", "external_url", "content", "summary", "thumbnail_url",
         "category", "category_confidence", scores_json("category_scores").alias("category_scores"),
         "source", "uplifting_score", _stamp("published_at"), _stamp("crawled_at"),
@@ -37,10 +46,7 @@ def latest_batch(crawled: DataFrame) -> DataFrame:
 def latest_export(crawled: DataFrame, sources: DataFrame) -> DataFrame:
     """Rows of the newest crawl with an uplifting yes/no, best score first, then title."""
     keys = sources.select(F.col("id").alias("source_id"), F.col("source_id").alias("source"))
-    rows = latest_batch(crawled).join(keys, "source_id", "inner").orderBy(
-        F.desc_nulls_last("uplifting_score"), F.asc_nulls_first("title")
-    )
-    return rows.select(
+    return order_latest(latest_batch(crawled).join(keys, "source_id", "inner")).select(
         "title", "source", "uplifting_score", yes_no(F.col("is_uplifting")).alias("uplifting"),
         "category", "category_confidence", scores_json("category_scores").alias("category_scores"),
         "summary", "url", "source_url", "external_url", _stamp("crawled_at"),
