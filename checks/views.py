@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from gladwire.functions.text import trim_title
 from gladwire.operators.merge import collapse
 from gladwire.operators.scoring import rule_scorer, score_news
+from gladwire.session import spread
 
 # words of the generated texts, in place of the built-in word lists
 POSITIVE = ("that", "with", "this", "anea", "tion")
@@ -45,7 +46,8 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        rows = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return spread(rows) if name in ("documents", "pages") else rows
 
     @cached_property
     def articles(self) -> DataFrame:

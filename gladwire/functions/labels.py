@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gladwire import fixed
-from gladwire.functions.text import _col, non_empty
+from gladwire.functions.text import _col, bind, non_empty
 
 
 def _lookup(table: dict[str, str]) -> Column:
@@ -65,8 +65,12 @@ def scores_from_json(text: Column | str) -> Column:
 
 def allowed_scores(scores: Column, allowed: Sequence[str]) -> Column:
     """Scores of the allowed labels; all scores where none of them is allowed."""
-    kept = F.map_filter(scores, lambda label, _: label.isin(*allowed))
-    return F.when(F.size(kept) == 0, scores).otherwise(kept)
+
+    def keep(scores: Column) -> Column:
+        kept = F.map_filter(scores, lambda label, _: label.isin(*allowed))
+        return bind(kept, lambda k: F.when(F.size(k) == 0, scores).otherwise(k))
+
+    return bind(scores, keep)
 
 
 def argmax_label(scores: Column) -> Column:

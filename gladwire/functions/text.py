@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 
 from gladwire import fixed
 
-# Whitespace incl. no-break and other Unicode spaces and the four separators.
+# Whitespace incl. no-break and other Unicode spaces and the four separators:
+# as single characters for trimming, and as a class for patterns.
+_SPACES = "".join(
+    map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+              0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
 _SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _NOT_SPACE = _SPACE.replace("[", "[^", 1)
 _WORD = r"\p{L}\p{N}_"
@@ -31,7 +36,7 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def trim_title(title: Column | str) -> Column:
     """Strip Unicode whitespace at both ends."""
-    return F.regexp_replace(_col(title), f"^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(_col(title), F.lit(_SPACES))
 
 
 def is_blank(text: Column | str) -> Column:
@@ -50,8 +55,11 @@ def word_count(text: Column | str) -> Column:
 
 
 def too_short(text: Column | str, min_words: int = fixed.SUMMARY_MIN_WORDS) -> Column:
-    """True where the text has fewer than ``min_words`` words."""
-    return word_count(text) < F.lit(min_words)
+    """True where the text has fewer than ``min_words`` words; reads no further than those."""
+    if min_words <= 0:
+        return _col(text).isNull() & F.lit(False)
+    gaps = f"(?:{_NOT_SPACE}++{_SPACE}++){{{min_words - 1}}}"
+    return ~_col(text).rlike(f"^{_SPACE}*+{gaps}{_NOT_SPACE}")
 
 
 def truncate_text(text: Column | str, limit: int = fixed.BODY_CHARS_FOR_SUMMARY) -> Column:
@@ -96,21 +104,31 @@ def words(text: Column | str) -> Column:
     return F.split(F.lower(_col(text)), f"[^{_WORD}]+")
 
 
+def _hits(tokens: Column, lowered: Column, hints: Sequence[str]) -> Column:
+    single, phrases = _split_hints([h for h in hints if h])
+    count = F.lit(0)
+    if single:
+        count = F.size(F.array_intersect(tokens, F.array(*[F.lit(h) for h in single])))
+    for phrase in phrases:
+        count = count + lowered.rlike(hint_pattern(phrase)).cast("int")
+    return F.coalesce(count, F.lit(0))
+
+
 def hint_hit_count(text: Column | str, hints: Sequence[str]) -> Column:
     """How many different hints occur in the text as whole words, in any case.
 
     One-word hints cost one split of the text whatever their number; only
     phrases need a pattern each.
     """
+    return _hits(words(text), F.lower(_col(text)), hints)
+
+
+def hint_hit_counts(text: Column | str, lexicons: Sequence[Sequence[str]]) -> Column:
+    """``hint_hit_count`` for several word lists as an array; the text is split once."""
     text = _col(text)
-    single, phrases = _split_hints([h for h in hints if h])
-    count = F.lit(0)
-    if single:
-        table = F.array(*[F.lit(h) for h in single])
-        count = F.size(F.array_intersect(words(text), table))
-    for phrase in phrases:
-        count = count + F.lower(text).rlike(hint_pattern(phrase)).cast("int")
-    return F.coalesce(count, F.lit(0))
+    return bind(
+        words(text), lambda tokens: F.array(*[_hits(tokens, F.lower(text), h) for h in lexicons])
+    )
 
 
 def has_hint(text: Column | str, hints: Sequence[str] = fixed.BASE_HINTS) -> Column:
@@ -134,8 +152,8 @@ def matched_hints(text: Column | str, hints: Sequence[str]) -> Column:
 
 def lead_summary(text: Column | str, max_words: int = fixed.SUMMARY_MAX_WORDS) -> Column:
     """The first three sentences, at most ``max_words`` words, single-spaced."""
-    sentences = F.slice(
-        F.regexp_extract_all(_col(text), F.lit("[^.!?]+[.!?]*"), F.lit(0)), 1, 3
+    sentences = F.regexp_extract(_col(text), r"^[.!?]*+((?:[^.!?]++[.!?]*+){1,3})", 1)
+    head = F.regexp_extract(
+        sentences, f"^{_SPACE}*+((?:{_NOT_SPACE}++{_SPACE}*+){{0,{max_words}}})", 1
     )
-    tokens = F.regexp_extract_all(F.array_join(sentences, ""), F.lit(f"{_NOT_SPACE}+"), F.lit(0))
-    return F.array_join(F.slice(tokens, 1, max_words), " ")
+    return trim_title(F.regexp_replace(head, f"{_SPACE}++", " "))

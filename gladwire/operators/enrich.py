@@ -11,7 +11,7 @@ from gladwire import fixed
 from gladwire.functions.html import thumbnail
 from gladwire.functions.labels import allowed_scores, argmax_label, category_key, summary_key
 from gladwire.functions.text import (
-    hint_hit_count, input_text, is_blank, lead_summary, non_empty, too_short, trim_title, truncate_text,
+    bind, hint_hit_counts, input_text, is_blank, lead_summary, non_empty, too_short, trim_title, truncate_text,
 )
 from gladwire.functions.urls import favicon_url
 from gladwire.operators.articles import column_or_null
@@ -30,11 +30,9 @@ def lexicon_topic_scorer(lexicon: Mapping[str, Sequence[str]]) -> TopicScorer:
     """Independent score per label: hits / (1 + hits) of the label's words."""
 
     def score(text: Column) -> Column:
-        entries = []
-        for label, words in lexicon.items():
-            hits = hint_hit_count(text, words).cast("double")
-            entries += [F.lit(label), hits / (hits + F.lit(1.0))]
-        return F.create_map(*entries)
+        names = F.array(*[F.lit(label) for label in lexicon])
+        counts = hint_hit_counts(text, list(lexicon.values()))
+        return F.map_from_arrays(names, F.transform(counts, lambda n: n / (n + F.lit(1.0))))
 
     return score
 
@@ -154,10 +152,15 @@ def summary_of(
     min_words: int = fixed.SUMMARY_MIN_WORDS,
 ) -> Column:
     """Null for blank text, the stripped text where it is short, else its summary."""
+
+    def shorten(stripped: Column) -> Column:
+        return F.when(stripped == "", F.lit(None)).when(too_short(stripped, min_words), stripped)
+
+    # the summariser may be a Python function, which cannot run inside a lambda
     stripped = trim_title(text)
-    short = too_short(stripped, min_words)
-    summary = trim_title(summariser(truncate_text(F.when(~short, stripped))))
-    return F.when(is_blank(text), F.lit(None)).when(short, stripped).otherwise(summary)
+    unchanged = bind(stripped, shorten)
+    long_text = F.when(~too_short(text, min_words), truncate_text(stripped))
+    return F.coalesce(unchanged, trim_title(summariser(long_text)))
 
 
 def summarize_texts(
