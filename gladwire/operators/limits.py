@@ -106,7 +106,7 @@ def take_per_source(sources: DataFrame, cap: int, limit: int) -> DataFrame:
         F.array().cast("array<struct<_block:bigint,_enter:int>>").alias("entered"),
     )
     entries = ordered.select(
-        F.explode(F.aggregate("_maps", initial, enter, lambda s: s["entered"])).alias("e")
+        F.explode_outer(F.aggregate("_maps", initial, enter, lambda s: s["entered"])).alias("e")
     ).select("e.*")
 
     def replay(state: Column, s: Column) -> Column:
@@ -122,7 +122,7 @@ def take_per_source(sources: DataFrame, cap: int, limit: int) -> DataFrame:
     )
     end = (
         blocks.join(entries, "_block")
-        .select(F.explode(F.aggregate("_steps", none_yet, replay, lambda s: s["taken"])).alias("t"))
+        .select(F.explode_outer(F.aggregate("_steps", none_yet, replay, lambda s: s["taken"])).alias("t"))
         .select("t.*")
     )
     return start.unionByName(end).filter(F.col("take") > 0)

@@ -143,7 +143,7 @@ def match_lexicon(titles: DataFrame, lexicon: DataFrame, title: str = "title") -
     """
     lowered = F.lower(F.col(title))
     found_words = F.array_distinct(F.filter(words(F.col(title)), lambda w: w != ""))
-    exploded = titles.withColumn("_word", F.explode(found_words))
+    exploded = titles.withColumn("_word", F.explode_outer(found_words))
     hint = F.lower("hint")
     escaped = F.regexp_replace(hint, r"([^\p{L}\p{N}_ ])", r"\\$1")
     inside, outside = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"

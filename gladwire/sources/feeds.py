@@ -92,9 +92,10 @@ def explode_entries(parsed: DataFrame, limit: int | None = None) -> DataFrame:
     """
     entries = F.col("entries") if limit is None else F.slice("entries", 1, limit)
     rest = [c for c in parsed.columns if c not in ("entries", "xml")]
-    return parsed.select(*rest, F.posexplode(entries).alias("pos", "_e")).select(
-        *rest, "pos", "_e.*"
-    )
+    # the outer form, as the inner one makes the planner test the array first,
+    # which parses every document once more
+    rows = parsed.select(*rest, F.posexplode_outer(entries).alias("pos", "_e"))
+    return rows.filter(F.col("pos").isNotNull()).select(*rest, "pos", "_e.*")
 
 
 def feed_entries(feeds: DataFrame, limit: int | None = None) -> DataFrame:

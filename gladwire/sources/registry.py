@@ -64,7 +64,9 @@ def registry_problems(raw: DataFrame, record: str = "record", order: str = "ord"
         F.concat(F.lit("Source["), F.col(order).cast("string"), F.lit("] is not a record"))
     )
     problems = F.when(keys.isNull(), no_record).otherwise(F.array_compact(rules))
-    return raw.select(order, F.explode(problems).alias("problem"))
+    return raw.select(order, F.explode_outer(problems).alias("problem")).filter(
+        F.col("problem").isNotNull()
+    )
 
 
 def validate_registry(raw: DataFrame, record: str = "record", order: str = "ord") -> DataFrame:
