@@ -92,7 +92,8 @@ def known_urls_union(t: Tables) -> DataFrame:
     SELECT title, {stamp("published_at")} AS published_at
     FROM (SELECT title, published_at FROM v_raw UNION SELECT title, published_at FROM v_final)""")
 def known_pairs_union(t: Tables) -> DataFrame:
-    return dedup.known_pairs(t.raw, t.final).withColumn("published_at", format_datetime("published_at"))
+    pairs = dedup.known_pairs(t.raw, t.final).distinct()
+    return pairs.withColumn("published_at", format_datetime("published_at"))
 
 
 @check("resolve_source_id", """

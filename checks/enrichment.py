@@ -98,7 +98,7 @@ def categorize_batch(t: Tables) -> DataFrame:
     FROM {_scored(_LABELS)} a""")
 def categorize_cached(t: Tables) -> DataFrame:
     names = F.array(*[F.lit(label) for label in _LABELS])
-    cache = t.raw.select(category_key("title", "body", names).alias("cache_key")).distinct().select(
+    cache = t.raw_with_body.select(category_key("title", "body", names).alias("cache_key")).distinct().select(
         "cache_key", F.lit("cached").alias("category"),
         F.create_map(F.lit("cached"), F.lit(1.0)).alias("scores"), F.lit(1.0).alias("confidence"),
     )

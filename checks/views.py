@@ -72,12 +72,18 @@ class Tables:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return collapse(self.labelled, "url", "seq", kept=("id", "source_id"))
+        return self._stored(self.labelled.drop("body"))
+
+    @cached_property
+    def raw_with_body(self) -> DataFrame:
+        return self._stored(self.labelled)
 
     @cached_property
     def final(self) -> DataFrame:
-        good = self.labelled.filter(F.col("quality") == 1)
-        return collapse(good, "url", "seq", kept=("id", "source_id"))
+        return self._stored(self.labelled.filter(F.col("quality") == 1).drop("body"))
+
+    def _stored(self, rows: DataFrame) -> DataFrame:
+        return collapse(rows, "url", "seq", kept=("id", "source_id"))
 
     @cached_property
     def scored(self) -> DataFrame:

@@ -1,10 +1,11 @@
 """Dropping articles that the stores already hold.
 
-Both passes are anti joins. The known side is reduced to distinct keys, so a
-key with many copies on it costs one row; a key with many copies in the batch
-is split by the runtime plan's skew handling, which may cut the left side of an
-anti join. Rows that take no part in the second pass get null keys and a hash
-of their url, so they neither match nor gather in one partition.
+Both passes are anti joins. The known side is reduced to distinct keys in the
+partitioning of the join, so a key with many copies there costs one row; a key
+with many copies in the batch is split by the runtime plan's skew handling,
+which may cut the left side of an anti join. Rows that take no part in the
+second pass get a key that nothing matches, different for each url, so they do
+not gather in one partition.
 """
 
 from __future__ import annotations
@@ -22,9 +23,9 @@ def known_urls(raw: DataFrame, final: DataFrame) -> DataFrame:
 
 
 def known_pairs(raw: DataFrame, final: DataFrame) -> DataFrame:
-    """Distinct (title, published_at) of both stores; rows with a null never match."""
+    """(title, published_at) of both stores, without those that have a null; may repeat."""
     pairs = raw.select("title", "published_at").unionByName(final.select("title", "published_at"))
-    return pairs.filter(F.col("title").isNotNull() & F.col("published_at").isNotNull()).distinct()
+    return pairs.filter(F.col("title").isNotNull() & F.col("published_at").isNotNull())
 
 
 def drop_known_urls(batch: DataFrame, known: DataFrame) -> DataFrame:
@@ -33,35 +34,28 @@ def drop_known_urls(batch: DataFrame, known: DataFrame) -> DataFrame:
     return batch.join(keys, F.coalesce(batch["url"], F.lit("")) == keys["_url"], "left_anti")
 
 
-def _drop_known_titles(batch: DataFrame, known: DataFrame, when: Column, known_when: Column) -> DataFrame:
+def _drop_known_titles(batch: DataFrame, known: DataFrame, when: Column) -> DataFrame:
+    """``when`` is the date as text; the mark before a hash occurs in no date."""
     complete = non_empty("title").isNotNull() & when.isNotNull()
+    unmatched = F.concat(F.lit("?"), F.hash("url", "title").cast("string"))
     marked = batch.withColumns(
         {
-            "_title": F.when(complete, F.col("title")),
-            "_when": F.when(complete, when),
-            "_spread": F.when(complete, F.lit(0)).otherwise(F.hash("url", "title")),
+            "_title": F.when(complete, F.col("title")).otherwise(F.lit("")),
+            "_when": F.when(complete, when).otherwise(unmatched),
         }
     )
-    keys = known.select(
-        F.col("title").alias("_title"), known_when.alias("_when"), F.lit(0).alias("_spread")
-    ).distinct()
-    return marked.join(keys, ["_title", "_when", "_spread"], "left_anti").drop(
-        "_title", "_when", "_spread"
-    )
+    keys = known.select(F.col("title").alias("_title"), when.alias("_when")).distinct()
+    return marked.join(keys, ["_title", "_when"], "left_anti").drop("_title", "_when")
 
 
 def drop_known_titles(batch: DataFrame, known: DataFrame) -> DataFrame:
     """Batch rows whose title and date, to the second, are not known."""
-    return _drop_known_titles(
-        batch, known, format_datetime("published_at"), format_datetime("published_at")
-    )
+    return _drop_known_titles(batch, known, format_datetime("published_at"))
 
 
 def drop_known_titles_by_day(batch: DataFrame, known: DataFrame) -> DataFrame:
     """Batch rows whose title and calendar day are not known."""
-    return _drop_known_titles(
-        batch, known, F.to_date("published_at"), F.to_date("published_at")
-    )
+    return _drop_known_titles(batch, known, F.date_format("published_at", "yyyy-MM-dd"))
 
 
 def drop_known(batch: DataFrame, raw: DataFrame, final: DataFrame) -> DataFrame:

@@ -97,6 +97,7 @@ def run_batch(
     gives. Source keys must be in the sources table. All tables change in one
     commit at the end; a run that dies before leaves the store as it was.
     """
+    store.refresh()
     run = _Run(store, options)
     landed = run.keep("batch", fill_url_and_date(batch))
     fetched = landed.count()

@@ -43,6 +43,7 @@ class ArticleStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._newest: tuple[int, dict[str, list[str]]] | None = None
 
     # --- commits ---
 
@@ -56,13 +57,19 @@ class ArticleStore:
                 raise
             return self.spark.createDataFrame([], _COMMITS)
 
-    def _latest(self):
-        return self._commits().orderBy(F.desc("commit_id")).limit(1).collect()
+    def _latest(self) -> tuple[int, dict[str, list[str]]]:
+        if self._newest is None:
+            rows = self._commits().orderBy(F.desc("commit_id")).limit(1).collect()
+            self._newest = (rows[0]["commit_id"], dict(rows[0]["tables"])) if rows else (-1, {})
+        return self._newest
+
+    def refresh(self) -> None:
+        """Look for commits of other writers at the next call."""
+        self._newest = None
 
     def tables(self) -> dict[str, list[str]]:
         """Folders of each table in the newest commit."""
-        rows = self._latest()
-        return dict(rows[0]["tables"]) if rows else {}
+        return dict(self._latest()[1])
 
     def last_batch_id(self) -> int | None:
         """The highest batch id committed by a stream."""
@@ -70,11 +77,12 @@ class ArticleStore:
 
     def commit(self, tables: Mapping[str, Sequence[str]], batch_id: int | None = None) -> int:
         """Make the given folder lists current; other tables stay as they are."""
-        rows = self._latest()
-        merged = {**(dict(rows[0]["tables"]) if rows else {}), **{k: list(v) for k, v in tables.items()}}
-        commit_id = (rows[0]["commit_id"] + 1) if rows else 0
+        newest, current = self._latest()
+        merged = {**current, **{name: list(folders) for name, folders in tables.items()}}
+        commit_id = newest + 1
         row = self.spark.createDataFrame([(commit_id, batch_id, merged)], _COMMITS)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
+        self._newest = (commit_id, merged)
         return commit_id
 
     # --- reading ---
