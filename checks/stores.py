@@ -124,13 +124,9 @@ def _store(t: Tables) -> ArticleStore:
     store = ArticleStore(t.spark, new_folder(t.spark, "store"))
     store.replace("sources", _as(t, "sources", t.sources))
     scored = t.labelled.withColumn("uplifting_score", rule_scorer(POSITIVE, NEGATIVE)(F.col("title")))
-    rows = _article_rows(scored)
-    store.commit(
-        {
-            "crawled_articles": store.stage_batch("crawled_articles", rows),
-            "articles": store.stage_batch("articles", rows.filter(F.col("uplifting_score") >= 0.6)),
-        }
-    )
+    raw = store.stage_batch("crawled_articles", _article_rows(scored))
+    good = store.read_folders("crawled_articles", raw).filter("is_uplifting").drop("is_uplifting")
+    store.commit({"crawled_articles": raw, "articles": [store.stage("articles", good)]})
     return store
 
 

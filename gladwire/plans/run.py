@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -19,6 +20,8 @@ from gladwire.operators.enrich import (
 from gladwire.operators.lookup import with_source_ids
 from gladwire.operators.metrics import new_crawl_id
 from gladwire.operators.scoring import Scorer, below_threshold, filter_positive, purge_below, score_news
+from gladwire.sources.exports import article_events, write_events
+from gladwire.sources.feeds import Adapter, crawl_entries, stamped_entries
 from gladwire.sources.store import ArticleStore
 
 
@@ -37,6 +40,7 @@ class RunOptions:
     pages: DataFrame | None = None
     summary_mode: str = "summary"
     summariser: Summariser = lead_summary
+    events_path: str | None = None
     compact_after: int = 20
 
 
@@ -50,6 +54,7 @@ class RunReport:
     counts: dict[str, int] = field(default_factory=dict)
     avg_score: float | None = None
     errors: list[str] = field(default_factory=list)
+    stage_ms: dict[str, float] = field(default_factory=dict)
 
     @property
     def status(self) -> str:
@@ -73,7 +78,9 @@ class _Run:
         read instead of the stages before.
         """
         path = f"{self.folder}/{name}"
+        started = time.monotonic()
         rows.write.parquet(path)
+        self.report.stage_ms[name] = round((time.monotonic() - started) * 1000, 1)
         return self.store.spark.read.schema(rows.schema).parquet(path)
 
     def attempt(self, name: str, rows: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -97,8 +104,33 @@ def run_batch(
     gives. Source keys must be in the sources table. All tables change in one
     commit at the end; a run that dies before leaves the store as it was.
     """
-    store.refresh()
+    return _run(_Run(store, options), batch, batch_id)
+
+
+def run_crawl(
+    store: ArticleStore,
+    feeds: DataFrame,
+    registry: DataFrame,
+    options: RunOptions = RunOptions(),
+    limit_per_source: int = 50,
+    max_articles: int | None = None,
+    post_pages: DataFrame | None = None,
+    adapters: Mapping[str, Adapter] | None = None,
+) -> RunReport:
+    """Run the feeds of all sources into the store.
+
+    The entries are written once and then read by every adapter, so that each
+    document is parsed once.
+    """
     run = _Run(store, options)
+    entries = run.keep("entries", stamped_entries(feeds, registry))
+    cap = max_articles if max_articles and max_articles > 0 else None
+    return _run(run, crawl_entries(entries, limit_per_source, cap, post_pages, adapters), None)
+
+
+def _run(run: _Run, batch: DataFrame, batch_id: int | None) -> RunReport:
+    store, options = run.store, run.options
+    store.refresh()
     landed = run.keep("batch", fill_url_and_date(batch))
     fetched = landed.count()
 
@@ -120,9 +152,11 @@ def run_batch(
     ).collect()[0]
     run.report.avg_score = totals["avg"]
     run.report.counts.update(
-        articles_classified=totals["n"], articles_categorized=totals["categorized"],
+        articles_classified=totals["n"], articles_categorized=totals["categorized"] if options.topic_scorer else 0,
         articles_summarized=totals["summarized"], articles_stored=totals["n"],
     )
+    if options.events_path:
+        write_events(article_events(enriched, "article_processed", "summarized"), options.events_path)
     folders = {
         "crawled_articles": _stage_rows(run, "crawled_articles", raw_rows),
         "articles": _stage_final(run, enriched),
@@ -201,7 +235,30 @@ def _finish(run: _Run, folders: dict[str, list[str]], batch_id: int | None) -> R
     metrics = store.spark.createDataFrame([row], schemas.CRAWL_METRICS)
     folders["crawl_metrics"] = [*store.tables().get("crawl_metrics", []), store.stage("crawl_metrics", metrics)]
     store.commit(folders, batch_id)
+    if run.options.events_path:
+        write_events(_run_events(run), run.options.events_path)
     for name in ("articles", "crawled_articles"):
         if len(store.tables().get(name, [])) > run.options.compact_after:
             store.compact(name)
     return report
+
+
+def _run_events(run: _Run) -> DataFrame:
+    """One event per written stage and one for the whole run."""
+    report, schema = run.report, "event string, crawl_id string, status string, duration_ms double, " + ", ".join(
+        f"{name} long" for name in _COUNTS
+    )
+    blank = (None,) * len(_COUNTS)
+    rows = [
+        (f"{name}_complete", report.crawl_id, "success", ms, *blank) for name, ms in report.stage_ms.items()
+    ]
+    whole = round((report.end - report.start).total_seconds() * 1000, 1)
+    counts = tuple(report.counts.get(name) for name in _COUNTS)
+    rows.append(("crawl_complete", report.crawl_id, report.status, whole, *counts))
+    return run.store.spark.createDataFrame(rows, schema).coalesce(1)
+
+
+_COUNTS = (
+    "articles_fetched", "articles_skipped", "articles_new", "articles_classified",
+    "articles_categorized", "articles_summarized", "articles_stored",
+)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gladwire import schemas
 from gladwire.operators.articles import add_missing_columns
-from gladwire.plans.run import RunOptions, run_batch
+from gladwire.plans.run import RunOptions, run_batch, run_crawl
 from gladwire.sources import exports
 from gladwire.sources.store import ArticleStore
 from gladwire.streaming.ingest import drop_repeats, ingest_stream
@@ -177,3 +177,18 @@ def test_stream_dedup(spark, tmp_path):
              .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
     query.awaitTermination()
     assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["u1", "u2", "u3"]
+
+
+def test_crawl_into_the_store_with_events(spark, store, tmp_path):
+    from tests.test_feeds import BROKEN, RSS
+
+    feeds = spark.createDataFrame([("Local", RSS), ("BBCNews", BROKEN)], "source_id string, xml string")
+    registry = spark.createDataFrame([("Local", 0, "u", None, None), ("BBCNews", 1, "u", None, None)],
+                                     "source_id string, source_ord int, rss_url string, adapter string, threshold double")
+    options = RunOptions(threshold=0.1, events_path=str(tmp_path / "events"))
+    report = run_crawl(store, feeds, registry, options, limit_per_source=10, max_articles=5)
+    assert report.counts["articles_fetched"] == 2 and report.counts["articles_stored"] == 2
+    assert stored(store, "articles", "url") == [("https://a.org/1",), ("https://a.org/3",)]
+    events = spark.read.json(str(tmp_path / "events"))
+    assert events.filter("event = 'article_processed'").count() == 2
+    assert events.filter("event = 'crawl_complete' and articles_stored = 2").count() == 1
