@@ -177,7 +177,7 @@ def global_cap(t: Tables) -> DataFrame:
 
 @check("richer_snapshot", """
     SELECT doc_id AS source_id, CASE WHEN n_content > n_url THEN 'content' ELSE 'url' END AS copy,
-           greatest(n_content, n_url) AS entries
+           CAST(greatest(n_content, n_url) AS INTEGER) AS entries
     FROM (SELECT doc_id, len(string_split(text, chr(10))) AS n_content,
                  len(string_split(text, '. ')) AS n_url FROM documents)""")
 def richer_snapshot(t: Tables) -> DataFrame:

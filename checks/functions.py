@@ -9,7 +9,7 @@ from gladwire import fixed, schemas
 from gladwire.functions import dates, labels, text, urls
 from gladwire.operators import articles as article_ops
 
-_WORDS = r"len(regexp_extract_all(body, '\S+'))"
+_WORDS = r"CAST(len(regexp_extract_all(body, '\S+')) AS INTEGER)"
 
 
 @check("trim_title", r"""

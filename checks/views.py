@@ -179,7 +179,7 @@ VIEWS = {
                min(lang) AS category
         FROM documents GROUP BY source""",
     "v_lines": """
-        SELECT doc_id, lang, source, n_chars, i - 1 AS pos, lines[i] AS line
+        SELECT doc_id, lang, source, n_chars, CAST(i - 1 AS INTEGER) AS pos, lines[i] AS line
         FROM (SELECT *, string_split(text, chr(10)) AS lines FROM documents),
              LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS i)""",
 }

@@ -15,7 +15,7 @@ from gladwire.functions.text import (
 )
 from gladwire.functions.urls import favicon_url
 from gladwire.operators.articles import column_or_null
-from gladwire.operators.lookup import compute_once, fill_missing, join_results
+from gladwire.operators.lookup import distinct_misses, fill_missing, join_results, with_cached
 
 # A topic scorer maps the input text to a map label -> score.
 TopicScorer = Callable[[Column], Column]
@@ -47,6 +47,53 @@ def probabilities_scorer(predict: Callable[[Column], Column], labels: Sequence[s
     return score
 
 
+def _top_category(jobs: DataFrame, text: Column, scorer: TopicScorer, categories: Sequence[str]) -> DataFrame:
+    """Add the scores of the allowed labels, the best label and its score."""
+    scored = jobs.withColumn("scores", allowed_scores(scorer(text), categories))
+    named = scored.withColumn("_best", argmax_label(F.col("scores")))
+    return named.withColumn("confidence", F.col("scores")[F.col("_best")])
+
+
+def _category_columns(best: str) -> dict[str, Column]:
+    titled = non_empty("title").isNotNull()
+    none = F.create_map().cast("map<string,double>")
+    return {
+        "category": F.when(titled, F.col(best)),
+        "category_scores": F.when(titled, F.col("scores")).otherwise(none),
+        "category_confidence": F.when(titled, F.col("confidence")).otherwise(F.lit(0.0)),
+    }
+
+
+def with_category_key(
+    articles: DataFrame, categories: Sequence[str] = fixed.TOPICS, body: str = "body"
+) -> DataFrame:
+    """Add the cache key of each article, null where it has no title."""
+    names = F.array(*[F.lit(c) for c in categories])
+    key = category_key("title", column_or_null(articles, body), names)
+    return articles.withColumn("cache_key", F.when(non_empty("title").isNotNull(), key))
+
+
+def new_categories(
+    keyed: DataFrame,
+    scorer: TopicScorer,
+    categories: Sequence[str] = fixed.TOPICS,
+    cache: DataFrame | None = None,
+    body: str = "body",
+) -> DataFrame:
+    """Cache entries for the keys that the cache lacks, each scored once."""
+    texts = keyed.withColumn("_text", input_text(F.col("title"), column_or_null(keyed, body)))
+    jobs = distinct_misses(texts, "cache_key", ["_text"], cache)
+    return _top_category(jobs, F.col("_text"), scorer, categories).select(
+        "cache_key", F.col("_best").alias("category"), "scores", "confidence"
+    )
+
+
+def fill_categories(keyed: DataFrame, entries: DataFrame) -> DataFrame:
+    """Category columns from cache entries."""
+    joined = join_results(keyed, entries.withColumnRenamed("category", "_best"), "cache_key")
+    return joined.withColumns(_category_columns("_best")).drop("_best", "scores", "confidence", "cache_key")
+
+
 def categorize(
     articles: DataFrame,
     scorer: TopicScorer,
@@ -62,50 +109,13 @@ def categorize(
     with ``once_per_text`` or a cache each different (title, body) is scored
     once. Gives (articles, new cache entries or None).
     """
-    names = F.array(*[F.lit(c) for c in categories])
-    body_col = column_or_null(articles, body)
-    titled = non_empty("title").isNotNull()
-    columns = {
-        "category": F.when(titled, F.col("_category")),
-        "category_scores": F.when(titled, F.col("_scores")).otherwise(
-            F.create_map().cast("map<string,double>")
-        ),
-        "category_confidence": F.when(titled, F.col("_confidence")).otherwise(F.lit(0.0)),
-    }
-
-    def add_scores(jobs: DataFrame, text: Column) -> DataFrame:
-        scored = jobs.withColumn("_scores", allowed_scores(scorer(text), categories))
-        top = argmax_label(F.col("_scores"))
-        return scored.withColumn("_category", top).withColumn(
-            "_confidence", F.col("_scores")[F.col("_category")]
-        )
-
-    temporary = ("_category", "_scores", "_confidence", "_key", "_text")
     if cache is None and not once_per_text:
-        done = add_scores(articles, input_text(F.col("title"), body_col))
-        return done.withColumns(columns).drop(*temporary), None
-
-    keyed = articles.withColumns(
-        {
-            "_key": F.when(titled, category_key("title", body_col, names)),
-            "_text": input_text(F.col("title"), body_col),
-        }
-    )
-    stored = None
-    if cache is not None:
-        stored = cache.select(
-            F.col("cache_key").alias("_key"), F.col("scores").alias("_scores"),
-            F.col("category").alias("_category"), F.col("confidence").alias("_confidence"),
-        )
-    results, fresh = compute_once(
-        keyed, "_key", ["_text"], lambda jobs: add_scores(jobs, F.col("_text")), stored
-    )
-    done = join_results(keyed.drop("_text"), results, "_key").withColumns(columns).drop(*temporary)
-    entries = fresh.select(
-        F.col("_key").alias("cache_key"), F.col("_category").alias("category"),
-        F.col("_scores").alias("scores"), F.col("_confidence").alias("confidence"),
-    )
-    return done, entries
+        text = input_text(F.col("title"), column_or_null(articles, body))
+        done = _top_category(articles, text, scorer, categories)
+        return done.withColumns(_category_columns("_best")).drop("_best", "scores", "confidence"), None
+    keyed = with_category_key(articles, categories, body)
+    fresh = new_categories(keyed, scorer, categories, cache, body)
+    return fill_categories(keyed, with_cached(fresh, cache)), fresh
 
 
 # --- thumbnails --------------------------------------------------------------
@@ -122,25 +132,31 @@ def page_thumbnails(pages: DataFrame) -> DataFrame:
     return page_html(pages).select("url", thumbnail("html", "url").alias("thumbnail_url"))
 
 
-def add_thumbnails(
-    articles: DataFrame, pages: DataFrame, cache: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Fill missing thumbnails from the pages of the articles; the icon where there is no page.
+def new_thumbnails(articles: DataFrame, pages: DataFrame, cache: DataFrame | None = None) -> DataFrame:
+    """Cache entries for the urls that the cache lacks; the icon where there is no page.
 
-    ``pages`` has one row per url. Only pages of articles are parsed, each once.
-    Gives (articles, new cache entries).
+    ``pages`` has one row per url. Only pages of such urls are parsed, each once.
     """
+    urls = articles.select(non_empty("url").alias("url"))
+    jobs = distinct_misses(urls, "url", [], cache)
+    found = page_thumbnails(pages.join(jobs, "url", "left_semi"))
+    return jobs.join(found, "url", "left").select(
+        "url", F.coalesce("thumbnail_url", favicon_url("url")).alias("thumbnail_url")
+    )
 
-    def from_pages(jobs: DataFrame) -> DataFrame:
-        found = page_thumbnails(pages.join(jobs.select("url"), "url", "left_semi"))
-        return jobs.join(found, "url", "left").withColumn(
-            "thumbnail_url", F.coalesce("thumbnail_url", favicon_url("url"))
-        )
 
-    wanted = articles.filter(non_empty("url").isNotNull()).select("url")
-    results, fresh = compute_once(wanted, "url", [], from_pages, cache)
-    joined = join_results(articles, results.withColumnRenamed("thumbnail_url", "_thumbnail"), "url")
-    return fill_missing(joined, "thumbnail_url", F.col("_thumbnail")).drop("_thumbnail"), fresh
+def fill_thumbnails(articles: DataFrame, entries: DataFrame) -> DataFrame:
+    """Thumbnails from cache entries where an article has none."""
+    named = entries.select("url", F.col("thumbnail_url").alias("_thumbnail"))
+    return fill_missing(join_results(articles, named, "url"), "thumbnail_url", F.col("_thumbnail")).drop("_thumbnail")
+
+
+def add_thumbnails(
+    articles: DataFrame, pages: DataFrame, cache: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Fill missing thumbnails from the pages of the articles; gives (articles, new cache entries)."""
+    fresh = new_thumbnails(articles, pages, cache)
+    return fill_thumbnails(articles, with_cached(fresh, cache)), fresh
 
 
 # --- summaries ---------------------------------------------------------------
@@ -163,6 +179,37 @@ def summary_of(
     return F.coalesce(unchanged, trim_title(summariser(long_text)))
 
 
+def with_summary_key(
+    texts: DataFrame,
+    text: Column,
+    max_words: int = fixed.SUMMARY_MAX_WORDS,
+    min_words: int = fixed.SUMMARY_MIN_WORDS,
+) -> DataFrame:
+    """Add ``summary_text`` and its cache key, null where the text is blank."""
+    key = summary_key(trim_title("summary_text"), max_words, min_words)
+    return texts.withColumn("summary_text", text).withColumn(
+        "cache_key", F.when(~is_blank("summary_text"), key)
+    )
+
+
+def new_summaries(
+    keyed: DataFrame,
+    summariser: Summariser = lead_summary,
+    min_words: int = fixed.SUMMARY_MIN_WORDS,
+    cache: DataFrame | None = None,
+) -> DataFrame:
+    """Cache entries for the keys that the cache lacks, each summarised once."""
+    jobs = distinct_misses(keyed, "cache_key", ["summary_text"], cache)
+    return jobs.select(
+        "cache_key", summary_of(F.col("summary_text"), summariser, min_words).alias("summary")
+    )
+
+
+def fill_summaries(keyed: DataFrame, entries: DataFrame) -> DataFrame:
+    """Summaries from cache entries; null where the text is blank."""
+    return join_results(keyed.drop("summary"), entries, "cache_key").drop("cache_key", "summary_text")
+
+
 def summarize_texts(
     texts: DataFrame,
     column: str = "text",
@@ -176,19 +223,18 @@ def summarize_texts(
 
     Gives (texts, new cache entries or None).
     """
-    empty = F.coalesce(F.col("summary"), F.lit(""))
     if cache is None and not once_per_text:
-        done = texts.withColumn("summary", summary_of(F.col(column), summariser, min_words))
-        return done.withColumn("summary", empty), None
-    key = summary_key(trim_title(column), max_words, min_words)
-    keyed = texts.withColumn("cache_key", F.when(~is_blank(column), key))
+        done, fresh = texts.withColumn("summary", summary_of(F.col(column), summariser, min_words)), None
+    else:
+        keyed = with_summary_key(texts, F.col(column), max_words, min_words)
+        fresh = new_summaries(keyed, summariser, min_words, cache)
+        done = fill_summaries(keyed, with_cached(fresh, cache))
+    return done.withColumn("summary", F.coalesce("summary", F.lit(""))), fresh
 
-    def compute(jobs: DataFrame) -> DataFrame:
-        return jobs.withColumn("summary", summary_of(F.col(column), summariser, min_words))
 
-    results, fresh = compute_once(keyed, "cache_key", [column], compute, cache)
-    done = join_results(keyed.drop("summary"), results, "cache_key").withColumn("summary", empty)
-    return done.drop("cache_key"), fresh
+def summary_source(articles: DataFrame, body: str = "body") -> Column:
+    """The text that a run summarises: the body, else the title."""
+    return F.coalesce(non_empty(column_or_null(articles, body)), F.col("title"))
 
 
 def add_summaries(
@@ -202,5 +248,5 @@ def add_summaries(
     elif mode in ("none", "skip", "off"):
         value = F.lit(None).cast("string")
     else:
-        value = summary_of(F.coalesce(non_empty(text), title), summariser)
+        value = summary_of(summary_source(articles, body), summariser)
     return articles.withColumn("summary", value)

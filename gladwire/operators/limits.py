@@ -129,25 +129,25 @@ def take_per_source(sources: DataFrame, cap: int, limit: int) -> DataFrame:
 
 
 def global_cap(
-    entries: DataFrame, cap: int, limit: int, valid: Column, order: str = "pos"
+    entries: DataFrame, cap: int, limit: int, valid: Column, order: str = "pos", dense: bool = False
 ) -> DataFrame:
     """Entries kept under a cap over all sources, invalid ones dropped.
 
-    ``entries`` has ``source_ord`` and ``order`` unique within a source.
+    ``entries`` has ``source_ord`` and ``order`` unique within a source. Where
+    ``order`` counts from 0 without gaps, say ``dense``: no ranking is needed.
     """
-    cut = limit_per_source(entries, limit, "source_ord", order).withColumn("_valid", valid)
-    rank = F.row_number().over(Window.partitionBy("source_ord").orderBy(order))
-    ranked = cut.withColumn("_rank", rank)
-    flags = ranked.groupBy("source_ord").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("_rank", "_valid"))), lambda s: s["_valid"]
-        ).alias("flags")
-    )
-    takes = take_per_source(
-        flags.withColumn("source_ord", F.col("source_ord").cast("long")), cap, limit
+    if dense:
+        ranked = entries.filter(F.col(order) < limit).withColumn("_rank", F.col(order) + 1)
+    else:
+        rank = F.row_number().over(Window.partitionBy("source_ord").orderBy(order))
+        ranked = limit_per_source(entries, limit, "source_ord", order).withColumn("_rank", rank)
+    ranked = ranked.withColumn("_valid", valid)
+    in_order = F.array_sort(F.collect_list(F.struct("_rank", "_valid")))
+    flags = ranked.groupBy(F.col("source_ord").cast("long").alias("source_ord")).agg(
+        F.transform(in_order, lambda s: s["_valid"]).alias("flags")
     )
     return (
-        ranked.join(takes, "source_ord")
+        ranked.join(take_per_source(flags, cap, limit), "source_ord")
         .filter((F.col("_rank") <= F.col("take")) & F.col("_valid"))
         .drop("_rank", "_valid", "take")
     )

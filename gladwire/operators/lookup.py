@@ -6,8 +6,6 @@ a side is under its limit, and sorts and merges beyond.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,26 +66,18 @@ def cache_misses(wanted: DataFrame, cache: DataFrame, key: str) -> DataFrame:
     return wanted.join(cache.select(key), key, "left_anti")
 
 
-def compute_once(
-    rows: DataFrame,
-    key: str,
-    inputs: list[str],
-    compute: Callable[[DataFrame], DataFrame],
-    cache: DataFrame | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Per distinct key compute once, take the rest from the cache, join back.
-
-    ``compute`` gets a frame of the key and ``inputs`` and adds result columns.
-    Gives (key and result columns for every key of ``rows``, the new entries).
-    Rows with a null key are left out.
-    """
+def distinct_misses(
+    rows: DataFrame, key: str, inputs: list[str], cache: DataFrame | None = None
+) -> DataFrame:
+    """Each key of the rows once, with its inputs, where the cache lacks it; null keys are left out."""
     keyed = rows.filter(F.col(key).isNotNull()).select(key, *inputs)
     jobs = keyed.dropDuplicates([key])
-    fresh = compute(jobs if cache is None else cache_misses(jobs, cache, key)).drop(*inputs)
-    if cache is None:
-        return fresh, fresh
-    hits = cache.join(jobs.select(key), key, "left_semi")
-    return hits.unionByName(fresh), fresh
+    return jobs if cache is None else cache_misses(jobs, cache, key)
+
+
+def with_cached(fresh: DataFrame, cache: DataFrame | None) -> DataFrame:
+    """New entries together with the cached ones."""
+    return fresh if cache is None else cache.select(*fresh.columns).unionByName(fresh)
 
 
 def join_results(rows: DataFrame, results: DataFrame, key: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.ml import Transformer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,7 +51,11 @@ def select_scorer(mode: str = "rules", model: Scorer | None = None) -> Scorer:
     return model
 
 
-def _with_score(df: DataFrame, scorer: Scorer) -> DataFrame:
+def _with_score(df: DataFrame, scorer: Scorer | Transformer) -> DataFrame:
+    if hasattr(scorer, "transform"):
+        probability = vector_to_array(F.col("probability"))
+        scored = scorer.transform(df).withColumn("uplifting_score", F.get(probability, F.lit(1)))
+        return scored.select(*[c for c in df.columns if c != "uplifting_score"], "uplifting_score")
     scored = df.withColumn("uplifting_score", scorer(F.col("title")))
     if isinstance(scored.schema["uplifting_score"].dataType, T.ArrayType):
         scored = scored.withColumn("uplifting_score", F.get("uplifting_score", F.lit(1)))
@@ -100,12 +106,16 @@ def uplift_decision(
 
 def score_news(
     df: DataFrame,
-    scorer: Scorer | None = None,
+    scorer: Scorer | Transformer | None = None,
     threshold: float = fixed.DEFAULT_THRESHOLD,
     source_thresholds: Mapping[str, float] | DataFrame | None = None,
     base_hints: Sequence[str] = fixed.BASE_HINTS,
 ) -> DataFrame:
-    """All rows with ``uplifting_score``, ``min_threshold`` and ``is_uplifting``."""
+    """All rows with ``uplifting_score``, ``min_threshold`` and ``is_uplifting``.
+
+    ``scorer`` is a function on the title column, or a fitted ``pyspark.ml``
+    model that reads ``title`` and gives ``probability``.
+    """
     scored = with_threshold(_with_score(df, scorer or rule_scorer()), source_thresholds, threshold)
     decided = uplift_decision(
         "uplifting_score", "min_threshold", "is_strict", has_hint("title", base_hints)

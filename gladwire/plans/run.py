@@ -15,7 +15,9 @@ from gladwire.functions.text import lead_summary
 from gladwire.operators.articles import fill_url_and_date, store_rows
 from gladwire.operators.dedup import drop_known_titles, drop_known_urls, known_pairs, known_urls
 from gladwire.operators.enrich import (
-    Summariser, TopicScorer, add_summaries, add_thumbnails, categorize,
+    Summariser, TopicScorer, add_summaries, add_thumbnails, categorize, fill_categories,
+    fill_summaries, fill_thumbnails, new_categories, new_summaries, new_thumbnails, summary_source,
+    with_category_key, with_summary_key,
 )
 from gladwire.operators.lookup import with_source_ids
 from gladwire.operators.metrics import new_crawl_id
@@ -40,6 +42,7 @@ class RunOptions:
     pages: DataFrame | None = None
     summary_mode: str = "summary"
     summariser: Summariser = lead_summary
+    use_caches: bool = False
     events_path: str | None = None
     compact_after: int = 20
 
@@ -70,6 +73,8 @@ class _Run:
         self.report = RunReport(new_crawl_id(now), now)
         self.moment = F.lit(now.replace(microsecond=0))
         self.folder = f"{store.root}/_runs/{self.report.crawl_id}"
+        # folder lists of the tables this run changes
+        self.folders: dict[str, list[str]] = {}
 
     def keep(self, name: str, rows: DataFrame) -> DataFrame:
         """Write a stage result and go on from the written table.
@@ -83,6 +88,16 @@ class _Run:
         self.report.stage_ms[name] = round((time.monotonic() - started) * 1000, 1)
         return self.store.spark.read.schema(rows.schema).parquet(path)
 
+    def extend_cache(self, name: str, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Write the entries a cache lacks, once; gives the whole cache.
+
+        They join the cache with the commit of the run.
+        """
+        old = self.store.tables().get(name, [])
+        fresh = compute(self.store.read_folders(name, old))
+        self.folders[name] = [*old, self.store.stage(name, fresh)]
+        return self.store.read_folders(name, self.folders[name])
+
     def attempt(self, name: str, rows: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """A stage that may fail: its error is recorded and the rows go on without it."""
         try:
@@ -139,7 +154,7 @@ def _run(run: _Run, batch: DataFrame, batch_id: int | None) -> RunReport:
     counts = {"articles_fetched": fetched, "articles_skipped": fetched - new, "articles_new": new}
     run.report.counts = {**counts, "articles_classified": 0, "articles_stored": 0}
     if new == 0:
-        return _finish(run, {}, batch_id)
+        return _finish(run, batch_id)
 
     scored = run.keep("scored", _score(fresh, options))
     positive = filter_positive(scored)
@@ -157,11 +172,9 @@ def _run(run: _Run, batch: DataFrame, batch_id: int | None) -> RunReport:
     )
     if options.events_path:
         write_events(article_events(enriched, "article_processed", "summarized"), options.events_path)
-    folders = {
-        "crawled_articles": _stage_rows(run, "crawled_articles", raw_rows),
-        "articles": _stage_final(run, enriched),
-    }
-    return _finish(run, folders, batch_id)
+    run.folders["crawled_articles"] = _stage_rows(run, "crawled_articles", raw_rows)
+    run.folders["articles"] = _stage_final(run, enriched)
+    return _finish(run, batch_id)
 
 
 def _without_known(store: ArticleStore, landed: DataFrame) -> DataFrame:
@@ -181,26 +194,50 @@ def _score(fresh: DataFrame, options: RunOptions) -> DataFrame:
 
 
 def _enrich(run: _Run, positive: DataFrame) -> DataFrame:
-    o = run.options
-    rows = positive
+    o, rows = run.options, positive
     if o.topic_scorer is not None:
-        rows = run.attempt(
-            "categorization", rows,
-            lambda r: categorize(
-                r, o.topic_scorer, o.categories, once_per_text=o.score_topics_once_per_text
-            )[0],
-        )
+        rows = run.attempt("categorization", rows, lambda r: _categories(run, r))
     if o.pages is not None:
-        rows = run.attempt("thumbnails", rows, lambda r: add_thumbnails(r, o.pages)[0])
-    rows = run.attempt(
-        "summarization", rows, lambda r: add_summaries(r, o.summary_mode, o.summariser)
-    )
+        rows = run.attempt("thumbnails", rows, lambda r: _thumbnails(run, r))
+    rows = run.attempt("summarization", rows, lambda r: _summaries(run, r))
     for name in ("category", "summary"):
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast("string"))
     return rows
 
 
+def _categories(run: _Run, rows: DataFrame) -> DataFrame:
+    o = run.options
+    if not o.use_caches:
+        return categorize(rows, o.topic_scorer, o.categories, once_per_text=o.score_topics_once_per_text)[0]
+    keyed = with_category_key(rows, o.categories)
+    entries = run.extend_cache(
+        "category_cache", lambda cache: new_categories(keyed, o.topic_scorer, o.categories, cache)
+    )
+    return fill_categories(keyed, entries)
+
+
+def _thumbnails(run: _Run, rows: DataFrame) -> DataFrame:
+    pages = run.options.pages
+    if not run.options.use_caches:
+        return add_thumbnails(rows, pages)[0]
+    return fill_thumbnails(
+        rows, run.extend_cache("thumbnail_cache", lambda cache: new_thumbnails(rows, pages, cache))
+    )
+
+
+def _summaries(run: _Run, rows: DataFrame) -> DataFrame:
+    o = run.options
+    made = o.summary_mode.strip().lower() not in ("title", "headline", "none", "skip", "off")
+    if not (o.use_caches and made):
+        return add_summaries(rows, o.summary_mode, o.summariser)
+    keyed = with_summary_key(rows, summary_source(rows))
+    entries = run.extend_cache(
+        "summary_cache", lambda cache: new_summaries(keyed, o.summariser, cache=cache)
+    )
+    return fill_summaries(keyed, entries)
+
+
 def _stage_rows(run: _Run, table: str, rows: DataFrame) -> list[str]:
     mapped = store_rows(rows, run.moment, raw=table == "crawled_articles")
     ready = with_source_ids(mapped, run.store.scan("sources", ["id", "source_id"]))
@@ -223,7 +260,7 @@ def _stage_final(run: _Run, enriched: DataFrame) -> list[str]:
     return folders
 
 
-def _finish(run: _Run, folders: dict[str, list[str]], batch_id: int | None) -> RunReport:
+def _finish(run: _Run, batch_id: int | None) -> RunReport:
     report, store = run.report, run.store
     report.end = dt.datetime.now(dt.timezone.utc)
     counts = report.counts
@@ -233,11 +270,11 @@ def _finish(run: _Run, folders: dict[str, list[str]], batch_id: int | None) -> R
         "; ".join(report.errors) or None,
     )
     metrics = store.spark.createDataFrame([row], schemas.CRAWL_METRICS)
-    folders["crawl_metrics"] = [*store.tables().get("crawl_metrics", []), store.stage("crawl_metrics", metrics)]
-    store.commit(folders, batch_id)
+    run.folders["crawl_metrics"] = [*store.tables().get("crawl_metrics", []), store.stage("crawl_metrics", metrics)]
+    store.commit(run.folders, batch_id)
     if run.options.events_path:
         write_events(_run_events(run), run.options.events_path)
-    for name in ("articles", "crawled_articles"):
+    for name in run.folders:
         if len(store.tables().get(name, [])) > run.options.compact_after:
             store.compact(name)
     return report

@@ -38,9 +38,8 @@ def final_export(articles: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def latest_batch(crawled: DataFrame) -> DataFrame:
-    """Rows of the newest crawl; the newest moment is one value, found first."""
-    newest = crawled.agg(F.max("crawled_at").alias("crawled_at"))
-    return crawled.join(newest, "crawled_at", "left_semi")
+    """Rows of the newest crawl; its moment is found first and then filters the scan."""
+    return crawled.filter(F.col("crawled_at") == crawled.agg(F.max("crawled_at")).scalar())
 
 
 def latest_export(crawled: DataFrame, sources: DataFrame) -> DataFrame:

@@ -204,7 +204,7 @@ def crawl_entries(
     if cap is None:
         cut = valid_entries(entries.filter(F.col("pos") < limit))
     else:
-        cut = valid_entries(global_cap(entries, cap, limit, is_valid_entry()))
+        cut = valid_entries(global_cap(entries, cap, limit, is_valid_entry(), dense=True))
     articles = route(with_published(cut), entries, adapters or default_adapters(pages))
     return articles.withColumn(
         "seq", F.shiftleft(F.col("source_ord").cast("long"), 32) + F.col("pos")

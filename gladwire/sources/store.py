@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from gladwire import fixed, schemas
 from gladwire.operators.merge import collapse, insert_or_ignore
 
+# the newest row holds the whole state
 _COMMITS = "commit_id long, batch_id long, tables map<string,array<string>>"
 
 # key of a table, and the columns a later version of a row does not change
@@ -43,7 +44,7 @@ class ArticleStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._newest: tuple[int, dict[str, list[str]]] | None = None
+        self._newest: tuple[int, int | None, dict[str, list[str]]] | None = None
 
     # --- commits ---
 
@@ -57,10 +58,10 @@ class ArticleStore:
                 raise
             return self.spark.createDataFrame([], _COMMITS)
 
-    def _latest(self) -> tuple[int, dict[str, list[str]]]:
+    def _latest(self) -> tuple[int, int | None, dict[str, list[str]]]:
         if self._newest is None:
             rows = self._commits().orderBy(F.desc("commit_id")).limit(1).collect()
-            self._newest = (rows[0]["commit_id"], dict(rows[0]["tables"])) if rows else (-1, {})
+            self._newest = tuple(rows[0]) if rows else (-1, None, {})
         return self._newest
 
     def refresh(self) -> None:
@@ -69,21 +70,21 @@ class ArticleStore:
 
     def tables(self) -> dict[str, list[str]]:
         """Folders of each table in the newest commit."""
-        return dict(self._latest()[1])
+        return dict(self._latest()[2])
 
     def last_batch_id(self) -> int | None:
-        """The highest batch id committed by a stream."""
-        return self._commits().agg(F.max("batch_id")).collect()[0][0]
+        """The newest batch id committed by a stream."""
+        return self._latest()[1]
 
     def commit(self, tables: Mapping[str, Sequence[str]], batch_id: int | None = None) -> int:
-        """Make the given folder lists current; other tables stay as they are."""
-        newest, current = self._latest()
+        """Make the given folder lists current; other tables and the batch id stay as they are."""
+        newest, last_batch, current = self._latest()
         merged = {**current, **{name: list(folders) for name, folders in tables.items()}}
-        commit_id = newest + 1
-        row = self.spark.createDataFrame([(commit_id, batch_id, merged)], _COMMITS)
+        commit = (newest + 1, last_batch if batch_id is None else batch_id, merged)
+        row = self.spark.createDataFrame([commit], _COMMITS)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
-        self._newest = (commit_id, merged)
-        return commit_id
+        self._newest = commit
+        return commit[0]
 
     # --- reading ---
 

@@ -107,6 +107,19 @@ def test_default_rules_score_the_built_in_words(spark):
     assert scores == pytest.approx([1.0, 0.0, 0.1])
 
 
+def test_fitted_model_as_scorer(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import HashingTF, Tokenizer
+
+    train = spark.createDataFrame([("good day", 1.0), ("good news", 1.0), ("bad day", 0.0), ("bad news", 0.0)], "title string, label double")
+    steps = [Tokenizer(inputCol="title", outputCol="words"), HashingTF(numFeatures=64, inputCol="words", outputCol="features"), LogisticRegression(maxIter=20)]
+    model = Pipeline(stages=steps).fit(train)
+    scored = scoring.score_news(train.select("title"), model, threshold=0.5)
+    assert scored.columns == ["title", "uplifting_score", "min_threshold", "is_uplifting"]
+    assert [r.is_uplifting for r in scored.collect()] == [True, True, False, False]
+
+
 def test_purge(spark):
     frame = spark.createDataFrame([(1, 0.9), (2, 0.2), (3, None), (4, 0.75)], "id int, uplifting_score double")
     assert rows_of(scoring.purge_below(frame), "id") == [(1,), (4,)]

@@ -192,3 +192,19 @@ def test_crawl_into_the_store_with_events(spark, store, tmp_path):
     events = spark.read.json(str(tmp_path / "events"))
     assert events.filter("event = 'article_processed'").count() == 2
     assert events.filter("event = 'crawl_complete' and articles_stored = 2").count() == 1
+
+
+def test_caches_grow_with_the_runs(spark, store):
+    pages = spark.createDataFrame([("https://a.b/1", 200, '<img src="/i.png">')], "url string, status int, html string")
+    options = RunOptions(topic_scorer=lambda t: F.create_map(F.lit("Health"), F.lit(0.9)), pages=pages, use_caches=True)
+    long = "Hope is a word. " * 20
+    run_batch(store, batch(spark, article("Cup wins", "https://a.b/1", body=long), article("Cup wins", "https://a.b/2", body=long)), options)
+    assert stored(store, "category_cache", "category", "confidence") == [("Health", 0.9)]
+    assert stored(store, "summary_cache", "summary") == [("Hope is a word. Hope is a word. Hope is a word.",)]
+    assert stored(store, "thumbnail_cache") == [("https://a.b/1", "https://a.b/i.png"), ("https://a.b/2", "https://a.b/favicon.ico")]
+    other = RunOptions(topic_scorer=lambda t: F.create_map(F.lit("Sports"), F.lit(0.9)), pages=pages, use_caches=True)
+    day = DAY + dt.timedelta(days=1)
+    run_batch(store, batch(spark, article("Cup wins", "https://a.b/3", when=day, body=long), article("Hope wins", "https://a.b/4", when=day)), other)
+    assert stored(store, "articles", "url", "category", "summary")[2:] == [
+        ("https://a.b/3", "Health", "Hope is a word. Hope is a word. Hope is a word."), ("https://a.b/4", "Sports", "Hope wins")]
+    assert len(stored(store, "category_cache", "category")) == 2
