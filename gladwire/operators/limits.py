@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gladwire.session import written
+
 _SALTS = 64
 _BLOCK = 512
 
@@ -120,6 +122,7 @@ def take_per_source(sources: DataFrame, cap: int, limit: int) -> DataFrame:
         F.col("_enter").alias("left"),
         F.array().cast("array<struct<source_ord:bigint,take:int>>").alias("taken"),
     )
+    # sources after the point where nothing is left hand over nothing
     end = (
         blocks.join(entries, "_block")
         .select(F.explode_outer(F.aggregate("_steps", none_yet, replay, lambda s: s["taken"])).alias("t"))
@@ -135,19 +138,25 @@ def global_cap(
 
     ``entries`` has ``source_ord`` and ``order`` unique within a source. Where
     ``order`` counts from 0 without gaps, say ``dense``: no ranking is needed.
+
+    The entries are read twice. The first pass writes one row per source, with
+    the place and validity of its first entries; from these comes the last
+    place each source may hand over. The second pass only compares with it.
     """
-    if dense:
-        ranked = entries.filter(F.col(order) < limit).withColumn("_rank", F.col(order) + 1)
-    else:
-        rank = F.row_number().over(Window.partitionBy("source_ord").orderBy(order))
-        ranked = limit_per_source(entries, limit, "source_ord", order).withColumn("_rank", rank)
-    ranked = ranked.withColumn("_valid", valid)
-    in_order = F.array_sort(F.collect_list(F.struct("_rank", "_valid")))
-    flags = ranked.groupBy(F.col("source_ord").cast("long").alias("source_ord")).agg(
-        F.transform(in_order, lambda s: s["_valid"]).alias("flags")
+    head = entries.select("source_ord", F.col(order).alias("_place"), valid.alias("_valid"))
+    first = (
+        head.filter(F.col("_place") < limit) if dense
+        else limit_per_source(head, limit, "source_ord", "_place")
     )
-    return (
-        ranked.join(take_per_source(flags, cap, limit), "source_ord")
-        .filter((F.col("_rank") <= F.col("take")) & F.col("_valid"))
-        .drop("_rank", "_valid", "take")
+    steps = F.array_sort(F.collect_list(F.struct("_place", "_valid")))
+    heads = written(
+        first.groupBy(F.col("source_ord").cast("long").alias("source_ord")).agg(steps.alias("_head")),
+        "heads",
+    )
+    flags = heads.select("source_ord", F.transform("_head", lambda s: s["_valid"]).alias("flags"))
+    last = F.element_at("_head", F.least(F.col("take"), F.size("_head")))["_place"]
+    cuts = take_per_source(flags, cap, limit).join(heads, "source_ord").select(
+        "source_ord", last.alias("_last")
     )
+    kept = entries.join(cuts, "source_ord").filter(F.col(order) <= F.col("_last"))
+    return kept.filter(valid).drop("_last")

@@ -50,6 +50,17 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows, written to the shared folder and read back.
+
+    For results that several branches of a plan use: they are computed once,
+    and a lost executor costs a read.
+    """
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A scan of fewer splits than cores, dealt out to all cores.
 
