@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gladwire.session import written
+
 
 def collapse(
     versions: DataFrame, keys: str | Sequence[str], order: str, kept: Sequence[str] = ()
@@ -70,29 +72,51 @@ def upsert(
     return joined.select(*columns)
 
 
+def _without(rows: DataFrame, taken: DataFrame, unique: Sequence[str]) -> DataFrame:
+    """Rows that share no unique value with the taken ones; nulls clash with nothing."""
+    for column in unique:
+        rows = rows.join(taken.select(column).distinct(), column, "left_anti")
+    return rows
+
+
+def _first_per_value(rows: DataFrame, column: str, order: str) -> DataFrame:
+    """The ``order`` of the first row of each value, and of all rows without a value."""
+    firsts = rows.filter(F.col(column).isNotNull()).groupBy(column).agg(F.min(order).alias(order))
+    return firsts.select(order).unionByName(rows.filter(F.col(column).isNull()).select(order))
+
+
 def insert_or_ignore(
     target: DataFrame, batch: DataFrame, unique: Sequence[str], order: str = "seq"
 ) -> DataFrame:
     """The target and the batch rows that clash with no row of it on any unique column.
 
-    Rows of one batch that clash among themselves are settled by ``order``:
-    the first one wins. With several unique columns a row loses only to rows
-    that got in, so batch rows are admitted column by column only where that
-    gives the same result: the batch has no repeats in more than one column.
+    Rows of one batch that clash among themselves are taken in ``order``, and a
+    row loses only to rows that got in. With one unique column the first row of
+    each value gets in. With several, rows that are first for all their values
+    get in, rows that clash with those are out, and the rest goes another
+    round, until none is left; its rows are written in between.
     """
-    fresh = batch
-    for column in unique:
-        fresh = fresh.join(
-            target.filter(F.col(column).isNotNull()).select(column).distinct(), column, "left_anti"
-        )
-    names = [c for c in batch.columns if c != order]
-    for column in unique:
-        whole = F.struct(*[c for c in batch.columns if c != column])
-        named = fresh.filter(F.col(column).isNotNull())
-        winners = named.groupBy(column).agg(F.min_by(whole, order).alias("_row"))
-        unnamed = fresh.filter(F.col(column).isNull())
-        fresh = winners.select(column, "_row.*").select(*batch.columns).unionByName(unnamed)
-    return target.unionByName(fresh.select(*names), allowMissingColumns=True).select(*target.columns)
+    fresh = _without(batch, target, unique)
+    if len(unique) == 1:
+        named = fresh.filter(F.col(unique[0]).isNotNull())
+        nameless = fresh.filter(F.col(unique[0]).isNull()).drop(order)
+        rows = collapse(named, unique[0], order, kept=named.columns).unionByName(nameless)
+    else:
+        rows = _admit_in_rounds(fresh, unique, order).drop(order)
+    return target.unionByName(rows, allowMissingColumns=True).select(*target.columns)
+
+
+def _admit_in_rounds(fresh: DataFrame, unique: Sequence[str], order: str) -> DataFrame:
+    rest, admitted = written(fresh, "rest"), fresh.limit(0)
+    while not rest.isEmpty():
+        firsts = rest
+        for column in unique:
+            firsts = firsts.join(_first_per_value(rest, column, order), order, "left_semi")
+        winners = written(firsts, "winners")
+        admitted = admitted.unionByName(winners)
+        undecided = rest.join(winners.select(order), order, "left_anti")
+        rest = written(_without(undecided, winners, unique), "rest")
+    return admitted
 
 
 def replace_by_key(cache: DataFrame, entries: DataFrame, key: str, order: str = "seq") -> DataFrame:

@@ -251,6 +251,21 @@ def test_insert_or_ignore_checks_every_unique_column(spark):
     assert rows_of(got, "id", "name") == [(1, "n1"), (4, "n3")]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_insert_or_ignore_against_the_loop(spark, seed):
+    rng = random.Random(seed)
+    row = lambda: (rng.choice([None, *"abcdef"]), rng.choice([None, *"uvwxyz"]))
+    target, batch = [("a", "u")], [row() for _ in range(14)]
+    names, slugs, want = {"a"}, {"u"}, [("a", "u")]
+    for name, slug in batch:
+        if (name is None or name not in names) and (slug is None or slug not in slugs):
+            want.append((name, slug))
+            names.add(name), slugs.add(slug)
+    old = spark.createDataFrame(target, "name string, slug string")
+    new = spark.createDataFrame([(i, *r) for i, r in enumerate(batch)], "seq int, name string, slug string")
+    assert rows_of(merge.insert_or_ignore(old, new, ["name", "slug"]), "name", "slug") == sorted(want, key=repr)
+
+
 # --- enrichment ---
 
 
