@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from checks import check
 from checks.views import INPUT_TEXT, TOPIC_WORDS, Tables, hits
 from gladwire.functions.labels import category_key
-from gladwire.functions.text import input_text
 from gladwire.operators import enrich
 
 _LABELS = tuple(TOPIC_WORDS)

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import check
-from checks.views import INPUT_TEXT, TOPIC_WORDS, Tables, stamp
+from checks.views import INPUT_TEXT, Tables, stamp
 from gladwire import fixed, schemas
 from gladwire.functions import dates, labels, text, urls
 from gladwire.operators import articles as article_ops
@@ -53,9 +53,6 @@ def category_key(t: Tables) -> DataFrame:
     return t.articles.select("seq", labels.category_key("title", "body", names).alias("cache_key"))
 
 
-_GIVEN = "CASE lang WHEN 'en' THEN 'science-tech' WHEN 'fr' THEN 'Human Interest' WHEN 'de' THEN '' ELSE title END"
-
-
 def _given_category():
     lang = F.col("lang")
     return (
