@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gladwire.llm import toxicity
+from gladwire.llm import langid, secrets, sharding, toxicity
 from gladwire.llm.common import fold
 from gladwire.session import configure
 
@@ -29,6 +29,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    prototypes = langid.train(docs.filter(fold("doc_id", 5) != 0))
+    predict = langid.predictor(spark, prototypes)
+    found = docs.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), predict("text").alias("p"))
+    return found.select(
+        "doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score")
+    )
+
+
 @register("op3_toxicity")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -37,3 +48,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = toxicity.scorer(spark, toxicity.train(rows))
     scored = docs.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), score("text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= toxicity.CUT).cast("int"))
+
+
+@register("op5_secret_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.select("doc_id", secrets.scanner(spark)("text").alias("s")).select("doc_id", "s.*")
+
+
+@register("op6_sharding")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
