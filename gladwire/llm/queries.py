@@ -43,8 +43,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_toxicity")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    teaches = fold("doc_id", 3) != 1
-    rows = toxicity.training_rows(docs, table(spark, sf_dir, "labels"), teaches)
+    labels = table(spark, sf_dir, "labels")
+    rows = toxicity.training_rows(docs, labels, lambda doc_id: fold(doc_id, 3) != 1)
     score = toxicity.scorer(spark, toxicity.train(rows))
     scored = docs.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), score("text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= toxicity.CUT).cast("int"))

@@ -15,6 +15,8 @@ with no training row of one class, every score is 0. Texts are read whole.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -23,10 +25,10 @@ from pyspark.sql import functions as F
 
 from gladwire.llm.common import arrow_rows, text_words
 
-BITS = 20
+BITS = 18
 # At most so many labelled rows teach; the sample is the lowest hashes of the ids.
 MAX_ROWS = 20_000
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 3.0, 0.0
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.0
 # Toxic rows are the few; each counts as so many.
 TOXIC_WEIGHT = 1.5
 ROUNDS = 2
@@ -89,13 +91,10 @@ def follow(z: np.ndarray, n: np.ndarray, xs: list[np.ndarray], ys: list[int]) ->
         n[at] += g * g
 
 
-def train(texts: DataFrame, max_rows: int = MAX_ROWS, rounds: int = ROUNDS) -> dict[int, float]:
-    """Weights other than zero by coordinate, learnt from ``key, text, label``."""
-    usable = texts.filter("text is not null and label in (0, 1) and key is not null")
-    chosen = usable.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(max_rows)
-    rows = usable.join(chosen, "key", "left_semi").select("text", F.col("label").cast("int"))
+def train(rows: DataFrame, rounds: int = ROUNDS) -> dict[int, float]:
+    """Weights other than zero by coordinate, learnt from ``text, label``."""
     rows = rows.repartition(PARTS, F.xxhash64("text"))
-    spark, size = texts.sparkSession, (1 << BITS) + 1
+    spark, size = rows.sparkSession, (1 << BITS) + 1
     z, n = np.zeros(size), np.zeros(size)
     for turn in range(rounds):
         start = spark.sparkContext.broadcast((z.astype(np.float32), n.astype(np.float32)))
@@ -142,16 +141,20 @@ def scorer(spark, model: dict[int, float]):
     return score
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, teaches: Column) -> DataFrame:
-    """``key, text, label`` of the labelled documents that may teach.
+def training_rows(
+    docs: DataFrame, labels: DataFrame, teaches: Callable[[str], Column], max_rows: int = MAX_ROWS
+) -> DataFrame:
+    """``text, label`` of the labelled documents that may teach, ``max_rows`` ids at most.
 
-    An id that has several labels teaches if they agree; the ids of the
-    labels are few against the documents, and each is joined once.
+    An id that has several labels teaches if they agree. The sample is taken
+    on the labels, so only its texts move; as it is bounded, it is broadcast.
     """
-    one = (
-        labels.groupBy(F.col("doc_id").alias("key"))
-        .agg(F.min("toxic").alias("label"), F.max("toxic").alias("most"))
-        .filter("label = most").drop("most")
+    chosen = (
+        labels.filter("doc_id is not null").filter(teaches("doc_id"))
+        .groupBy("doc_id").agg(F.min("toxic").alias("label"), F.max("toxic").alias("most"))
+        .filter("label = most and label in (0, 1)")
+        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+        .select(F.col("doc_id").alias("key"), F.col("label").cast("int").alias("label"))
     )
-    own = docs.filter(teaches).select(F.col("doc_id").alias("key"), "text")
-    return own.join(one, "key")
+    own = docs.filter("text is not null").select(F.col("doc_id").alias("key"), "text")
+    return own.join(F.broadcast(chosen), "key").select("text", "label")
