@@ -28,10 +28,10 @@ from gladwire.llm.common import arrow_rows, text_words
 BITS = 18
 # At most so many labelled rows teach; the sample is the lowest hashes of the ids.
 MAX_ROWS = 20_000
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.0
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 3.0, 0.0
 # Toxic rows are the few; each counts as so many.
 TOXIC_WEIGHT = 1.5
-ROUNDS = 2
+ROUNDS = 3
 PASSES = 2
 CUT = 0.7
 PARTS = 6
