@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gladwire.llm import langid, secrets, sharding, toxicity
+from gladwire.llm import hmm, langid, secrets, sharding, toxicity
 from gladwire.llm.common import fold
 from gladwire.session import configure
 
@@ -40,6 +40,15 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op2_hidden_markov")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = hmm.score(docs, fold("doc_id", 7) != 2)
+    return scored.withColumn("held_out", fold("doc_id", 7) == 2).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @register("op3_toxicity")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
