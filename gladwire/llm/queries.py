@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gladwire.llm import hmm, langid, secrets, sharding, toxicity
+from gladwire.llm import decontam, hmm, langid, secrets, sharding, toxicity
 from gladwire.llm.common import fold
 from gladwire.session import configure
 
@@ -72,3 +72,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@register("op10_decontamination")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.leaks(docs, table(spark, sf_dir, "benchmark")).drop("text_hash")
