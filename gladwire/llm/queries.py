@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gladwire.llm import decontam, hmm, langid, secrets, sharding, toxicity
+from gladwire.llm import decontam, hmm, imatch, langid, linededup, secrets, sharding, toxicity
 from gladwire.llm.common import fold
 from gladwire.session import configure
 
@@ -78,3 +78,44 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.leaks(docs, table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+@register(
+    "op7_line_dedup",
+    """
+    WITH lines AS (
+        SELECT doc_id, l.i AS pos, trim(l.line, chr(32) || chr(9) || chr(13) || chr(11) || chr(12)) AS line
+        FROM documents, LATERAL (
+            SELECT unnest(string_split(text, chr(10))) AS line,
+                   unnest(range(len(string_split(text, chr(10))))) AS i) AS l),
+    windows AS (
+        SELECT doc_id, pos AS first, lead(pos, 2) OVER w AS last,
+               md5(line || chr(10) || lead(line) OVER w || chr(10) || lead(line, 2) OVER w) AS h
+        FROM lines WHERE line != '' WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, first) AS n
+        FROM windows WHERE last IS NOT NULL),
+    gone AS (
+        SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS pos FROM ranked WHERE n > 1),
+    kept AS (
+        SELECT d.doc_id, l.i AS pos, l.line
+        FROM documents d, LATERAL (
+            SELECT unnest(string_split(d.text, chr(10))) AS line,
+                   unnest(range(len(string_split(d.text, chr(10))))) AS i) AS l
+        WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = d.doc_id AND g.pos = l.i))
+    SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+           coalesce(g.n, 0)::INT AS removed_lines
+    FROM documents d
+    LEFT JOIN (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text FROM kept GROUP BY doc_id) k
+        ON k.doc_id = d.doc_id
+    LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g ON g.doc_id = d.doc_id
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op9_imatch")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return imatch.compare(docs, imatch.lexicon(docs))
