@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gladwire.llm import decontam, hmm, imatch, langid, linededup, pieces, secrets, sharding, toxicity
+from gladwire.llm import decontam, hmm, imatch, langid, linededup, neardup, pieces, secrets, sharding, toxicity
 from gladwire.llm.common import fold
 from gladwire.session import configure
 
@@ -124,3 +124,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_sentencepiece")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.tokenized(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@register("op8_minhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs, size=2, percent=80).drop("text_hash")
