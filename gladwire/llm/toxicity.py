@@ -9,8 +9,8 @@ as there are at most ``2**BITS``.
 
 Defined cases: a null or empty text has no features and gets the score of the
 bias; rows with a null text, a null label or a null id teach nothing; repeated
-rows count as often as they occur; an empty table gives an empty result and,
-with no training row of one class, every score is 0. Texts are read whole.
+rows count as often as they occur; an empty table gives an empty result;
+without any training row every score is 0. Texts are read whole.
 """
 
 from __future__ import annotations
@@ -136,7 +136,8 @@ def scorer(spark, model: dict[int, float]):
             dense.append(w)
         w = dense[0]
         sums = np.array([total(t, w, hashes) for t in texts]) + w[-1]
-        return pd.Series(1 / (1 + np.exp(-np.clip(sums, -700, 35))))
+        with np.errstate(over="ignore"):
+            return pd.Series(1 / (1 + np.exp(-np.minimum(sums, 35))))
 
     return score
 
