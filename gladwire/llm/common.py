@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gladwire.session import written
 
-__all__ = ["arrow_rows", "fold", "text_words", "word_counts", "written"]
+__all__ = ["arrow_rows", "fold", "most_frequent", "sampled", "text_words", "word_counts", "written"]
 
 # Distinct words one task holds before it hands its counts on.
 WORDS_IN_MEMORY = 150_000
@@ -69,3 +69,33 @@ def word_counts(texts: DataFrame, once_per_text: bool = False) -> DataFrame:
 
     partial = arrow_rows(texts.select("text"), "word binary, n bigint", count)
     return partial.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def most_frequent(counts: DataFrame, limit: int) -> list[tuple[bytes, int]]:
+    """At most ``limit`` words of ``word, n``, by falling count, then by word.
+
+    The words are cut at a count: a histogram of bounded size tells the least
+    one that leaves no more than ``limit`` words, so the driver never gets more.
+    Counts above 65,536 are put together in steps of about a thousandth.
+    """
+    step = F.when(F.col("n") <= 65_536, F.col("n")).otherwise(
+        (F.lit(65_536) + F.floor((F.log2("n") - 16) * 1024)).cast("bigint")
+    )
+    stepped = counts.withColumn("step", step)
+    sizes = {r["step"]: r["words"] for r in stepped.groupBy("step").agg(F.count(F.lit(1)).alias("words")).collect()}
+    cut = total = 0
+    for at in sorted(sizes, reverse=True):
+        if total + sizes[at] > limit:
+            cut = at + 1
+            break
+        total += sizes[at]
+    rows = stepped.filter(F.col("step") >= cut).select("word", "n").collect()
+    return sorted(((bytes(r["word"]), r["n"]) for r in rows), key=lambda w: (-w[1], w[0]))
+
+
+def sampled(rows: DataFrame, key: str, limit: int) -> DataFrame:
+    """All rows if they are at most ``limit``, else about nine tenths of it, by hashes of the key."""
+    count, parts = rows.count(), 1 << 20
+    if count <= limit:
+        return rows
+    return rows.filter(F.pmod(F.xxhash64(key), F.lit(parts)) < int(0.9 * parts * limit / count))

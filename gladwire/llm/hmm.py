@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gladwire.llm.common import arrow_rows, text_words, word_counts, written
+from gladwire.llm.common import arrow_rows, most_frequent, text_words, word_counts, written
 
 STATES = 8
 SYMBOLS = 16_384
@@ -170,12 +170,9 @@ class Vocabulary:
 def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
     """From the written counts of the training words; ``ends`` training texts end."""
     totals = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    most = (
-        counts.filter(F.octet_length("word") <= LONGEST)
-        .orderBy(F.desc("n"), "word").limit(KNOWN).collect()
-    )
+    most = most_frequent(counts.filter(F.octet_length("word") <= LONGEST), KNOWN)
     n, v = (totals["n"] or 0) + ends, totals["v"] + (1 if ends else 0)
-    return Vocabulary([bytes(r["word"]) for r in most], [r["n"] for r in most], n, v, ends)
+    return Vocabulary([w for w, _ in most], [c for _, c in most], n, v, ends)
 
 
 def train(texts: DataFrame, rows: int, vocabulary: Vocabulary) -> Model:

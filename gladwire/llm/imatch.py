@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gladwire.llm.common import arrow_rows, text_words, word_counts
+from gladwire.llm.common import arrow_rows, most_frequent, text_words, word_counts, written
 
 LEAST_SHARE, MOST_SHARE = 0.0005, 0.10
 # No term of fewer texts than this: it says nothing about likeness.
@@ -45,8 +45,8 @@ def lexicon(docs: DataFrame) -> frozenset[bytes]:
     rows = docs.count()
     low, high = max(LEAST_TEXTS, rows * LEAST_SHARE), max(LEAST_TEXTS, rows * MOST_SHARE)
     counts = word_counts(docs, once_per_text=True).filter(F.octet_length("word") <= 64)
-    band = counts.filter(F.col("n").between(low, high)).orderBy(F.desc("n"), "word").limit(MAX_TERMS)
-    return frozenset(bytes(r["word"]) for r in band.select("word").collect())
+    counts = written(counts.filter(F.col("n") >= LEAST_TEXTS), "term-counts")
+    return frozenset(w for w, _ in most_frequent(counts.filter(F.col("n").between(low, high)), MAX_TERMS))
 
 
 class Subsets(dict):

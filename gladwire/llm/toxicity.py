@@ -23,10 +23,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gladwire.llm.common import arrow_rows, text_words
+from gladwire.llm.common import arrow_rows, sampled, text_words
 
 BITS = 18
-# At most so many labelled rows teach; the sample is the lowest hashes of the ids.
+# At most about so many labelled rows teach; the sample goes by hashes of the ids.
 MAX_ROWS = 20_000
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 3.0, 0.0
 # Toxic rows are the few; each counts as so many.
@@ -150,12 +150,13 @@ def training_rows(
     An id that has several labels teaches if they agree. The sample is taken
     on the labels, so only its texts move; as it is bounded, it is broadcast.
     """
-    chosen = (
+    usable = (
         labels.filter("doc_id is not null").filter(teaches("doc_id"))
         .groupBy("doc_id").agg(F.min("toxic").alias("label"), F.max("toxic").alias("most"))
         .filter("label = most and label in (0, 1)")
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-        .select(F.col("doc_id").alias("key"), F.col("label").cast("int").alias("label"))
+    )
+    chosen = sampled(usable, "doc_id", max_rows).select(
+        F.col("doc_id").alias("key"), F.col("label").cast("int").alias("label")
     )
     own = docs.filter("text is not null").select(F.col("doc_id").alias("key"), "text")
     return own.join(F.broadcast(chosen), "key").select("text", "label")
