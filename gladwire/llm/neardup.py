@@ -259,7 +259,8 @@ def _member_texts(docs: DataFrame, classes: DataFrame, families: DataFrame) -> D
         "members",
     )
     same = F.col("doc_id").eqNullSafe(F.col("rid")) & (F.xxhash64("text") == F.col("rth"))
-    own = docs.select("doc_id", "text").join(wanted, same).dropDuplicates(["cid"])
+    # The members grow with the documents: never a side to broadcast.
+    own = docs.select("doc_id", "text").join(wanted.hint("merge"), same).dropDuplicates(["cid"])
     return written(own.select("family", "cid", "n", "text"), "member-texts")
 
 
@@ -395,4 +396,4 @@ def keep_firsts(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
         found.select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).distinct(), "gone"
     )
     same = docs["doc_id"].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs["text"]) == gone["_gone_hash"])
-    return docs.join(gone, same, "left_anti")
+    return docs.join(gone.hint("merge"), same, "left_anti")
