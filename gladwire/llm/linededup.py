@@ -63,7 +63,7 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     every = placed.select(F.col("w.hash").alias("hash"), place.alias("p"), F.col("w.last").alias("last"))
     counted = every.groupBy("hash").agg(F.min("p").alias("least"), F.max("p").alias("most"))
     repeated = written(counted.filter("least != most").select("hash", "least"), "windows")
-    later = every.join(repeated, "hash").filter("p != least")
+    later = every.join(repeated.hint("merge"), "hash").filter("p != least")
     return later.groupBy(F.col("p.id").alias("id"), F.col("p.th").alias("th")).agg(
         F.collect_set(F.struct("p.first", "last")).alias("places")
     )
@@ -77,7 +77,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     same = F.col("_docs.doc_id").eqNullSafe(F.col("_found._id")) & (
         F.xxhash64(F.col("_docs.text")) == F.col("_found._th")
     )
-    joined = docs.alias("_docs").join(found.alias("_found"), same, "left")
+    # The places grow with the documents: never a side to broadcast.
+    joined = docs.alias("_docs").join(found.alias("_found").hint("merge"), same, "left")
     covered = F.flatten(F.transform(F.col("_found.places"), lambda p: F.sequence(p["first"], p["last"])))
     gone = F.array_distinct(covered)
     lines = F.split(F.col("_docs.text"), "\n")
