@@ -69,12 +69,17 @@ def existing_urls(t: Tables) -> DataFrame:
 
 
 @check("article_exists", """
-    WITH wanted AS (SELECT 'https://src5.example.org/a/' || md5('missing') AS url)
-    SELECT count(*) > 0 AS found FROM (SELECT url FROM v_raw UNION SELECT url FROM v_final)
-    WHERE url = (SELECT url FROM wanted)""")
+    SELECT w.which, EXISTS (SELECT 1 FROM v_raw r WHERE r.url = w.url) OR EXISTS (SELECT 1 FROM v_final f WHERE f.url = w.url) AS found
+    FROM (SELECT 'missing' AS which, 'https://src5.example.org/a/' || md5('missing') AS url
+          UNION ALL SELECT 'stored', max(url) FROM v_labelled
+          UNION ALL SELECT 'new', max(url) FROM v_batch) w""")
 def article_exists(t: Tables) -> DataFrame:
-    missing = "https://src5.example.org/a/" + hashlib.md5(b"missing").hexdigest()
-    return dedup.article_exists(missing, t.raw, t.final)
+    wanted = {
+        "missing": "https://src5.example.org/a/" + hashlib.md5(b"missing").hexdigest(),
+        "stored": t.labelled.agg(F.max("url")).first()[0], "new": t.batch.agg(F.max("url")).first()[0],
+    }
+    one = [dedup.article_exists(url, t.raw, t.final).select(F.lit(which).alias("which"), "found") for which, url in wanted.items()]
+    return one[0].unionByName(one[1]).unionByName(one[2])
 
 
 @check("source_id_lookup", """

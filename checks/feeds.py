@@ -204,10 +204,12 @@ def skip_sources_without_feed(t: Tables) -> DataFrame:
            CASE lang WHEN 'de' THEN {_OUT} ELSE {_SQL_LINK} END AS url,
            CASE lang WHEN 'fr' THEN 0.9::DOUBLE ELSE 0.75::DOUBLE END AS threshold,
            {stamp(_MOMENT + " - INTERVAL 1 HOUR")} AS published_at
-    FROM v_lines WHERE lang <> 'es' AND pos < 6 AND length({_TITLE}) > 0""")
+    FROM v_lines WHERE lang <> 'es' AND length({_TITLE}) > 0""")
 def crawl_union(t: Tables) -> DataFrame:
-    documents = rss(t, _post_blocks).select("source_id", "xml")
-    done = feeds.crawl(documents, _registry(t).drop("lang"), limit=6)
+    """Every feed comes in two copies; the one by content lacks the items."""
+    whole = rss(t, _post_blocks).select("source_id", F.lit("url").alias("copy"), "xml")
+    empty = whole.select("source_id", F.lit("content").alias("copy"), F.lit("<rss><channel></channel></rss>").alias("xml"))
+    done = feeds.crawl(whole.unionByName(empty), _registry(t).drop("lang"), limit=1_000_000)
     return done.select(
         "source_ord", "pos", "title", "url", "threshold", format_datetime("published_at").alias("published_at")
     )

@@ -93,8 +93,8 @@ def parse_feed_date(t: Tables) -> DataFrame:
     written = (
         F.when(kind == "error", F.concat(F.lit("about "), rfc))
         .when(kind == "view", F.concat(F.lit("Thu, "), rfc, F.lit(" +0200")))
-        .when(kind == "click", F.concat(rfc, F.lit(" EST")))
-        .when(kind == "signup", F.concat(F.lit("Mon,  "), rfc, F.lit(" GMT")))
+        .when(kind == "click", F.concat(F.date_format("ts", "d MMMM yyyy HH:mm:ss"), F.lit(" -05:00")))
+        .when(kind == "signup", F.concat(F.lit("Mon,  "), F.date_format("ts", "d MMM yy HH:mm:ss"), F.lit(" GMT")))
         .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     )
     moment = dates.parse_feed_date(written)

@@ -33,7 +33,7 @@ def _with_images(t: Tables) -> DataFrame:
     """Meta images on blogs and French pages, images on plain-http pages, none elsewhere."""
     head = F.concat(
         F.lit('<!-- <meta property="og:image" content="/no.png"> --><meta content=\'\' property="og:image">'),
-        F.when(_blog(), F.concat(F.lit("<META name='twitter:image' content=' /img/"), _number(), F.lit(".png?a=1&amp;b=2 '/>")))
+        F.when(_blog(), F.concat(F.lit("<META name='twitter:image' content=' /img/"), _number(), F.lit(".png?a=1&#038;b=2&#x26;c=&#xe9;&#128512;&#0;&amp; '/>")))
         .when(_french(), F.concat(F.lit('<meta data-x=">" property=twitter:image:src content=//cdn.example.org/'), _number(), F.lit(">")))
         .otherwise(F.lit("")),
     )
@@ -45,7 +45,7 @@ def _with_images(t: Tables) -> DataFrame:
     return t.read("pages").withColumn("html", F.concat(head, "html", body))
 
 
-_META = """CASE WHEN contains(url, 'blog.') THEN regexp_extract(url, '^(https?://[^/?#]+)', 1) || '/img/' || page_id || '.png?a=1&b=2'
+_META = """CASE WHEN contains(url, 'blog.') THEN regexp_extract(url, '^(https?://[^/?#]+)', 1) || '/img/' || page_id || '.png?a=1&b=2&c=é😀&#0;&'
      WHEN contains(url, '/fr/') THEN regexp_extract(url, '^(https?):', 1) || '://cdn.example.org/' || page_id END"""
 _IMG = """CASE WHEN url LIKE 'http://%' THEN regexp_extract(url, '^(https?://[^/?#]+)', 1) || '/pic/' || page_id || '.gif' END"""
 _ICON = "regexp_extract(url, '^(https?://[^/?#]+)', 1) || '/favicon.ico'"
@@ -92,7 +92,10 @@ def thumbnail_join(t: Tables) -> DataFrame:
         F.when(F.col("url").contains("/en/"), F.concat(F.lit("own:"), "url")).alias("thumbnail_url"),
     )
     bare = base.select("*", F.lit("bare").alias("copy"), F.lit("").alias("thumbnail_url"))
-    done, _ = enrich.add_thumbnails(own.unionByName(bare), pages.select("url", "status", "html"))
+    # every page comes twice, once without HTML
+    found = pages.select("url", "status", "html")
+    twice = found.unionByName(found.withColumn("html", F.lit(None).cast("string")))
+    done, _ = enrich.add_thumbnails(own.unionByName(bare), twice)
     return done.select("page_id", "copy", "thumbnail_url")
 
 

@@ -31,10 +31,18 @@ def _parse_rfc(text: Column) -> Column:
         offset.isNotNull(), F.concat(F.regexp_replace(text, r"[A-Z]+$", ""), offset)
     ).otherwise(text)
     return bind(
-        numeric, lambda t: F.coalesce(*[F.try_to_timestamp(t, F.lit(form)) for form in _FEED_FORMS])
+        _in_full(numeric), lambda t: F.coalesce(*[F.try_to_timestamp(t, F.lit(form)) for form in _FEED_FORMS])
     )
 
 
+def _in_full(text: Column) -> Column:
+    """Short month names, years of four digits (90-99 are the nineties), offsets without colon."""
+    short = F.regexp_replace(text, r"^(\d{1,2} \p{L}{3})\p{L}*\.? ", "$1 ")
+    nineties = F.regexp_replace(short, r"^(\d{1,2} \p{L}{3}) (9\d)(?= |$)", "$1 19$2")
+    years = F.regexp_replace(nineties, r"^(\d{1,2} \p{L}{3}) (\d{2})(?= |$)", "$1 20$2")
+    return F.regexp_replace(years, r" ([+-]\d{2}):(\d{2})$", " $1$2")
+
+
 def parse_feed_date(text: Column | str) -> Column:
     """RFC-822 or ISO-8601 text as a timestamp; null where it is neither."""
     cleaned = F.regexp_replace(trim_title(text), r"^\p{L}+,\s*", "")

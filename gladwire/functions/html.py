@@ -1,8 +1,8 @@
 """HTML functions on columns, by tag patterns.
 
 Limits, against a full HTML parser: an unclosed quote in a tag hides the tag,
-and of the character references only the five named ones and ``&#39;`` are
-decoded in attribute values.
+and of the named character references only five are decoded in attribute
+values; numeric ones all are.
 """
 
 from __future__ import annotations
@@ -35,10 +35,34 @@ def tags(html: Column | str, name: str) -> Column:
     return F.regexp_extract_all(_col(html), F.lit(rf"(?i)<{name}(?=[\s/>]){_TAG_REST}"), F.lit(0))
 
 
+_REFERENCE = r"&#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
+
+
+def _character(reference: Column) -> Column:
+    """The character of a numeric reference; the reference itself where there is none."""
+    digits = F.regexp_extract(reference, r"&#[xX]?([0-9a-fA-F]+);", 1)
+    is_hex = F.lower(reference).startswith("&#x")
+    point = F.conv(digits, 16, 10).cast("int")
+    point = F.when(is_hex, point).otherwise(digits.try_cast("int"))
+    valid = point.between(1, 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+    known = F.when(valid, point).otherwise(0x20)
+    character = F.decode(F.unhex(F.lpad(F.hex(known), 8, "0")), "UTF-32")
+    return F.when(valid, character).otherwise(reference)
+
+
+def _numeric(text: Column) -> Column:
+    """Numeric references decoded: the pieces between them, with the characters in between."""
+    found = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0))
+    pieces = F.split(text, _REFERENCE)
+    joined = F.array_join(
+        F.zip_with(pieces, found, lambda piece, r: F.concat(piece, F.coalesce(_character(r), F.lit("")))), ""
+    )
+    return F.when(F.contains(text, F.lit("&#")), joined).otherwise(text)
+
+
 def _unescape(text: Column) -> Column:
-    for coded, plain in (
-        ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&amp;", "&"),
-    ):
+    text = bind(text, _numeric)
+    for coded, plain in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
         text = F.replace(text, F.lit(coded), F.lit(plain))
     return text
 

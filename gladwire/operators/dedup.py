@@ -65,8 +65,9 @@ def drop_known(batch: DataFrame, raw: DataFrame, final: DataFrame) -> DataFrame:
 
 
 def existing_urls(urls: DataFrame, raw: DataFrame, final: DataFrame) -> DataFrame:
-    """The given urls that a store holds."""
-    return urls.select("url").distinct().join(known_urls(raw, final), "url", "left_semi")
+    """The given urls that a store holds; the stores are cut down to these first."""
+    wanted = urls.select("url").distinct()
+    return known_urls(*(store.select("url").join(wanted, "url", "left_semi") for store in (raw, final)))
 
 
 def article_exists(url: str, raw: DataFrame, final: DataFrame) -> DataFrame:

@@ -127,6 +127,15 @@ def page_html(pages: DataFrame) -> DataFrame:
     return pages.withColumn("html", F.when(status.isNotNull() & (status < 400), F.col("html")))
 
 
+def one_page_per_url(pages: DataFrame, order: str | None = None) -> DataFrame:
+    """(url, html) of one page of each url: the last by ``order`` among those that have HTML.
+
+    Without ``order`` the largest text counts, so that the choice is the same in every run.
+    """
+    rank = F.struct(F.col("html").isNotNull(), F.col(order or "html"))
+    return pages.filter(F.col("url").isNotNull()).groupBy("url").agg(F.max_by("html", rank).alias("html"))
+
+
 def page_thumbnails(pages: DataFrame) -> DataFrame:
     """(url, thumbnail_url) of each page."""
     return page_html(pages).select("url", thumbnail("html", "url").alias("thumbnail_url"))
@@ -135,14 +144,13 @@ def page_thumbnails(pages: DataFrame) -> DataFrame:
 def new_thumbnails(articles: DataFrame, pages: DataFrame, cache: DataFrame | None = None) -> DataFrame:
     """Cache entries for the urls that the cache lacks; the icon where there is no page.
 
-    ``pages`` has one row per url. Only pages of such urls are parsed, each once.
+    Of several pages of a url one counts. Only pages of such urls are parsed, each once:
+    ``thumbnail`` gives the icon where the join leaves no HTML.
     """
     urls = articles.select(non_empty("url").alias("url"))
     jobs = distinct_misses(urls, "url", [], cache)
-    found = page_thumbnails(pages.join(jobs, "url", "left_semi"))
-    return jobs.join(found, "url", "left").select(
-        "url", F.coalesce("thumbnail_url", favicon_url("url")).alias("thumbnail_url")
-    )
+    joined = jobs.join(one_page_per_url(page_html(pages)), "url", "left")
+    return joined.select("url", F.coalesce(thumbnail("html", "url"), favicon_url("url")).alias("thumbnail_url"))
 
 
 def fill_thumbnails(articles: DataFrame, entries: DataFrame) -> DataFrame:

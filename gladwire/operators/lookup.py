@@ -81,8 +81,12 @@ def with_cached(fresh: DataFrame, cache: DataFrame | None) -> DataFrame:
 
 
 def join_results(rows: DataFrame, results: DataFrame, key: str) -> DataFrame:
-    """Rows with the results of their key; rows without one keep nulls."""
-    return rows.join(results, key, "left")
+    """Rows with the results of their key; rows without one keep nulls.
+
+    Rows without a key get a number each, so that they do not meet in one task.
+    """
+    keyed = rows.withColumn("_spread", F.when(F.col(key).isNull(), F.monotonically_increasing_id()).otherwise(0))
+    return keyed.join(results.withColumn("_spread", F.lit(0).cast("bigint")), [key, "_spread"], "left").drop("_spread")
 
 
 def fill_missing(rows: DataFrame, target: str, value: Column) -> DataFrame:

@@ -17,24 +17,29 @@ from gladwire.session import written
 
 
 def collapse(
-    versions: DataFrame, keys: str | Sequence[str], order: str, kept: Sequence[str] = ()
+    versions: DataFrame,
+    keys: str | Sequence[str],
+    order: str,
+    kept: Sequence[str] = (),
+    last: Column | None = None,
 ) -> DataFrame:
     """One row per key: ``kept`` columns of the first version, the others of the last.
 
     Both picks combine on the map side, so a key with very many versions costs
-    one row per task in the shuffle. ``order`` is unique within a key.
+    one row per task in the shuffle. ``order`` is unique within a key; ``last``,
+    unique as well, orders the versions for the columns that are not kept.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     others = [c for c in versions.columns if c not in keys and c != order]
     first = [c for c in others if c in kept]
-    last = [c for c in others if c not in kept]
+    final = [c for c in others if c not in kept]
     picks: list[Column] = []
     if first:
         picks.append(F.min_by(F.struct(*first), order).alias("_first"))
-    if last:
-        picks.append(F.max_by(F.struct(*last), order).alias("_last"))
+    if final:
+        picks.append(F.max_by(F.struct(*final), F.col(order) if last is None else last).alias("_last"))
     one = versions.groupBy(*keys).agg(*picks) if picks else versions.select(*keys).distinct()
-    parts = (["_first.*"] if first else []) + (["_last.*"] if last else [])
+    parts = (["_first.*"] if first else []) + (["_last.*"] if final else [])
     return one.select(*keys, *parts).select(*[c for c in versions.columns if c != order])
 
 

@@ -110,13 +110,19 @@ def score_news(
     threshold: float = fixed.DEFAULT_THRESHOLD,
     source_thresholds: Mapping[str, float] | DataFrame | None = None,
     base_hints: Sequence[str] = fixed.BASE_HINTS,
+    own_threshold: Column | None = None,
 ) -> DataFrame:
     """All rows with ``uplifting_score``, ``min_threshold`` and ``is_uplifting``.
 
+    ``own_threshold``, where a row has one, takes the place of the threshold,
+    be it lower or higher; a strict source stays strict.
+
     ``scorer`` is a function on the title column, or a fitted ``pyspark.ml``
     model that reads ``title`` and gives ``probability``.
     """
     scored = with_threshold(_with_score(df, scorer or rule_scorer()), source_thresholds, threshold)
+    if own_threshold is not None:
+        scored = scored.withColumn("min_threshold", F.coalesce(own_threshold.cast("double"), "min_threshold"))
     decided = uplift_decision(
         "uplifting_score", "min_threshold", "is_strict", has_hint("title", base_hints)
     )

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gladwire import fixed, schemas
-from gladwire.functions.text import lead_summary
-from gladwire.operators.articles import fill_url_and_date, store_rows
-from gladwire.operators.dedup import drop_known_titles, drop_known_urls, known_pairs, known_urls
+from gladwire.functions.dates import format_datetime
+from gladwire.functions.text import lead_summary, non_empty
+from gladwire.operators.articles import column_or_null, fill_url_and_date, store_rows
+from gladwire.operators.dedup import drop_known_titles, drop_known_urls, existing_urls, known_pairs
 from gladwire.operators.enrich import (
     Summariser, TopicScorer, add_summaries, add_thumbnails, categorize, fill_categories,
     fill_summaries, fill_thumbnails, new_categories, new_summaries, new_thumbnails, summary_source,
@@ -44,7 +45,6 @@ class RunOptions:
     summariser: Summariser = lead_summary
     use_caches: bool = False
     events_path: str | None = None
-    compact_after: int = 20
 
 
 @dataclass
@@ -103,7 +103,7 @@ class _Run:
         try:
             return self.keep(name, stage(rows))
         except Exception as problem:  # noqa: BLE001 - hooks of the user may raise anything
-            self.report.errors.append(f"{name}_failed: {str(problem).splitlines()[0]}")
+            self.report.errors.append(f"{name}_failed: {_first_line(problem)}")
             return rows
 
 
@@ -111,15 +111,17 @@ def run_batch(
     store: ArticleStore,
     batch: DataFrame,
     options: RunOptions = RunOptions(),
-    batch_id: int | None = None,
+    stream_batch: tuple[str, int] | None = None,
 ) -> RunReport:
     """Run one batch of crawled articles into the store.
 
     ``batch`` has ``seq``, the order of its rows, and the columns a crawl
     gives. Source keys must be in the sources table. All tables change in one
     commit at the end; a run that dies before leaves the store as it was.
+    A stage that fails is recorded: without scores nothing is classified, and
+    where the rows cannot be written only the metrics of the run are.
     """
-    return _run(_Run(store, options), batch, batch_id)
+    return _run(_Run(store, options), batch, stream_batch)
 
 
 def run_crawl(
@@ -143,7 +145,7 @@ def run_crawl(
     return _run(run, crawl_entries(entries, limit_per_source, cap, post_pages, adapters), None)
 
 
-def _run(run: _Run, batch: DataFrame, batch_id: int | None) -> RunReport:
+def _run(run: _Run, batch: DataFrame, stream_batch: tuple[str, int] | None) -> RunReport:
     store, options = run.store, run.options
     store.refresh()
     landed = run.keep("batch", fill_url_and_date(batch))
@@ -154,9 +156,13 @@ def _run(run: _Run, batch: DataFrame, batch_id: int | None) -> RunReport:
     counts = {"articles_fetched": fetched, "articles_skipped": fetched - new, "articles_new": new}
     run.report.counts = {**counts, "articles_classified": 0, "articles_stored": 0}
     if new == 0:
-        return _finish(run, batch_id)
+        return _finish(run, stream_batch)
 
-    scored = run.keep("scored", _score(fresh, options))
+    try:
+        scored = run.keep("scored", _score(fresh, options))
+    except Exception as problem:  # noqa: BLE001 - scorers of the user may raise anything
+        run.report.errors.append(f"classification_failed: {_first_line(problem)}")
+        return _finish(run, stream_batch)
     positive = filter_positive(scored)
     enriched = _enrich(run, positive)
     raw_rows = scored.filter(~F.col("is_uplifting")).unionByName(enriched, allowMissingColumns=True)
@@ -164,33 +170,56 @@ def _run(run: _Run, batch: DataFrame, batch_id: int | None) -> RunReport:
     totals = enriched.agg(
         F.count("*").alias("n"), F.avg("uplifting_score").alias("avg"),
         F.count("category").alias("categorized"), F.count("summary").alias("summarized"),
+        F.count(non_empty(column_or_null(enriched, "thumbnail_url"))).alias("pictured"),
     ).collect()[0]
     run.report.avg_score = totals["avg"]
     run.report.counts.update(
         articles_classified=totals["n"], articles_categorized=totals["categorized"] if options.topic_scorer else 0,
-        articles_summarized=totals["summarized"], articles_stored=totals["n"],
+        articles_summarized=totals["summarized"], thumbnails_attempted=totals["n"] if options.pages is not None else 0,
+        thumbnails_found=totals["pictured"] if options.pages is not None else 0,
     )
-    if options.events_path:
-        write_events(article_events(enriched, "article_processed", "summarized"), options.events_path)
-    run.folders["crawled_articles"] = _stage_rows(run, "crawled_articles", raw_rows)
-    run.folders["articles"] = _stage_final(run, enriched)
-    return _finish(run, batch_id)
+    try:
+        staged = {
+            "crawled_articles": _stage_rows(run, "crawled_articles", raw_rows),
+            "articles": _stage_final(run, enriched),
+        }
+    except Exception as problem:  # noqa: BLE001 - the store may refuse the rows or fail
+        run.report.errors.append(f"database_write_failed: {_first_line(problem)}")
+        return _finish(run, stream_batch)
+    run.folders.update(staged)
+    run.report.counts["articles_stored"] = totals["n"]
+    return _finish(run, stream_batch, enriched)
+
+
+def _first_line(problem: Exception) -> str:
+    return (str(problem).splitlines() or [type(problem).__name__])[0]
 
 
 def _without_known(store: ArticleStore, landed: DataFrame) -> DataFrame:
-    urls = known_urls(store.scan_versions("crawled_articles"), store.scan_versions("articles"))
-    pairs = ["title", "published_at"]
-    known = known_pairs(store.scan("crawled_articles", pairs), store.scan("articles", pairs))
-    return drop_known_titles(drop_known_urls(landed, urls), known)
+    """Rows whose url, then whose title and date, no store holds.
+
+    The batch is the small side: both stores are cut down to what can meet
+    it before anything of them is made distinct or collapsed.
+    """
+    raw, final = store.scan_versions("crawled_articles"), store.scan_versions("articles")
+    urls = existing_urls(landed, raw, final)
+    fresh = drop_known_urls(landed, urls)
+    known = known_pairs(*(_meeting_pairs(store, table, fresh) for table in ("crawled_articles", "articles")))
+    return drop_known_titles(fresh, known)
+
+
+def _meeting_pairs(store: ArticleStore, table: str, batch: DataFrame) -> DataFrame:
+    """Title and date of the stored articles that had a title and date of the batch in some version."""
+    versions = store.scan_versions(table)
+    wanted = batch.select("title", format_datetime("published_at").alias("_when")).distinct()
+    met = versions.withColumn("_when", format_datetime("published_at")).join(wanted, ["title", "_when"], "left_semi")
+    return store.scan(table, ["title", "published_at"], keys=met.select("url").distinct())
 
 
 def _score(fresh: DataFrame, options: RunOptions) -> DataFrame:
     thresholds = options.source_thresholds
-    scored = score_news(fresh, options.scorer, options.threshold, thresholds, options.base_hints)
-    if options.use_registry_threshold and "threshold" in fresh.columns:
-        own = F.coalesce("threshold", F.lit(options.threshold))
-        scored = scored.withColumn("is_uplifting", F.col("is_uplifting") & (F.col("uplifting_score") >= own))
-    return scored
+    own = F.col("threshold") if options.use_registry_threshold and "threshold" in fresh.columns else None
+    return score_news(fresh, options.scorer, options.threshold, thresholds, options.base_hints, own)
 
 
 def _enrich(run: _Run, positive: DataFrame) -> DataFrame:
@@ -242,7 +271,10 @@ def _stage_rows(run: _Run, table: str, rows: DataFrame) -> list[str]:
     mapped = store_rows(rows, run.moment, raw=table == "crawled_articles")
     ready = with_source_ids(mapped, run.store.scan("sources", ["id", "source_id"]))
     stamped = ready.withColumns({"id": F.xxhash64("url"), "created_at": run.moment})
-    return run.store.stage_batch(table, stamped)
+    # The raw rows are written as they were scored and then the uplifting ones again: of
+    # equal urls the last uplifting row stays, but the first row of all gives the source.
+    last = F.struct("is_uplifting", "seq") if table == "crawled_articles" else None
+    return run.store.stage_batch(table, stamped, last=last)
 
 
 def _stage_final(run: _Run, enriched: DataFrame) -> list[str]:
@@ -260,7 +292,10 @@ def _stage_final(run: _Run, enriched: DataFrame) -> list[str]:
     return folders
 
 
-def _finish(run: _Run, batch_id: int | None) -> RunReport:
+def _finish(
+    run: _Run, stream_batch: tuple[str, int] | None, enriched: DataFrame | None = None
+) -> RunReport:
+    """Add the metrics, commit, and only then announce what is stored."""
     report, store = run.report, run.store
     report.end = dt.datetime.now(dt.timezone.utc)
     counts = report.counts
@@ -271,12 +306,12 @@ def _finish(run: _Run, batch_id: int | None) -> RunReport:
     )
     metrics = store.spark.createDataFrame([row], schemas.CRAWL_METRICS)
     run.folders["crawl_metrics"] = [*store.tables().get("crawl_metrics", []), store.stage("crawl_metrics", metrics)]
-    store.commit(run.folders, batch_id)
+    store.commit(run.folders, stream_batch)
     if run.options.events_path:
+        if enriched is not None:
+            events = article_events(enriched, "article_processed", "summarized")
+            write_events(events.withColumn("crawl_id", F.lit(report.crawl_id)), run.options.events_path)
         write_events(_run_events(run), run.options.events_path)
-    for name in run.folders:
-        if len(store.tables().get(name, [])) > run.options.compact_after:
-            store.compact(name)
     return report
 
 
@@ -284,18 +319,20 @@ def _run_events(run: _Run) -> DataFrame:
     """One event per written stage and one for the whole run."""
     report, schema = run.report, "event string, crawl_id string, status string, duration_ms double, " + ", ".join(
         f"{name} long" for name in _COUNTS
-    )
-    blank = (None,) * len(_COUNTS)
+    ) + ", avg_score double, errors array<string>"
+    blank = (None,) * (len(_COUNTS) + 2)
     rows = [
         (f"{name}_complete", report.crawl_id, "success", ms, *blank) for name, ms in report.stage_ms.items()
     ]
     whole = round((report.end - report.start).total_seconds() * 1000, 1)
     counts = tuple(report.counts.get(name) for name in _COUNTS)
-    rows.append(("crawl_complete", report.crawl_id, report.status, whole, *counts))
+    rows.append(
+        ("crawl_complete", report.crawl_id, report.status, whole, *counts, report.avg_score, report.errors or None)
+    )
     return run.store.spark.createDataFrame(rows, schema).coalesce(1)
 
 
 _COUNTS = (
     "articles_fetched", "articles_skipped", "articles_new", "articles_classified",
-    "articles_categorized", "articles_summarized", "articles_stored",
+    "articles_categorized", "articles_summarized", "articles_stored", "thumbnails_attempted", "thumbnails_found",
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,14 +32,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) is a fresh
-    temporary folder used.
+    Only where the session names none and runs on one machine (tests) is a
+    fresh temporary folder used; on a cluster that is an error, as executors do
+    not see each other's folders.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folders:
         _own_folders[app] = tempfile.mkdtemp(prefix="gladwire-")
@@ -59,12 +63,3 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = new_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A scan of fewer splits than cores, dealt out to all cores.
-
-    A scan that has enough splits, as any large table has, is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

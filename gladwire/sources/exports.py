@@ -59,8 +59,13 @@ def write_csv(export: DataFrame, path: str, one_file: bool = False) -> None:
 
 
 def write_split_csv(export: DataFrame, path: str) -> None:
-    """Write the uplifting and the other rows into two folders, ``uplifting=yes`` and ``=no``."""
-    export.write.options(header=True, escape='"').partitionBy("uplifting").csv(path)
+    """Write the uplifting and the other rows into two folders, ``uplifting=yes`` and ``=no``.
+
+    Within each, best score first, then by title, over the files in the order
+    of their names: the writer keeps an order that begins with the folder.
+    """
+    ordered = export.orderBy("uplifting", F.desc_nulls_last("uplifting_score"), F.asc_nulls_first("title"))
+    ordered.write.options(header=True, escape='"').partitionBy("uplifting").csv(path)
 
 
 def article_events(articles: DataFrame, event: str, stage: str) -> DataFrame:

@@ -15,7 +15,8 @@ from gladwire.functions.urls import clean_url
 from gladwire.operators.articles import (
     is_valid_entry, reddit_articles, rss_articles, valid_entries, with_published,
 )
-from gladwire.operators.limits import global_cap
+from gladwire.operators.enrich import one_page_per_url
+from gladwire.operators.limits import global_cap, richer_snapshot
 from gladwire.sources.registry import adapter_of, with_feed_address
 
 _ITEM = (
@@ -133,7 +134,7 @@ def with_entry_blocks(posts: DataFrame, entries: DataFrame, order: str = "pos")
 def with_page_html(posts: DataFrame, pages: DataFrame) -> DataFrame:
     """Posts with the HTML of their page where the entry gave no link.
 
-    ``pages`` has one row per url. Posts that need no page get a null key and a
+    Of several pages of a url one counts. Posts that need no page get a null key and a
     hash, so they spread over the partitions of the join.
     """
     needed = F.col("external").isNull()
@@ -143,7 +144,7 @@ def with_page_html(posts: DataFrame, pages: DataFrame) -> DataFrame:
             "_spread": F.when(needed, F.lit(0)).otherwise(F.hash("link")),
         }
     )
-    keys = pages.select(
+    keys = one_page_per_url(pages).select(
         F.col("url").alias("_url"), F.lit(0).alias("_spread"), F.col("html").alias("page_html")
     )
     return keyed.join(keys, ["_url", "_spread"], "left").drop("_url", "_spread")
@@ -214,14 +215,20 @@ def crawl_entries(
 def stamped_entries(feeds: DataFrame, registry: DataFrame) -> DataFrame:
     """Entries of all feeds with order, adapter and threshold of their source.
 
-    ``feeds`` has one document per source, ``registry`` one row per source.
-    Broken documents and sources without address contribute nothing.
+    ``registry`` has one row per source. Where ``feeds`` has a column ``copy``,
+    a source may have several documents: the one with most entries counts, on a tie
+    the copy read from the address itself (``copy = 'url'``). Broken documents and
+    sources without address contribute nothing.
     """
     known = with_feed_address(registry).select(
         "source_id", "source_ord", adapter_of(F.col("adapter")).alias("adapter"),
         F.coalesce("threshold", F.lit(fixed.DEFAULT_THRESHOLD)).alias("threshold"),
     )
-    return feed_entries(feeds.select("source_id", "xml").join(known, "source_id"))
+    if "copy" not in feeds.columns:
+        return feed_entries(feeds.select("source_id", "xml").join(known, "source_id"))
+    parsed = parse_feeds(feeds.select("source_id", "copy", "xml")).drop("xml")
+    richer = richer_snapshot(parsed, F.coalesce(F.col("copy") == "url", F.lit(False))).drop("copy")
+    return explode_entries(richer.join(known, "source_id"))
 
 
 def crawl(

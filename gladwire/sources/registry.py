@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gladwire import fixed, schemas
 from gladwire.functions.text import non_empty
+from gladwire.session import new_folder
 
 
 class RegistryError(ValueError):
@@ -70,14 +71,18 @@ def registry_problems(raw: DataFrame, record: str = "record", order: str = "ord"
 
 
 def validate_registry(raw: DataFrame, record: str = "record", order: str = "ord") -> DataFrame:
-    """The records unchanged; raises ``RegistryError`` with all problems together."""
-    report = registry_problems(raw, record, order)
-    shown = [r["problem"] for r in report.orderBy(order).limit(1000).collect()]
-    if shown:
-        more = report.count() - len(shown)
-        tail = [f"... and {more} more, see the report"] if more else []
-        lines = "\n".join(f"  - {line}" for line in shown + tail)
-        raise RegistryError(f"The source registry is not valid:\n{lines}", report)
+    """The records unchanged; raises ``RegistryError`` with the table of all problems.
+
+    The problems are written to the shared folder, one row each; the error gives
+    their number and place, and ``report`` reads them.
+    """
+    problems = registry_problems(raw, record, order)
+    path = new_folder(raw.sparkSession, "registry-problems")
+    problems.write.parquet(path)
+    report = raw.sparkSession.read.schema(problems.schema).parquet(path)
+    count = report.count()
+    if count:
+        raise RegistryError(f"The source registry is not valid: {count} problems, listed in {path}", report)
     return raw
 
 
@@ -120,6 +125,11 @@ def load_registry(spark: SparkSession, path: str) -> DataFrame:
     return active_sources(registry)
 
 
+def source_key(registry: DataFrame) -> Column:
+    """The key of a source; its name where it has none."""
+    return F.coalesce(non_empty("source_id"), non_empty("name")) if "name" in registry.columns else F.col("source_id")
+
+
 def seed_rows(registry: DataFrame) -> DataFrame:
     """Registry rows as rows of the sources table; an absent flag counts as active."""
     active = F.coalesce(F.col("active"), F.lit(True)) if "active" in registry.columns else F.lit(True)

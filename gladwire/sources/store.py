@@ -15,14 +15,14 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gladwire import fixed, schemas
 from gladwire.operators.merge import collapse, insert_or_ignore
 
 # the newest row holds the whole state
-_COMMITS = "commit_id long, batch_id long, tables map<string,array<string>>"
+_COMMITS = "commit_id long, streams map<string,long>, tables map<string,array<string>>"
 
 # key of a table, and the columns a later version of a row does not change
 KEYS = {
@@ -44,7 +44,7 @@ class ArticleStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._newest: tuple[int, int | None, dict[str, list[str]]] | None = None
+        self._newest: tuple[int, dict[str, int], dict[str, list[str]]] | None = None
 
     # --- commits ---
 
@@ -58,10 +58,10 @@ class ArticleStore:
                 raise
             return self.spark.createDataFrame([], _COMMITS)
 
-    def _latest(self) -> tuple[int, int | None, dict[str, list[str]]]:
+    def _latest(self) -> tuple[int, dict[str, int], dict[str, list[str]]]:
         if self._newest is None:
             rows = self._commits().orderBy(F.desc("commit_id")).limit(1).collect()
-            self._newest = tuple(rows[0]) if rows else (-1, None, {})
+            self._newest = tuple(rows[0]) if rows else (-1, {}, {})
         return self._newest
 
     def refresh(self) -> None:
@@ -72,15 +72,23 @@ class ArticleStore:
         """Folders of each table in the newest commit."""
         return dict(self._latest()[2])
 
-    def last_batch_id(self) -> int | None:
-        """The newest batch id committed by a stream."""
-        return self._latest()[1]
+    def last_batch_id(self, stream: str) -> int | None:
+        """The newest batch id that this stream has committed."""
+        return self._latest()[1].get(stream)
 
-    def commit(self, tables: Mapping[str, Sequence[str]], batch_id: int | None = None) -> int:
-        """Make the given folder lists current; other tables and the batch id stay as they are."""
-        newest, last_batch, current = self._latest()
+    def commit(self, tables: Mapping[str, Sequence[str]], batch: tuple[str, int] | None = None) -> int:
+        """Make the given folder lists current; other tables and streams stay as they are.
+
+        ``batch`` is the name and the batch id of the stream that commits. The newest
+        commit is read again first: one by another writer, since this store
+        looked last, is an error, as the lists would undo it.
+        """
+        newest, streams, current = self._latest()
+        self._newest = None
+        if self._latest()[0] != newest:
+            raise RuntimeError("another writer has committed meanwhile; refresh and stage again")
         merged = {**current, **{name: list(folders) for name, folders in tables.items()}}
-        commit = (newest + 1, last_batch if batch_id is None else batch_id, merged)
+        commit = (newest + 1, {**streams, **({batch[0]: batch[1]} if batch else {})}, merged)
         row = self.spark.createDataFrame([commit], _COMMITS)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
         self._newest = commit
@@ -93,29 +101,40 @@ class ArticleStore:
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/{f}" for f in folders])
 
     def read_folders(
-        self, name: str, folders: Sequence[str], columns: Sequence[str] | None = None
+        self,
+        name: str,
+        folders: Sequence[str],
+        columns: Sequence[str] | None = None,
+        keys: DataFrame | None = None,
     ) -> DataFrame:
         """A table made of the given folders; columns an older folder lacks are null.
 
         Name the ``columns`` you need: the collapse packs whole rows, so the
-        planner cannot drop the others by itself.
+        planner cannot drop the others by itself. ``keys`` are the only keys
+        wanted; other rows are dropped before the collapse.
         """
         columns = list(columns or schemas.TABLES[name].names)
         key, kept = KEYS[name]
         if not folders:
             return self.spark.createDataFrame([], schemas.TABLES[name]).select(*columns)
         if key is None or len(folders) == 1:
-            return self._folder(name, folders).select(*columns)
+            rows = self._folder(name, folders)
+            return (rows if keys is None else rows.join(keys, key, "left_semi")).select(*columns)
         needed = list(dict.fromkeys([key, *columns]))
         parts = [
             self._folder(name, [f]).select(*needed).withColumn("_age", F.lit(i))
             for i, f in enumerate(folders)
         ]
-        return collapse(reduce(DataFrame.unionByName, parts), key, "_age", kept).select(*columns)
+        rows = reduce(DataFrame.unionByName, parts)
+        if keys is not None:
+            rows = rows.join(keys, key, "left_semi")
+        return collapse(rows, key, "_age", kept).select(*columns)
 
-    def scan(self, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-        """The table, or some of its columns, as of the newest commit."""
-        return self.read_folders(name, self.tables().get(name, []), columns)
+    def scan(
+        self, name: str, columns: Sequence[str] | None = None, keys: DataFrame | None = None
+    ) -> DataFrame:
+        """The table, or some of its columns or keys, as of the newest commit."""
+        return self.read_folders(name, self.tables().get(name, []), columns, keys)
 
     def scan_versions(self, name: str) -> DataFrame:
         """All versions of all rows, not collapsed; enough where only keys matter."""
@@ -132,10 +151,12 @@ class ArticleStore:
         rows.write.parquet(f"{self.root}/{folder}")
         return folder
 
-    def stage_batch(self, name: str, rows: DataFrame, order: str = "seq") -> list[str]:
+    def stage_batch(
+        self, name: str, rows: DataFrame, order: str = "seq", last: Column | None = None
+    ) -> list[str]:
         """Stage an insert-or-update batch; gives the folder list to commit."""
         key, kept = KEYS[name]
-        one = collapse(rows, key, order, kept)
+        one = collapse(rows, key, order, kept, last)
         ready = one.select(
             *[
                 (F.col(f.name) if f.name in one.columns else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -144,9 +165,9 @@ class ArticleStore:
         )
         return [*self.tables().get(name, []), self.stage(name, ready)]
 
-    def upsert(self, name: str, rows: DataFrame, order: str = "seq", batch_id: int | None = None) -> None:
+    def upsert(self, name: str, rows: DataFrame, order: str = "seq") -> None:
         """Insert or update a batch, all rows or none."""
-        self.commit({name: self.stage_batch(name, rows, order)}, batch_id)
+        self.commit({name: self.stage_batch(name, rows, order)})
 
     def replace(self, name: str, rows: DataFrame) -> None:
         """Make ``rows`` the whole table."""

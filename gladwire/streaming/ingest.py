@@ -14,17 +14,23 @@ def ingest_stream(
     articles: DataFrame,
     checkpoint: str,
     options: RunOptions = RunOptions(),
+    name: str | None = None,
 ) -> StreamingQuery:
     """Run every arriving batch of a stream of articles into the store, then stop.
 
-    The batch id is part of the commit, so a batch that is replayed after a
-    crash is not stored twice.
+    Batch ids count from 0 in every checkpoint, so they are compared only
+    within a stream: ``name``, by default the folder of its checkpoint. The
+    name and the id are part of the commit, so a batch that is replayed after a crash
+    is not stored twice. A stream that starts anew from another checkpoint
+    runs all its batches; what the store knows is dropped by the run itself.
     """
+    stream = name or checkpoint
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        done = store.last_batch_id()
+        store.refresh()
+        done = store.last_batch_id(stream)
         if done is None or batch_id > done:
-            run_batch(store, batch, options, batch_id)
+            run_batch(store, batch, options, (stream, batch_id))
 
     return (
         articles.writeStream.foreachBatch(one_batch)
@@ -34,6 +40,11 @@ def ingest_stream(
     )
 
 
-def drop_repeats(articles: DataFrame, delay: str = "7 days") -> DataFrame:
-    """First arrival of each url within the delay; the state of older urls is dropped."""
-    return articles.withWatermark("published_at", delay).dropDuplicatesWithinWatermark(["url"])
+def drop_repeats(articles: DataFrame, delay: str = "7 days", arrived: str = "crawled_at") -> DataFrame:
+    """First arrival of each url within the delay; the state of older urls is dropped.
+
+    Time is the moment of arrival, which the crawl sets. The date of an
+    article is its publisher's: an old one is no late row, and one in the
+    future must not move the watermark.
+    """
+    return articles.withWatermark(arrived, delay).dropDuplicatesWithinWatermark(["url"])

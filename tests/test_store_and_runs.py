@@ -60,10 +60,10 @@ def test_strict_sources(spark, store):
 
 def test_unknown_source_writes_nothing(spark, store):
     run_batch(store, batch(spark, article("Cup wins", "u1")))
-    with pytest.raises(Exception, match="'nobody' is not in the sources"):
-        run_batch(store, batch(spark, article("Hope wins", "u2"), article("War", "u3", "nobody")))
+    report = run_batch(store, batch(spark, article("Hope wins", "u2"), article("War", "u3", "nobody")))
+    assert report.status == "partial_failure" and "'nobody' is not in the sources" in report.errors[0]
     assert stored(store, "articles", "url") == [("u1",)] and stored(store, "crawled_articles", "url") == [("u1",)]
-    assert store.scan("crawl_metrics").count() == 1
+    assert sorted(r.articles_stored for r in store.scan("crawl_metrics").collect()) == [0, 1]
 
 
 def test_failing_hook_is_recorded_and_the_rows_go_on(spark, store):
@@ -100,15 +100,54 @@ def test_raised_threshold_purges_the_final_table(spark, store):
     assert len(stored(store, "crawled_articles", "url")) == 3
 
 
-def test_many_runs_are_compacted(spark, store):
-    for i in range(4):
-        run_batch(store, batch(spark, article(f"Cup wins {i}", f"u{i}")), RunOptions(compact_after=2))
-    assert len(store.tables()["articles"]) <= 2 and len(stored(store, "articles", "url")) == 4
+def test_many_runs_are_compacted_on_request(spark, store):
+    for i in range(3):
+        run_batch(store, batch(spark, article(f"Cup wins {i}", f"u{i}")))
+    assert len(store.tables()["articles"]) == 3
+    store.compact("articles")
+    assert len(store.tables()["articles"]) == 1 and len(stored(store, "articles", "url")) == 3
+
+
+def test_raw_store_keeps_the_last_uplifting_row(spark, store):
+    run_batch(store, batch(spark, article("Dog rescued from river", "u1"), article("Dull words", "u1", "BBCNews"), article("Dull", "u2"), article("Duller", "u2")))
+    assert stored(store, "articles", "url", "title") == [("u1", "Dog rescued from river")]
+    assert stored(store, "crawled_articles", "url", "title", "is_uplifting", "source_id") == [
+        ("u1", "Dog rescued from river", True, 1), ("u2", "Duller", False, 1)]
+
+
+def test_failing_scores_and_writes_leave_metrics(spark, store, tmp_path):
+    def broken(title):
+        return F.raise_error(F.lit("no model")).cast("double")
 
+    report = run_batch(store, batch(spark, article("Cup wins", "u1")), RunOptions(scorer=broken))
+    assert report.status == "partial_failure" and report.counts["articles_classified"] == 0
+    assert report.errors[0].startswith("classification_failed")
+    events = str(tmp_path / "events")
+    bad = run_batch(store, batch(spark, article("Cup wins", "u1", "Nobody")), RunOptions(events_path=events))
+    assert bad.errors[0].startswith("database_write_failed") and bad.counts["articles_stored"] == 0
+    assert bad.counts["articles_classified"] == 1 and store.scan("articles").count() == 0
+    rows = store.scan("crawl_metrics").collect()
+    assert len(rows) == 2 and all(r.articles_stored == 0 and r.errors for r in rows)
+    # nothing is announced that is not stored
+    assert spark.read.json(events).filter("event = 'article_processed'").count() == 0
 
-def test_registry_threshold_is_an_option(spark, store):
-    rows = batch(spark, article("Cup wins", "u1"), article("Hope wins", "u2")).withColumn("threshold", F.lit(0.9))
-    assert run_batch(store, rows.limit(0).unionByName(rows), RunOptions(use_registry_threshold=True)).counts["articles_classified"] == 1
+
+def test_another_writer_is_noticed(spark, store):
+    other = ArticleStore(spark, store.root)
+    store.tables()
+    other.append("crawl_metrics", spark.createDataFrame([], schemas.CRAWL_METRICS))
+    with pytest.raises(RuntimeError):
+        store.append("crawl_metrics", spark.createDataFrame([], schemas.CRAWL_METRICS))
+    store.refresh()
+    store.append("crawl_metrics", spark.createDataFrame([], schemas.CRAWL_METRICS))
+    assert len(store.tables()["crawl_metrics"]) == 2
+
+
+@pytest.mark.parametrize(("own", "classified"), [(0.9, 1), (0.05, 3), (None, 2)])
+def test_registry_threshold_is_an_option(spark, store, own, classified):
+    rows = batch(spark, article("Cup wins", "u1"), article("Hope wins", "u2"), article("Dull", "u3"))
+    rows = rows.withColumn("threshold", F.lit(own).cast("double"))
+    assert run_batch(store, rows.limit(0).unionByName(rows), RunOptions(use_registry_threshold=True)).counts["articles_classified"] == classified
 
 
 def test_seeds_do_not_replace(spark, tmp_path):
@@ -141,6 +180,19 @@ def test_exports_are_files(spark, store, tmp_path):
     assert {p.name for p in (tmp_path / "split").glob("uplifting=*")} == {"uplifting=yes", "uplifting=no"}
 
 
+def test_split_files_are_in_order(spark, tmp_path):
+    rows = spark.range(400).select(
+        F.concat(F.lit("t"), F.col("id") % 7).alias("title"), (F.hash("id") % 5 / 10.0).alias("uplifting_score"),
+        F.when(F.col("id") % 3 == 0, "yes").otherwise("no").alias("uplifting"),
+    )
+    exports.write_split_csv(rows.repartition(5), str(tmp_path / "split"))
+    for half in ("yes", "no"):
+        lines = []
+        for file in sorted((tmp_path / "split" / f"uplifting={half}").glob("*.csv")):
+            lines += [line.split(",") for line in file.read_text().splitlines()[1:]]
+        assert lines == sorted(lines, key=lambda line: (-float(line[1]), line[0])) and len(lines) > 100
+
+
 def test_events_leave_out_nulls(spark, tmp_path):
     rows = spark.createDataFrame([("a", "u", "t" * 200, 0.123456, None), ("a", "v", None, None, 12.34)],
                                  "source_id string, url string, title string, uplifting_score double, duration_ms double")
@@ -162,21 +214,28 @@ def test_stream_runs_each_batch_once(spark, store, tmp_path):
     batch(spark, article("Cup wins", "u1"), article("Hope rescued", "u3")).coalesce(1).write.mode("append").parquet(arrivals)
     ingest_stream(store, stream(), str(tmp_path / "cp")).awaitTermination()
     assert stored(store, "articles", "url") == [("u1",), ("u3",)]
-    assert store.last_batch_id() == 1 and store.scan("crawl_metrics").count() == 2
-    # a lost checkpoint replays the batches; those committed are skipped
-    ingest_stream(store, stream(), str(tmp_path / "cp2")).awaitTermination()
+    assert store.last_batch_id(str(tmp_path / "cp")) == 1 and store.scan("crawl_metrics").count() == 2
+    # a replay of the same stream is skipped
+    ingest_stream(store, stream(), str(tmp_path / "cp2"), name=str(tmp_path / "cp")).awaitTermination()
     assert store.scan("crawl_metrics").count() == 2
+    # another stream, whose ids begin at 0 again, is not
+    batch(spark, article("A success", "u9", when=None)).coalesce(1).write.parquet(str(tmp_path / "other"))
+    second = spark.readStream.schema(first.schema).parquet(str(tmp_path / "other"))
+    ingest_stream(store, second, str(tmp_path / "cp3")).awaitTermination()
+    assert stored(store, "articles", "url") == [("u1",), ("u3",), ("u9",)] and store.scan("crawl_metrics").count() == 3
 
 
 def test_stream_dedup(spark, tmp_path):
-    rows = [("u1", DAY), ("u2", DAY), ("u1", DAY + dt.timedelta(minutes=1)), ("u3", DAY)]
-    for part in (rows[:2], rows[2:]):
-        spark.createDataFrame(part, "url string, published_at timestamp").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema("url string, published_at timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    query = (drop_repeats(stream, "1 day").writeStream.format("parquet").option("path", str(tmp_path / "out"))
+    old, future, minute = dt.datetime(2020, 1, 1), dt.datetime(2099, 1, 1), dt.timedelta(minutes=1)
+    rows = [("u1", DAY, DAY), ("u2", future, DAY), ("u1", DAY, DAY + minute), ("u3", old, DAY + minute), ("u4", None, DAY + 2 * minute)]
+    kind = "url string, published_at timestamp, crawled_at timestamp"
+    for part in (rows[:2], rows[2:4], rows[4:]):
+        spark.createDataFrame(part, kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = (drop_repeats(stream).writeStream.format("parquet").option("path", str(tmp_path / "out"))
              .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
     query.awaitTermination()
-    assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["u1", "u2", "u3"]
+    assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["u1", "u2", "u3", "u4"]
 
 
 def test_crawl_into_the_store_with_events(spark, store, tmp_path):
@@ -191,6 +250,7 @@ def test_crawl_into_the_store_with_events(spark, store, tmp_path):
     assert stored(store, "articles", "url") == [("https://a.org/1",), ("https://a.org/3",)]
     events = spark.read.json(str(tmp_path / "events"))
     assert events.filter("event = 'article_processed'").count() == 2
+    assert events.filter(F.col("crawl_id") != report.crawl_id).count() == 0
     assert events.filter("event = 'crawl_complete' and articles_stored = 2").count() == 1
 
 
