@@ -14,7 +14,7 @@ from gladwire.session import written
 __all__ = ["arrow_rows", "fold", "most_frequent", "sampled", "text_words", "word_counts", "written"]
 
 # Distinct words one task holds before it hands its counts on.
-WORDS_IN_MEMORY = 150_000
+WORDS_IN_MEMORY = 300_000
 
 
 def text_words(text: str | None) -> list[bytes]:

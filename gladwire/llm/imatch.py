@@ -15,7 +15,7 @@ Defined cases: null is the empty text, and its fingerprint is empty; a text
 with terms but none in the lexicon is fingerprinted over all its terms; equal
 texts have equal fingerprints; two empty fingerprints agree with 1, an empty
 and another with 0; repeated rows each count in the frequencies. Rows are in
-the order of id, then text; null ids come first. Texts are read whole.
+the order of id, then of the text's hash; null ids come first. Texts are read whole.
 """
 
 from __future__ import annotations
@@ -23,7 +23,10 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,62 +98,79 @@ def edited(text: str, follower: str) -> str:
     return text[: len(text) - half] + follower[:half]
 
 
+def _slices(ids: pa.Array, bounds: np.ndarray) -> np.ndarray:
+    """The slice of each id: how many bounds lie at or below it; 0 for null."""
+    known = ids.fill_null(0).to_numpy(zero_copy_only=False)
+    return np.where(ids.is_null(), 0, np.searchsorted(bounds, known, side="right")).astype(np.int32)
+
+
 def with_followers(docs: DataFrame, slices: int) -> DataFrame:
-    """``slice, own, doc_id, text``, so that each slice holds its rows and the row after its last.
+    """``slice, after, doc_id, tie, packed``: each slice holds its rows and the row after its last.
 
-    Slices are ranges of ids at estimated quantiles; one row per slice moves
-    between them.
+    Slices are ranges of ids at estimated quantiles; only the first rows of a
+    slice also go to the one before, marked by ``after``. Texts are packed for the way.
     """
+    spark = docs.sparkSession
     share = [i / slices for i in range(1, slices)]
-    bounds = sorted(set(docs.approxQuantile("doc_id", share, 0.2 / slices))) if share else []
-    known = F.array(*[F.lit(int(b)) for b in bounds]).cast("array<bigint>")
-    number = F.size(F.filter(known, lambda b: b <= F.col("doc_id")))
-    number = F.when(F.col("doc_id").isNull(), 0).otherwise(number)
-    rows = docs.select("doc_id", "text").withColumn("slice", number)
-    # The smallest id of each slice that has rows; nulls are the smallest of all.
-    first = rows.groupBy("slice").agg(
+    quantiles = docs.approxQuantile("doc_id", share, 0.2 / slices) if share else []
+    bounds = spark.sparkContext.broadcast(np.array(sorted({int(b) for b in quantiles}), dtype=np.int64))
+
+    def number(batches):
+        for batch in batches:
+            yield {"slice": _slices(batch.column(0), bounds.value), "doc_id": batch.column(0)}
+
+    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    first = arrow_rows(own.select("doc_id"), "slice int, doc_id bigint", number).groupBy("slice").agg(
         F.min("doc_id").alias("least"), F.max(F.col("doc_id").isNull()).alias("nulls")
     )
+    # Null ids are the smallest. One row per slice comes to the driver.
     heads = sorted((r["slice"], None if r["nulls"] else r["least"]) for r in first.collect())
-    used = [s for s, _ in heads]
-    copies = [
-        F.when(
-            (F.col("slice") == s) & F.col("doc_id").eqNullSafe(F.lit(head).cast("bigint")), F.lit(used[i - 1])
-        )
-        for i, (s, head) in enumerate(heads)
-    ]
-    to = F.coalesce(*copies) if copies else F.lit(None).cast("int")
-    both = F.array_compact(
-        F.array(
-            F.struct(F.col("slice"), F.lit(0).alias("after")),
-            F.when(to.isNotNull(), F.struct(to.alias("slice"), F.lit(1).alias("after"))),
-        )
+    to = {s: (head, heads[i - 1][0]) for i, (s, head) in enumerate(heads)}
+    known = spark.sparkContext.broadcast(to)
+
+    def deal(batches):
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            place = _slices(ids, bounds.value).tolist()
+            packed = [None if t is None else pack(t.encode()) for t in texts]
+            rows = [(s, 0, i) for i, s in enumerate(place)]
+            listed = ids.to_pylist()
+            rows += [(known.value[s][1], 1, i) for i, s in enumerate(place) if listed[i] == known.value[s][0]]
+            at = [i for *_, i in rows]
+            yield {
+                "slice": [s for s, *_ in rows], "after": [a for _, a, _ in rows], "doc_id": ids.take(pa.array(at)),
+                "tie": batch.column(2).take(pa.array(at)), "packed": [packed[i] for i in at],
+            }
+
+    return arrow_rows(
+        own.withColumn("tie", F.xxhash64("text")), "slice int, after int, doc_id bigint, tie bigint, packed binary", deal
     )
-    return rows.select("doc_id", "text", F.explode(both).alias("b")).select("b.slice", "b.after", "doc_id", "text")
 
 
 def compare(docs: DataFrame, terms: frozenset[bytes], slices: int | None = None) -> DataFrame:
     """Fingerprints of every text, of its edited text, and their likenesses."""
     spark = docs.sparkSession
-    slices = slices or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = slices or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = spark.sparkContext.broadcast(terms)
     laid = with_followers(docs, slices).repartition("slice").sortWithinPartitions(
-        "slice", "after", F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()
+        "slice", "after", F.col("doc_id").asc_nulls_first(), "tie"
     )
 
     def pairs(batches) -> Iterator[tuple]:
         """Each own row of a slice with the text after it."""
-        held = None
+        held, unpack = None, zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for place, after, doc_id, _, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                text = unpack(packed).decode() if packed else ""
                 if held is not None:
-                    if held[0] == row[0]:
-                        yield held, row[3] or ""
+                    if held[0] == place:
+                        yield held[1:], text
                         held = None
                     else:
                         raise ValueError("a slice has no row after its last")
-                if not row[1]:
-                    held = row
+                if not after:
+                    held = place, doc_id, text
         if held is not None:
             raise ValueError("a slice has no row after its last")
 
@@ -164,8 +184,7 @@ def compare(docs: DataFrame, terms: frozenset[bytes], slices: int | None = None)
             return last[1]
 
         out: list[tuple] = []
-        for (_, _, doc_id, text), follower in pairs(batches):
-            text = text or ""
+        for (doc_id, text), follower in pairs(batches):
             changed = edited(text, follower)
             own, other = of(text), fingerprint(changed, terms, subsets)
             after = of(follower)
