@@ -3,8 +3,9 @@
 A document leaks an item if some window of as many words as the item has a
 weighted shingle similarity of at least ``THRESHOLD`` with it: shingles of
 five words, each weighing as often as it occurs, least weights over greatest.
-Such a window shares a shingle with the item, so only windows around a shared
-shingle are looked at, all of them. They get 64-bit SimHash fingerprints of
+Such a window shares shingles with the item, at least the weight that the
+threshold implies, so only windows with enough places of shared shingles are
+looked at, all of them. They get 64-bit SimHash fingerprints of
 their words. Fingerprints within a Hamming distance of ``RADIUS`` agree in at
 least one of ``RADIUS + 1`` blocks, so a join on the blocks finds them all;
 what lies within the radius is verified exactly.
@@ -139,7 +140,14 @@ def _windows(docs: DataFrame, anchors: DataFrame) -> DataFrame:
             )
         )
     )
-    spread = joined.select("id", "th", "item", "m", "s", "w", F.explode(starts).alias("start"))
+    # The anchors inside a window bound the weight it can share with the item.
+    held = F.least(F.size("w"), F.col("m")) - F.col("s") + 1 + F.col("m") - F.col("s") + 1
+    needed = held * THRESHOLD / (1 + THRESHOLD) - 1e-6
+    hopeful = F.filter(
+        starts,
+        lambda start: F.size(F.filter("ats", lambda at: (at >= start) & (at <= start + F.col("m") - F.col("s")))) >= needed,
+    )
+    spread = joined.select("id", "th", "item", "m", "s", "w", F.explode(hopeful).alias("start"))
     return spread.select(
         "id", "th", "item", "start", "m", "s", F.expr("slice(w, start + 1, m)").alias("ww")
     )
