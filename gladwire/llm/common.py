@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from gladwire.session import written
 
@@ -29,10 +31,10 @@ def fold(doc_id: Column | str, folds: int) -> Column:
 
 
 def arrow_rows(
-    rows: DataFrame, schema: str, work: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]
+    rows: DataFrame, schema: str | StructType, work: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]
 ) -> DataFrame:
     """``mapInArrow`` for work that yields columns as lists."""
-    out = _arrow_schema(rows, schema)
+    out = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches):
         for columns in work(batches):
@@ -41,13 +43,6 @@ def arrow_rows(
     return rows.mapInArrow(run, schema)
 
 
-def _arrow_schema(rows: DataFrame, schema: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    return to_arrow_schema(StructType.fromDDL(schema))
-
-
 def word_counts(texts: DataFrame, once_per_text: bool = False) -> DataFrame:
     """``word, n``: how often each word occurs in column ``text``, or in how many texts.
 

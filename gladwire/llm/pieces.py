@@ -24,9 +24,13 @@ import os
 import zlib
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from gladwire.llm.common import arrow_rows
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THREADS = 2
@@ -34,6 +38,8 @@ VERIFY_EVERY = 8
 MARK = "▁"
 # Texts of one call of the backend: at most so many characters, or one text.
 BLOCK = 200_000
+# Rows whose ids are held at a time.
+ROWS = 200
 
 # Field numbers and kinds of the model format.
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
@@ -118,14 +124,9 @@ def merges(spec: Spec) -> list[tuple[str, str]]:
     return [(left, right) for *_, left, right in sorted(found)]
 
 
-def _marks_lead(spec: Spec) -> bool:
-    """Whether a space marker stands in pieces only before everything else."""
-    return all(MARK not in p.lstrip(MARK) for p, _, kind in spec.pieces if kind in (_NORMAL, _USER))
-
-
 def build(spec: Spec):
     """The backend's tokenizer for a model."""
-    from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
+    from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
     names = [p for p, _, _ in spec.pieces]
     if spec.kind == _UNIGRAM:
@@ -149,9 +150,6 @@ def build(spec: Spec):
     tokenizer = Tokenizer(model)
     if steps:
         tokenizer.normalizer = normalizers.Sequence(steps)
-    if _marks_lead(spec):
-        # No piece crosses from a word to the next marker, so words can be encoded apart.
-        tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}+[^{MARK}]*|[^{MARK}]+"), "isolated")
     back = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
     if spec.add_dummy_prefix:
         back.append(decoders.Strip(" ", 1, 0))
@@ -167,15 +165,25 @@ class Codec:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ["RAYON_NUM_THREADS"] = str(threads)
-        self.backend = build(parse(model))
+        spec = parse(model)
+        self.backend = build(spec)
         self.original = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.threads = threads
+        self.threads, self.lead = threads, int(spec.add_dummy_prefix)
+        self.bytes = [
+            bytes([int(p[3:5], 16)]) if kind == _BYTE else p.replace(MARK, " ").encode()
+            for p, _, kind in spec.pieces
+        ]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text, by the backend's threads."""
         blocks = (self.backend.encode_batch_fast(b, add_special_tokens=False) for b in _blocks(texts))
         return [e.ids for block in blocks for e in block]
 
+    def comes_back(self, text: str, ids: list[int]) -> bool:
+        """Whether the bytes of the pieces are those of the text."""
+        held = self.bytes
+        return b"".join([held[i] for i in ids])[self.lead :] == text.encode()
+
     def parity(self, texts: list[str], ids: list[list[int]], every: int) -> list[bool | None]:
         """Whether the original library agrees; None where a text is not tested."""
         tested = [i for i, t in enumerate(texts) if zlib.crc32(t.encode()) % every == 0]
@@ -207,27 +215,6 @@ def _shared(spark, model: str):
         return spark.sparkContext.broadcast(file.read())
 
 
-def encoder(spark, model: str = MODEL, every: int = VERIFY_EVERY):
-    """A function from a text column to ``ids``, ``parity`` and ``round_trip``."""
-    shared, own = _shared(spark, model), []
-
-    @F.pandas_udf("ids array<int>, parity boolean, round_trip boolean")
-    def encode(texts: pd.Series) -> pd.DataFrame:
-        if not own:
-            own.append(Codec(shared.value))
-        given = [t or "" for t in texts]
-        ids = own[0].encode(given)
-        back = own[0].decode(ids)
-        return pd.DataFrame(
-            {
-                "ids": ids, "parity": own[0].parity(given, ids, every),
-                "round_trip": [a == b for a, b in zip(given, back, strict=True)],
-            }
-        )
-
-    return encode
-
-
 def decoder(spark, model: str = MODEL):
     """A function from a column of ids to the text; null ids give null."""
     shared, own = _shared(spark, model), []
@@ -242,15 +229,30 @@ def decoder(spark, model: str = MODEL):
     return decode
 
 
-def tokenized(docs: DataFrame, model: str = MODEL) -> DataFrame:
+def tokenized(docs: DataFrame, model: str = MODEL, every: int = VERIFY_EVERY) -> DataFrame:
     """The rows with ``token_ids, n_tokens, parity, round_trip`` behind their columns.
 
     Columns of these names that the rows already have are replaced.
     """
     added = ("token_ids", "n_tokens", "parity", "round_trip")
-    coded = encoder(docs.sparkSession, model)(F.col("text"))
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in added]
-    return docs.select(*kept, coded.alias("_coded")).select(
-        *kept, F.col("_coded.ids").alias("token_ids"), F.size("_coded.ids").alias("n_tokens"),
-        F.col("_coded.parity").alias("parity"), F.col("_coded.round_trip").alias("round_trip"),
-    )
+    kept = [c for c in docs.columns if c not in added]
+    rows = docs.select(F.col("text"), *(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(kept)))
+    more = StructType.fromDDL("token_ids array<int>, n_tokens int, parity boolean, round_trip boolean")
+    shared, names = _shared(docs.sparkSession, model), rows.columns[1:]
+
+    def work(batches):
+        codec = Codec(shared.value)
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                texts = [t or "" for t in batch.column(0).to_pylist()]
+                ids = codec.encode(texts)
+                yield {
+                    **{name: batch.column(i + 1) for i, name in enumerate(names)},
+                    "token_ids": [np.array(i, dtype=np.int32) for i in ids], "n_tokens": [len(i) for i in ids],
+                    "parity": codec.parity(texts, ids, every),
+                    "round_trip": [codec.comes_back(t, i) for t, i in zip(texts, ids, strict=True)],
+                }
+
+    coded = arrow_rows(rows, StructType(rows.schema.fields[1:] + more.fields), work)
+    return coded.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(kept)), *added)
