@@ -107,8 +107,8 @@ def error_join(t: Tables) -> DataFrame:
     SELECT run, CASE WHEN count(message) = 0 THEN 'success' ELSE 'partial_failure' END AS status
     FROM ({_RUNS}) GROUP BY run""")
 def run_status(t: Tables) -> DataFrame:
-    joined = metrics.join_errors(_runs(t), "run", "event_id", "message")
-    return joined.select("run", metrics.run_status(F.col("errors")).alias("status"))
+    errors = F.nullif(F.count("message"), F.lit(0))
+    return _runs(t).groupBy("run").agg(metrics.run_status(errors).alias("status"))
 
 
 @check("run_duration", """

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from checks import check
 from checks.views import Tables
 from gladwire.functions import html, urls
-from gladwire.operators import articles as article_ops
 from gladwire.operators import enrich
+from gladwire.sources import feeds
 
 def _number():
     return F.col("page_id").cast("string")
@@ -113,16 +113,6 @@ def first_external_link(t: Tables) -> DataFrame:
     return t.read("pages").select("page_id", html.first_external_link(links).alias("link"))
 
 
-@check("legacy_headline_filter", """
-    SELECT page_id FROM pages WHERE NOT contains(url, 'blog.') AND NOT contains(url, '/fr/')""")
-def legacy_headline_filter(t: Tables) -> DataFrame:
-    resolved = F.when(_blog(), F.concat(F.lit("https://i.redd.it/"), _number())).when(
-        _french(), F.concat(F.lit("https://www.reddit.com/r/x/"), _number())
-    ).otherwise(urls.clean_url("url"))
-    rows = t.read("pages").withColumn("original_url", resolved)
-    return article_ops.drop_unresolved_posts(rows).select("page_id")
-
-
 def _post_pages(t: Tables) -> DataFrame:
     """Pages of posts: with a post element, with links in the content, or with links elsewhere."""
     element = F.concat(F.lit('<shreddit-post content-href="https://a.example.org/'), _number(), F.lit('?s=1"></shreddit-post>'))
@@ -142,6 +132,22 @@ _PAGE_LINK = """CASE WHEN contains(url, 'blog.') THEN 'https://a.example.org/' |
     WHEN contains(url, '/fr/') THEN 'https://early.example.org/x' END"""
 
 
+@check("legacy_headline_filter", f"""
+    SELECT page_id, coalesce({_PAGE_LINK}, regexp_replace(url, '[?#].*$', '')) AS original_url
+    FROM pages WHERE contains(url, 'blog.') OR contains(url, '/fr/') OR contains(url, '/en/')""")
+def legacy_headline_filter(t: Tables) -> DataFrame:
+    """Blogs and French pages are posts with a link; the other posts have none, or are media."""
+    post = F.concat(F.lit("https://www.reddit.com/r/x/comments/"), _number())
+    link = (
+        F.when(_blog() | _french(), post).when(F.col("url").contains("/en/"), F.col("url"))
+        .when(F.col("page_id") % 2 == 0, post).otherwise(F.concat(F.lit("https://i.redd.it/"), _number()))
+    )
+    linked = _post_pages(t).withColumn("link", link)
+    entries = linked.select("page_id", "link", F.lit(" a title ").alias("title"))
+    pages = linked.select(F.col("link").alias("url"), "html")
+    return feeds.older_headlines(entries, pages).select("page_id", "original_url")
+
+
 @check("reddit_page_link", f"SELECT page_id, {_PAGE_LINK} AS link FROM pages")
 def reddit_page_link(t: Tables) -> DataFrame:
     return _post_pages(t).select("page_id", html.reddit_page_link("html").alias("link"))

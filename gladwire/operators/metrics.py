@@ -66,7 +66,7 @@ def join_errors(errors: DataFrame, run: str, order: str, message: str) -> DataFr
 
 
 def run_status(errors: Column) -> Column:
-    """Status of a run by its error text."""
+    """Status of a run by its errors, as a text or a number; null is none."""
     return F.when(errors.isNull(), "success").otherwise("partial_failure")
 
 

@@ -155,7 +155,8 @@ def match_lexicon(titles: DataFrame, lexicon: DataFrame, title: str = "title") -
 
     Not a pairwise test: the first word of a hint must be a word of the title,
     so the two meet in an equality join; only hints that are more than one word
-    are then tested by their pattern. A hint needs a letter or digit.
+    are then tested by their pattern. A hint without any letter or digit has no
+    such word, and stops the job.
     """
     lowered = F.lower(F.col(title))
     found_words = F.array_distinct(F.filter(words(F.col(title)), lambda w: w != ""))
@@ -165,11 +166,13 @@ def match_lexicon(titles: DataFrame, lexicon: DataFrame, title: str = "title") -
     inside, outside = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
     left = F.when(hint.rlike(f"^{inside}"), rf"(?<!{inside})").otherwise(rf"(?<={inside})")
     right = F.when(hint.rlike(f"{inside}$"), rf"(?!{inside})").otherwise(rf"(?={inside})")
-    hints = lexicon.select("hint").distinct().select(
+    first = F.regexp_extract(hint, f"{inside}+", 0)
+    wordless = F.raise_error(F.concat(F.lit("a hint without letter or digit: "), hint)).cast("string")
+    hints = lexicon.select("hint").distinct().filter(F.col("hint").isNotNull()).select(
         "hint",
-        F.regexp_extract(hint, f"{inside}+", 0).alias("_word"),
+        F.when(first == "", wordless).otherwise(first).alias("_word"),
         F.concat(left, escaped, right).alias("_pattern"),
-    ).filter(F.col("_word") != "")
+    )
     met = exploded.join(hints, "_word", "inner")
     exact = (F.lower("hint") == F.col("_word")) | F.rlike(lowered, F.col("_pattern"))
     return met.filter(exact).drop("_word", "_pattern")

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gladwire import fixed
-from gladwire.functions.html import reddit_entry_link, reddit_page_link
+from gladwire.functions.html import reddit_entry_link, reddit_page_link, reddit_page_link_or_post
 from gladwire.functions.text import non_empty
-from gladwire.functions.urls import clean_url
+from gladwire.functions.urls import clean_url, is_reddit_internal
 from gladwire.operators.articles import (
-    is_valid_entry, reddit_articles, rss_articles, valid_entries, with_published,
+    drop_unresolved_posts, is_valid_entry, reddit_articles, rss_articles, valid_entries, with_published,
 )
 from gladwire.operators.enrich import one_page_per_url
 from gladwire.operators.limits import global_cap, richer_snapshot
@@ -160,6 +160,20 @@ def resolve_posts(posts: DataFrame, entries: DataFrame, pages: DataFrame | None
     return reddit_articles(found).drop("blocks", "external")
 
 
+def older_headlines(entries: DataFrame, pages: DataFrame) -> DataFrame:
+    """Headlines by the rules of the older reader, with ``original_url``.
+
+    A link that leads to Reddit becomes the external link of its page, or the
+    cleaned post where the page names none; other links are cleaned. Media
+    hosts and subreddit pages are then left out.
+    """
+    is_post = is_reddit_internal("link")
+    posts = valid_entries(entries).withColumn("external", F.when(~is_post, clean_url("link")))
+    read = with_page_html(posts, pages)
+    url = F.coalesce("external", reddit_page_link_or_post("page_html", "link"))
+    return drop_unresolved_posts(read.withColumn("original_url", url)).drop("external", "page_html")
+
+
 # --- crawl -------------------------------------------------------------------
 
 # An adapter maps (posts of its sources, all entries of its sources) to articles.
