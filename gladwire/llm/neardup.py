@@ -306,7 +306,9 @@ def _exact_links(members: DataFrame, size: int, percent: int) -> tuple[DataFrame
     dealt = rows.select(F.explode(cells).alias("cell"), "family", "cid", "part", "failed", "text").select(
         "family", "cell.kind", "cell.x", "cell.y", "cid", "part", "failed", "text"
     )
-    dealt = dealt.repartition("family", "kind", "x", "y").sortWithinPartitions("family", "kind", "x", "y", "cid")
+    # Few rows, but much work on each: a fixed number of tasks, which is not merged.
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(tasks, "family", "kind", "x", "y").sortWithinPartitions("family", "kind", "x", "y", "cid")
 
     def work(batches):
         for group in _groups(batches, 4):
