@@ -15,21 +15,21 @@ STRICT_THRESHOLDS = {
 }
 
 BASE_HINTS = (
-    "breakthrough", "celebrates", "charity", "donates", "helped", "helps",
-    "hope", "improves", "positive", "record high", "recovery", "rescued",
-    "saved", "success", "uplifting", "volunteer", "win", "wins",
+    "wins", "win", "rescued", "recovery", "breakthrough", "improves",
+    "helped", "helps", "saved", "donates", "charity", "volunteer",
+    "uplifting", "success", "record high", "celebrates", "hope", "positive",
 )
 
 EXTRA_POSITIVE_HINTS = (
-    "achievement", "award", "discover", "grateful", "growth", "healed",
-    "historic", "innovative", "inspiring", "joy", "kind", "milestone",
-    "partnership", "peace", "reunited",
+    "award", "achievement", "reunited", "healed", "milestone",
+    "historic", "discover", "partnership", "innovative", "growth",
+    "inspiring", "grateful", "joy", "kind", "peace",
 )
 
 NEGATIVE_HINTS = (
-    "arrested", "attack", "crash", "crisis", "dead", "death", "disaster",
-    "explosion", "fire", "flood", "kill", "killed", "murder", "terror",
-    "tragedy", "violence", "war", "wounded",
+    "kill", "killed", "dead", "death", "crash", "war", "attack",
+    "tragedy", "disaster", "crisis", "terror", "violence", "arrested",
+    "fire", "flood", "explosion", "murder", "wounded",
 )
 
 SCORE_BASE = 0.1
@@ -84,8 +84,7 @@ SUMMARY_MIN_WORDS = 30
 SUMMARY_MAX_WORDS = 130
 
 # --- fixed values: links and pages -------------------------------------------
-# "i.redd.it" and "v.redd.it" contain "redd.it", so two substrings cover all four.
-REDDIT_DOMAINS = ("reddit.com", "redd.it")
+REDDIT_DOMAINS = ("reddit.com", "redd.it", "i.redd.it", "v.redd.it")
 REDDIT_GALLERY = "reddit.com/gallery"
 IMAGE_META_NAMES = ("og:image", "twitter:image", "twitter:image:src")
 
