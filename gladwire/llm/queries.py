@@ -74,7 +74,40 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("op10_decontamination")
+@register(
+    "op10_decontamination",
+    r"""
+    WITH d AS (
+        SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+        FROM documents WHERE text IS NOT NULL),
+    ds AS (
+        SELECT doc_id, len(w) AS n, i AS place, array_to_string(w[i + 1:i + 5], ' ') AS sh
+        FROM d, LATERAL (SELECT unnest(range(len(w) - 4)) AS i)),
+    b AS (
+        SELECT item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+        FROM benchmark WHERE text IS NOT NULL),
+    bs AS (
+        SELECT item_id, len(w) AS m, array_to_string(w[i + 1:i + 5], ' ') AS sh, count(*) AS weight
+        FROM b, LATERAL (SELECT unnest(range(len(w) - 4)) AS i) GROUP BY ALL),
+    starts AS (
+        SELECT DISTINCT doc_id, item_id, m, n, unnest(range(
+            least(greatest(place - m + 5, 0), greatest(n - m, 0)), least(place, greatest(n - m, 0)) + 1)) AS start
+        FROM ds JOIN bs USING (sh)),
+    windows AS (
+        SELECT s.doc_id, s.item_id, s.start, ds.sh, count(*) AS c
+        FROM starts s JOIN ds ON ds.doc_id = s.doc_id AND ds.place BETWEEN s.start AND least(s.start + s.m, s.n) - 5
+        GROUP BY ALL),
+    sums AS (
+        SELECT w.doc_id, w.item_id, w.start, sum(w.c) AS own, sum(least(w.c, coalesce(bs.weight, 0))) AS shared
+        FROM windows w LEFT JOIN bs ON bs.item_id = w.item_id AND bs.sh = w.sh GROUP BY ALL),
+    scored AS (
+        SELECT doc_id, item_id, start, shared::DOUBLE / (own + whole - shared)::DOUBLE AS similarity
+        FROM sums JOIN (SELECT item_id, sum(weight) AS whole FROM bs GROUP BY item_id) USING (item_id))
+    SELECT doc_id, item_id, start::INT AS start, similarity FROM (
+        SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) AS rn FROM scored)
+    WHERE rn = 1 AND similarity >= 0.8
+    """,
+)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.leaks(docs, table(spark, sf_dir, "benchmark")).drop("text_hash")
