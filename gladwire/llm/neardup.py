@@ -50,9 +50,9 @@ RUN, SHORT_RUN = 4, 3
 # Sets of at most so many shingles also use short runs, of at least so many long ones.
 SHORT_UPTO, LONG_FROM = 15, 13
 # Estimates that tie a family, and that a pair across families needs.
-WEAK, LIKELY = 0.5, 0.6
+WEAK, LIKELY = 0.4, 0.6
 PARITY_WORDS = 8
-PARITY_FAR = 62
+PARITY_FAR = 52
 # A block of a family: at most about so many members and so many shingles.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 256, 200_000
 
