@@ -38,6 +38,22 @@ def test_pieces_parity_and_round_trip(spark):
     assert pieces.tokenized(docs.limit(0)).collect() == []
 
 
+@no_model
+def test_pieces_of_every_text_are_verified(spark, monkeypatch):
+    texts = [f"text {i} é" for i in range(40)] + ["text 0 é", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert all(r["parity"] is True and r["round_trip"] is True for r in pieces.tokenized(docs).collect())
+    codec = pieces.Codec(Path(pieces.MODEL).read_bytes(), 1)
+    encode, decode = codec.encode, codec.decode
+    texts = [t or "" for t in texts]
+    monkeypatch.setattr(codec, "encode", lambda own: [i + [5] for i in encode(own)])
+    assert codec.verified(texts, pieces.VERIFY_EVERY)[1] == [False] * len(texts)
+    monkeypatch.setattr(codec, "encode", encode)
+    monkeypatch.setattr(codec, "decode", lambda ids: [b + "x" for b in decode(ids)])
+    ids, same, back = codec.verified(texts, pieces.VERIFY_EVERY)
+    assert ids == encode(texts) and same == [True] * len(texts) and back == [False] * len(texts)
+
+
 def test_unigram_model_with_bytes():
     """A small unigram model, written by hand in the format, is rebuilt with parity."""
     import struct
