@@ -8,8 +8,9 @@ symbols times the shares of its rare words.
 
 Baum-Welch: every task computes expected counts of its texts with the scaled
 forward and backward recursions, and the counts are summed over the
-partitions. A few rounds over a bounded sample separate the states; the last
-rounds cover all training texts.
+partitions. Every round covers all training texts: their symbols are written
+once and read by each round, and texts that a batch holds several times are
+counted by their number of copies.
 
 Counts of the most frequent words are broadcast, at most ``KNOWN``; the other
 words of each text are looked up by a join. Equal texts ask once per task.
@@ -38,8 +39,8 @@ STATES = 8
 SYMBOLS = 16_384
 KNOWN = 150_000
 LONGEST = 64
-# Rounds over a sample of about so many texts, and over all training texts.
-SAMPLE_ROWS, SAMPLE_ROUNDS, FULL_ROUNDS = 3_000, 6, 1
+# Rounds, each over all training texts.
+ROUNDS = 7
 SEED = 7
 # Tokens that one recursion holds at a time (one text may be longer).
 BLOCK = 200_000
@@ -82,7 +83,7 @@ def _laid(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def forward(model: Model, texts: list[np.ndarray]):
     """Scaled forward values, scale of each token, and the layout."""
     flat, running, offsets = _laid(texts)
-    alpha = model.emit.T[flat]
+    alpha = np.ascontiguousarray(model.emit.T)[flat]
     scale = np.empty(len(flat))
     for t in range(len(running)):
         a = alpha[offsets[t] : offsets[t + 1]]
@@ -106,10 +107,14 @@ def log10_likelihoods(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def expected(model: Model, texts: list[np.ndarray], into: Model) -> None:
-    """Add the expected counts of the texts to ``into``."""
+def expected(model: Model, texts: list[np.ndarray], into: Model, times: np.ndarray | None = None) -> None:
+    """Add the expected counts of the texts, each ``times`` its own, to ``into``."""
     alpha, scale, flat, running, offsets = forward(model, texts)
-    emit = model.emit.T
+    if times is not None and (times != 1).any():
+        # The counts are linear in the forward values.
+        alpha *= times[np.arange(len(flat)) - np.repeat(offsets[:-1], running)][:, None]
+    emit = np.ascontiguousarray(model.emit.T)[flat]
+    emit /= scale[:, None]
     gamma = np.empty_like(alpha)
     beta = np.ones((0, alpha.shape[1]))
     for t in reversed(range(len(running))):
@@ -118,7 +123,7 @@ def expected(model: Model, texts: list[np.ndarray], into: Model) -> None:
         own[: len(beta)] = beta @ model.move.T
         gamma[lo:hi] = alpha[lo:hi] * own
         if t:
-            beta = own * emit[flat[lo:hi]] / scale[lo:hi, None]
+            beta = own * emit[lo:hi]
             into.move += (alpha[offsets[t - 1] : offsets[t - 1] + running[t]].T @ beta) * model.move
     into.start += gamma[: running[0]].sum(axis=0)
     for s in range(alpha.shape[1]):
@@ -175,34 +180,46 @@ def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
     return Vocabulary([w for w, _ in most], [c for _, c in most], n, v, ends)
 
 
-def train(texts: DataFrame, rows: int, vocabulary: Vocabulary) -> Model:
-    """Baum-Welch over column ``text`` of ``rows`` rows."""
+def _symbols(texts: DataFrame, vocabulary) -> DataFrame:
+    """``symbols, times``: the symbols of the texts of a batch, and how many are equal."""
+
+    def encode(batches):
+        known = vocabulary.value
+        for batch in batches:
+            copies = Counter(batch.column(0).to_pylist())
+            yield {
+                "symbols": [known.as_symbols(known.places(t)[0]).astype(np.uint32).tobytes() for t in copies],
+                "times": list(copies.values()),
+            }
+
+    return arrow_rows(texts.select("text"), "symbols binary, times bigint", encode)
+
+
+def train(texts: DataFrame, vocabulary: Vocabulary) -> Model:
+    """Baum-Welch over column ``text``."""
     spark, size = texts.sparkSession, vocabulary.symbols + 2
     rng = np.random.default_rng(SEED)
     model = normalised(
         Model(np.ones(STATES), np.ones((STATES, STATES)) + 40 * np.eye(STATES), rng.random((STATES, size)) + 0.5)
     )
-    share = max(1, rows // SAMPLE_ROWS)
-    sample = texts.filter(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).repartition(6, "text")
-    words = spark.sparkContext.broadcast(vocabulary)
-    for turn in range(SAMPLE_ROUNDS + FULL_ROUNDS):
+    coded = written(_symbols(texts, spark.sparkContext.broadcast(vocabulary)), "symbols")
+    for _ in range(ROUNDS):
         now = spark.sparkContext.broadcast(model)
 
         def count(batches, now=now):
-            known, model = words.value, now.value
+            model = now.value
             sums = Model(*(np.zeros_like(x) for x in (model.start, model.move, model.emit)))
             for batch in batches:
-                every = [known.as_symbols(known.places(t)[0]) for t in batch.column(0).to_pylist()]
+                every = [np.frombuffer(s, dtype=np.uint32) for s in batch.column(0).to_pylist()]
+                times = batch.column(1).to_numpy()
                 lengths = np.array([len(s) for s in every])
                 for block in sequences(lengths):
-                    expected(model, [every[i] for i in block], sums)
+                    expected(model, [every[i] for i in block], sums, times[block])
             stacked = np.concatenate([sums.start[None], sums.move, sums.emit.T])
             seen = np.flatnonzero(stacked.any(axis=1))
             yield {"row": seen, "counts": stacked[seen].tolist()}
 
-        part = arrow_rows(
-            (sample if turn < SAMPLE_ROUNDS else texts).select("text"), "row int, counts array<double>", count
-        )
+        part = arrow_rows(coded, "row int, counts array<double>", count)
         sums = part.groupBy("row").agg(*(F.sum(F.col("counts")[s]).alias(f"s{s}") for s in range(STATES)))
         got = sums.toPandas()
         stacked = np.zeros((1 + STATES + size, STATES))
@@ -225,7 +242,7 @@ def score(docs: DataFrame, trains: Column) -> DataFrame:
     rows = training.count()
     counts = written(word_counts(training), "word-counts")
     known = vocabulary(counts, rows)
-    shared = spark.sparkContext.broadcast((known, train(training, rows, known)))
+    shared = spark.sparkContext.broadcast((known, train(training, known)))
     kept = [c for c in docs.columns if c != "text"]
     taken = {c: f"_{i}" for i, c in enumerate(kept)}
 

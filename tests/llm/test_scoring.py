@@ -179,6 +179,30 @@ def test_model_is_a_distribution_over_one_word_texts(spark, monkeypatch):
     assert 0 < sum(10 ** got[100 + i] for i in range(6)) < 1
 
 
+def test_every_round_covers_all_training_texts(spark, monkeypatch):
+    """More texts than a sample would hold, a third of them equal, against a plain loop."""
+    monkeypatch.setattr(hmm, "SYMBOLS", 12)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("abcdefghijklmnop", k=rng.randint(0, 4))) for _ in range(6_000)] + ["a b a c"] * 3_000
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    counts = Counter(w for t in texts for w in text_words(t))
+    most = sorted(counts.items(), key=lambda w: (-w[1], w[0]))
+    known = hmm.Vocabulary([w for w, _ in most], [n for _, n in most], sum(counts.values()), len(most), len(texts))
+    got = hmm.train(docs, known)
+    start = np.random.default_rng(hmm.SEED)
+    size, states = known.symbols + 2, hmm.STATES
+    want = hmm.normalised(
+        hmm.Model(np.ones(states), np.ones((states, states)) + 40 * np.eye(states), start.random((states, size)) + 0.5)
+    )
+    every = sorted((known.as_symbols(known.places(t)[0]) for t in texts), key=len, reverse=True)
+    for _ in range(7):
+        sums = hmm.Model(*(np.zeros_like(x) for x in (want.start, want.move, want.emit)))
+        hmm.expected(want, every, sums)
+        want = hmm.normalised(sums)
+    for own, other in ((got.start, want.start), (got.move, want.move), (got.emit, want.emit)):
+        assert np.allclose(own, other, rtol=1e-6, atol=1e-12)
+
+
 def test_model_without_training_rows(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = hmm.score(docs, F.lit(False)).collect()
