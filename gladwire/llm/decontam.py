@@ -8,7 +8,10 @@ threshold implies, so only windows with enough places of shared shingles are
 looked at, all of them. They get 64-bit SimHash fingerprints of
 their words. Fingerprints within a Hamming distance of ``RADIUS`` agree in at
 least one of ``RADIUS + 1`` blocks, so a join on the blocks finds them all;
-what lies within the radius is verified exactly.
+what lies within the radius is verified exactly. Windows beyond it are
+verified too, unless their places of shared shingles show that they do not
+reach the best similarity found within it. So the radius decides what is
+verified first, and no result depends on it.
 
 Words are runs of letters and digits in lower case. An item of fewer words
 than a shingle is one shingle of its length; a document shorter than the item
@@ -34,6 +37,8 @@ BITS = 64
 RADIUS = 15
 # A side of at most so many rows of a few numbers is broadcast.
 SMALL = 500_000
+# What names a window.
+KEYS = ["id", "th", "item", "start"]
 
 _LANES = 16
 _LANE_MASK = 0x0001000100010001
@@ -91,8 +96,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     anchors = written(_anchors(docs, item_shingles, sizes), "anchors")
     windows = written(_windows(docs, anchors), "windows")
-    near = _within_radius(windows, items)
-    verified = _verified(near, item_shingles)
+    near = written(_within_radius(windows, items), "near")
+    first = written(_verified(_only(windows, near), item_shingles), "verified")
+    more = _only(windows, written(_beyond_radius(windows, near, first), "beyond"))
+    verified = first.unionByName(_verified(more, item_shingles))
     best = verified.groupBy("id", "th", "item").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("b")
     )
@@ -118,7 +125,10 @@ def _anchors(docs: DataFrame, item_shingles: DataFrame, sizes: list[int]) -> Dat
 
 
 def _windows(docs: DataFrame, anchors: DataFrame) -> DataFrame:
-    """``id, th, item, start, m, s, ww``: the words of each window that holds an anchor."""
+    """``id, th, item, start, m, s, bound, ww``: the words of each window with enough anchors.
+
+    No window is more similar to its item than ``bound``.
+    """
     per_item = anchors.groupBy("id", "th", "item", "m", "s").agg(F.collect_set("at").alias("ats"))
     keys = written(anchors.select("id", "th").distinct(), "anchored")
     same = F.col("id").eqNullSafe(F.col("kid")) & (F.col("th") == F.col("kth"))
@@ -143,13 +153,21 @@ def _windows(docs: DataFrame, anchors: DataFrame) -> DataFrame:
     # The anchors inside a window bound the weight it can share with the item.
     held = F.least(F.size("w"), F.col("m")) - F.col("s") + 1 + F.col("m") - F.col("s") + 1
     needed = held * THRESHOLD / (1 + THRESHOLD) - 1e-6
+    inside = lambda start: F.size(
+        F.filter("ats", lambda at: (at >= start) & (at <= start + F.col("m") - F.col("s")))
+    )
     hopeful = F.filter(
-        starts,
-        lambda start: F.size(F.filter("ats", lambda at: (at >= start) & (at <= start + F.col("m") - F.col("s")))) >= needed,
+        F.transform(starts, lambda start: F.struct(start.alias("start"), inside(start).alias("anchors"))),
+        lambda w: w["anchors"] >= needed,
     )
-    spread = joined.select("id", "th", "item", "m", "s", "w", F.explode(hopeful).alias("start"))
+    spread = joined.select(
+        "id", "th", "item", "m", "s", "w", held.alias("held"), F.explode(hopeful).alias("h")
+    ).select("id", "th", "item", "m", "s", "w", "held", "h.start", "h.anchors")
+    # More anchors than half of both weights: a shingle repeats, and the bound says nothing.
+    bound = F.when(F.col("anchors") * 2 < F.col("held"), F.col("anchors") / (F.col("held") - F.col("anchors")))
     return spread.select(
-        "id", "th", "item", "start", "m", "s", F.expr("slice(w, start + 1, m)").alias("ww")
+        "id", "th", "item", "start", "m", "s", F.coalesce(bound, F.lit(1.0)).alias("bound"),
+        F.expr("slice(w, start + 1, m)").alias("ww"),
     )
 
 
@@ -196,25 +214,44 @@ def _blocks(fp: Column) -> Column:
 
 
 def _within_radius(windows: DataFrame, items: DataFrame) -> DataFrame:
-    """The windows whose fingerprint lies within the radius of their item's."""
-    keys = ["id", "th", "item", "start"]
-    of_windows = fingerprints(windows, keys, "ww")
+    """``id, th, item, start`` of the windows whose fingerprint lies within the radius of their item's."""
+    of_windows = fingerprints(windows, KEYS, "ww")
     of_items = fingerprints(items, ["item"], "iw").withColumnRenamed("fp", "ifp")
-    left = of_windows.select(*keys, "fp", F.explode(_blocks(F.col("fp"))).alias("b"))
+    left = of_windows.select(*KEYS, "fp", F.explode(_blocks(F.col("fp"))).alias("b"))
     right = of_items.select("item", "ifp", F.explode(_blocks(F.col("ifp"))).alias("b"))
-    near = (
-        left.select(*keys, "fp", "b.block", "b.value")
+    return (
+        left.select(*KEYS, "fp", "b.block", "b.value")
         .join(right.select("item", "ifp", "b.block", "b.value"), ["item", "block", "value"])
         .filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
-        .select(*keys).distinct()
+        .select(*KEYS).distinct()
+    )
+
+
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    same = F.lit(True)
+    for k in keys:
+        same = same & left[k].eqNullSafe(right[k])
+    return same
+
+
+def _only(windows: DataFrame, chosen: DataFrame) -> DataFrame:
+    return windows.join(chosen, _same(windows, chosen, KEYS), "left_semi")
+
+
+def _beyond_radius(windows: DataFrame, near: DataFrame, verified: DataFrame) -> DataFrame:
+    """``id, th, item, start`` of the other windows that may reach the best verified one of their item."""
+    rest = windows.select(*KEYS, "bound")
+    rest = rest.join(near, _same(rest, near, KEYS), "left_anti")
+    best = verified.groupBy("id", "th", "item").agg(F.max("similarity").alias("best"))
+    found = rest.join(best, _same(rest, best, ["id", "th", "item"]), "left")
+    return found.filter(F.col("bound") >= F.coalesce("best", F.lit(THRESHOLD)) - 1e-6).select(
+        *(rest[k] for k in KEYS)
     )
-    same = [windows[k].eqNullSafe(near[k]) for k in keys]
-    return windows.join(near, same[0] & same[1] & same[2] & same[3], "left_semi")
 
 
 def _verified(near: DataFrame, item_shingles: DataFrame) -> DataFrame:
     """Windows that reach the threshold, with their exact similarity."""
-    keys = ["id", "th", "item", "start"]
+    keys = KEYS
     sizes = range(1, SHINGLE + 1)
     own = F.coalesce(
         *(F.when(F.least("s", F.size("ww")) == s, shingles(F.col("ww"), s)) for s in sizes)

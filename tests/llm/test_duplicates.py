@@ -245,6 +245,27 @@ def test_leaks_match_all_windows(spark):
     }
 
 
+def test_leaks_beyond_the_radius(spark):
+    """Windows at exactly 0.8 whose fingerprints are further apart than the radius."""
+    import xxhash
+
+    def fingerprint(words):
+        values = np.array([xxhash.xxh64(w, seed=42).intdigest() for w in words], dtype=np.uint64)
+        return (values[:, None] >> np.arange(64, dtype=np.uint64) & np.uint64(1)).sum(axis=0) * 2 > len(words)
+
+    docs, items = [], []
+    for i in range(4_000):
+        passage = [f"w{i}x{k}" for k in range(40)]
+        changed = passage[:36] + [f"v{i}x{k}" for k in range(4)]
+        if (fingerprint(passage) != fingerprint(changed)).sum() > decontam.RADIUS:
+            items.append((i, " ".join(passage)))
+            docs.append((i, " ".join(changed)))
+    assert len(docs) >= 10
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = decontam.leaks(frame, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["start"], r["similarity"]) for r in got} == {(i, i, 0, 0.8) for i, _ in docs}
+
+
 def test_drop_leaks_defined_cases(spark):
     passage = "The quick brown fox jumps over the lazy dog at noon"
     rows = [(1, f"So: {passage}!"), (1, f"So: {passage}!"), (1, "other text"), (None, passage), (None, "clean"), (2, None)]
