@@ -40,8 +40,8 @@ SMALL = 500_000
 # What names a window.
 KEYS = ["id", "th", "item", "start"]
 
-_LANES = 16
-_LANE_MASK = 0x0001000100010001
+_LANES = 32
+_LANE_MASK = 0x0000000100000001
 
 
 def words(text: Column | str) -> Column:
@@ -176,8 +176,8 @@ def _fingerprint(lanes: list[Column], words_in: Column) -> Column:
     bits = F.lit(0).cast("bigint")
     for k, lane in enumerate(lanes):
         for j in range(BITS // _LANES):
-            count = F.shiftrightunsigned(lane, 16 * j).bitwiseAND(F.lit(0xFFFF))
-            at = k + 16 * j
+            count = F.shiftrightunsigned(lane, 32 * j).bitwiseAND(F.lit(0xFFFFFFFF))
+            at = k + 32 * j
             value = (1 << at) if at < 63 else -(1 << 63)
             bits = bits.bitwiseOR(F.when(count * 2 > words_in, F.lit(value)).otherwise(F.lit(0)).cast("bigint"))
     return bits
@@ -186,18 +186,15 @@ def _fingerprint(lanes: list[Column], words_in: Column) -> Column:
 def fingerprints(rows: DataFrame, keys: list[str], hashed: str) -> DataFrame:
     """``keys, fp``: SimHash of the array ``hashed``.
 
-    Four counters of 16 bits share a long, so 16 sums count all 64 bits; a
-    window longer than 65,535 words is counted in parts.
+    Two counters of 32 bits share a long, so 32 sums count all 64 bits over
+    all words: an array holds less than 2^31 of them.
     """
-    part = 32_767
-    each = rows.select(*keys, F.posexplode(hashed).alias("at", "h")).withColumn("part", F.floor(F.col("at") / part))
+    each = rows.select(*keys, F.explode(hashed).alias("h"))
     lanes = [
         F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_LANE_MASK))).alias(f"l{k}") for k in range(_LANES)
     ]
-    parts = each.groupBy(*keys, "part").agg(*lanes, F.count(F.lit(1)).alias("n"))
-    # Parts of long windows vote by their own majority; nearly all windows have one part.
-    voted = parts.select(*keys, "n", _fingerprint([F.col(f"l{k}") for k in range(_LANES)], F.col("n")).alias("fp"))
-    return voted.groupBy(*keys).agg(F.max_by("fp", F.struct("n", "fp")).alias("fp"))
+    counted = each.groupBy(*keys).agg(*lanes, F.count(F.lit(1)).alias("n"))
+    return counted.select(*keys, _fingerprint([F.col(f"l{k}") for k in range(_LANES)], F.col("n")).alias("fp"))
 
 
 def _blocks(fp: Column) -> Column:

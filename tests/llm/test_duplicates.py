@@ -286,3 +286,18 @@ def test_fingerprint_counts_bits(spark):
     for i, values in enumerate(hashed):
         bits = sum(1 << k for k in range(64) if sum((v >> k) & 1 for v in values) * 2 > len(values))
         assert got[i] % 2**64 == bits
+
+
+def test_fingerprint_counts_all_words_of_long_windows(spark):
+    rng = np.random.default_rng(4)
+    kept = rng.integers(-(2**63), 2**63 - 1, 35_000)
+    hashed = [
+        np.concatenate([rng.integers(-(2**63), 2**63 - 1, 35_000), kept]),
+        np.concatenate([kept, kept, rng.integers(-(2**63), 2**63 - 1, 40_000)]),
+    ]
+    frame = spark.createDataFrame([(i, h.tolist()) for i, h in enumerate(hashed)], "i int, h array<bigint>")
+    got = {r["i"]: r["fp"] for r in decontam.fingerprints(frame, ["i"], "h").collect()}
+    for i, values in enumerate(hashed):
+        ones = (values.view(np.uint64)[:, None] >> np.arange(64, dtype=np.uint64) & np.uint64(1)).sum(axis=0)
+        bits = sum(1 << k for k in range(64) if ones[k] * 2 > len(values))
+        assert got[i] % 2**64 == bits
