@@ -3,9 +3,12 @@
 The base patterns find assignments, access keys and long hexadecimal runs. The
 token-efficiency test looks at the remaining runs of key characters: random
 strings split into many short tokens of a general vocabulary, so few
-characters per token expose them. Strings that are known not to be secrets are
-left out first: digests of the usual lengths, UUIDs, plain numbers, and runs
-of one class of letters.
+characters per token expose them. The test looks at the whole run, and, where
+that is none, at its parts between ``/ = _ -``: readable parts hide no random
+ones, and random parts that follow each other count together. Strings that
+are known not to be secrets are left out: digests of the usual lengths,
+UUIDs, and plain numbers. What lies outside the base spans stays of a random
+run that overlaps one.
 
 Spans are in code points, the end exclusive. Defined cases: a null or empty
 text has no spans; repeated rows each get theirs; texts are read whole.
@@ -30,9 +33,12 @@ ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 KINDS = ("assign", "access", "hex", "random")
 
 # Runs that may be keys; anything shorter is too short to tell.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST = 20
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+PART = re.compile(r"[A-Za-z0-9+]+")
 DIGEST_LENGTHS = {32, 40, 48, 56, 64, 96, 128}
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+IDENTIFIER = re.compile(rf"(?<![A-Za-z0-9+])(?:{UUID.pattern})(?![A-Za-z0-9+])")
 CHARS_PER_TOKEN = 2.0
 # Runs are tokenized in pieces of so many characters: time stays linear.
 PIECE = 4096
@@ -60,13 +66,41 @@ def in_order(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
 
 
 def known_harmless(run: str) -> bool:
-    """Digests, identifiers and plain words or numbers."""
+    """Digests, identifiers and plain numbers."""
     if UUID.fullmatch(run):
         return True
     if len(run) in DIGEST_LENGTHS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run):
         return True
-    classes = (re.search(c, run) is not None for c in ("[a-z]", "[A-Z]", "[0-9]"))
-    return sum(classes) < 2
+    return re.search("[A-Za-z]", run) is None
+
+
+def wasteful(run: str, tokens) -> bool:
+    """Whether a run has few characters per token."""
+    pieces = (run[i : i + PIECE] for i in range(0, len(run), PIECE))
+    return len(run) < CHARS_PER_TOKEN * sum(len(tokens(p)) for p in pieces)
+
+
+def random_parts(run: str, tokens) -> list[tuple[int, int]]:
+    """Start and end of the stretches of random parts of a run, identifiers and digests between them."""
+    found: list[tuple[int, int]] = []
+    edge = 0
+    for m in [*IDENTIFIER.finditer(run), None]:
+        stretch: list[tuple[int, int]] = []
+        for part in PART.finditer(run, edge, m.start() if m else len(run)):
+            # A number says nothing of itself and may stand inside a key; a digest ends a stretch.
+            number = part[0].isdigit()
+            if (number and stretch) or (not number and not known_harmless(part[0]) and wasteful(part[0], tokens)):
+                stretch.append(part.span())
+                continue
+            found += _joined(stretch)
+            stretch = []
+        found += _joined(stretch)
+        edge = m.end() if m else edge
+    return [(start, end) for start, end in found if end - start >= LEAST and not known_harmless(run[start:end])]
+
+
+def _joined(stretch: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    return [(stretch[0][0], stretch[-1][1])] if stretch else []
 
 
 def random_spans(text: str, tokens) -> list[tuple[int, int, str]]:
@@ -74,20 +108,49 @@ def random_spans(text: str, tokens) -> list[tuple[int, int, str]]:
     found = []
     for m in CANDIDATE.finditer(text):
         run = m[0].strip("=-_/+")
-        if len(run) >= 20 and not known_harmless(run):
-            pieces = (run[i : i + PIECE] for i in range(0, len(run), PIECE))
-            if len(run) < CHARS_PER_TOKEN * sum(len(tokens(p)) for p in pieces):
+        if len(run) >= LEAST and not known_harmless(run):
+            if wasteful(run, tokens):
                 found.append((m.start(), m.end(), "random"))
+            else:
+                found += [(m.start() + a, m.start() + b, "random") for a, b in random_parts(m[0], tokens)]
     return found
 
 
+def outside(start: int, end: int, base: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """The parts between two places that lie in no base span; these come in order."""
+    found = []
+    for a, b, _ in base:
+        if a > start and start < end:
+            found.append((start, min(a, end)))
+        start = max(start, b)
+    return found + [(start, end)] if start < end else found
+
+
 def all_spans(text: str, tokens) -> tuple[list, list]:
-    """The base spans, and these with the random ones that overlap none of them."""
+    """The base spans, and these with the random ones, as far as they lie outside the base spans."""
     base = base_spans(text)
-    more = [
-        s for s in random_spans(text, tokens) if not any(b[0] < s[1] and s[0] < b[1] for b in base)
-    ]
-    return base, in_order(base + more)
+    more: list[tuple[int, int]] = []
+    for start, end, _ in random_spans(text, tokens):
+        over = [b for b in base if b[0] < end and start < b[1]]
+        if not over:
+            more.append((start, end))
+            continue
+        # Of a run that is cut, readable words and separators do not stay.
+        for a, b in outside(start, end, over):
+            rest = text[a:b].strip("=-_/+")
+            if not known_harmless(rest) and wasteful(rest, tokens):
+                more.append((a, b))
+    # A base span may hide what stands beside it in its run.
+    if base:
+        for a, b in outside(0, len(text), base):
+            more += [(a + s, a + e) for s, e, _ in random_spans(text[a:b], tokens)]
+    merged: list[list[int]] = []
+    for a, b in sorted(more):
+        if merged and a < merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    return base, in_order(base + [(a, b, "random") for a, b in merged])
 
 
 def as_text(spans: list[tuple[int, int, str]]) -> str:

@@ -138,6 +138,27 @@ def test_random_strings_and_what_is_none():
     assert len(secrets.random_spans(key * 2000, tokens)) == 1
 
 
+@no_model
+def test_random_strings_beside_readable_ones_and_of_one_class():
+    tokens = secrets.tokenizer(Path(secrets.VOCABULARY).read_bytes())
+    rng = random.Random(6)
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    draw = lambda letters, n: "".join(rng.choices(letters, k=n))
+    for _ in range(50):
+        for before, n in (("/services/applications/production/documents/", 24), ("production_database_connection_credential=", 32)):
+            key = draw(lower + upper + "0123456789", n)
+            assert secrets.random_spans(before + key, tokens) in (
+                [(len(before), len(before) + n, "random")], [(0, len(before) + n, "random")]
+            )
+    assert secrets.random_spans(draw(lower, 40), tokens) and secrets.random_spans(draw(upper, 40), tokens)
+    assert secrets.random_spans("/users/123e4567-e89b-12d3-a456-426614174000/documents", tokens) == []
+    key = draw(lower + upper + "0123456789", 40)
+    text = f"{key}/password=abcdefghijklmnop"
+    base, spans = secrets.all_spans(text, tokens)
+    assert [b[2] for b in base] == ["assign"] and set(base) < set(spans)
+    assert [s for s in spans if s[2] == "random"] in ([(0, 40, "random")], [(0, 41, "random")])
+
+
 def test_shards_are_contiguous_and_balanced(spark):
     rng = random.Random(8)
     rows = [(i, "é" * rng.randint(0, 300)) for i in range(500)] + [(7, "again"), (7, "again"), (None, "no id"), (None, None), (900, None)]
