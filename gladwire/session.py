@@ -10,14 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 _own_folders: dict[str, str] = {}
 
-# Runtime settings the operators count on: UTC timestamps, and a runtime plan
-# that splits skewed join partitions even where the split costs a shuffle.
+# Runtime settings the operators count on: UTC timestamps, a runtime plan that
+# splits skewed join partitions even where the split costs a shuffle, and small
+# batches for Python workers.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # What a Python worker gets at a time is bounded by bytes, not only by rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
