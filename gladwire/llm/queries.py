@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gladwire.llm import decontam, hmm, imatch, langid, linededup, neardup, pieces, secrets, sharding, toxicity
+from gladwire.llm import decontam, exactdup, hmm, imatch, langid, linededup, neardup, pieces, secrets, sharding, toxicity
 from gladwire.llm.common import fold
 from gladwire.session import configure
 
@@ -163,3 +163,17 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return neardup.near_duplicates(docs, size=2, percent=80).drop("text_hash")
+
+
+@register(
+    "op13_exact_dedup",
+    r"""
+    WITH d AS (
+        SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+    SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+           doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+    FROM d WINDOW w AS (PARTITION BY t)
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdup.copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
