@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gladwire.llm import decontam, exactdup, hmm, imatch, langid, linededup, neardup, pieces, secrets, sharding, toxicity
+from gladwire.llm import decontam, exactdup, hmm, imatch, langid, linededup, neardup, negatives, pieces, secrets, sharding, toxicity
 from gladwire.llm.common import fold
 from gladwire.session import configure
 
@@ -177,3 +177,36 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register(
+    "op12_hard_negatives",
+    """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS (
+        SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_dot_product(a.x, r.x)::BIGINT AS score
+        FROM v a JOIN v r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN pairs USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+    QUALIFY rank <= 5
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").filter(
+        "embedding is not null and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
+    )
+    vector = F.transform("embedding", lambda x: F.floor(F.lit(256) * x.cast("double")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    prepared = rows.select("vec_id", label.alias("label"), vector.alias("vector"))
+    return negatives.mine(prepared, F.col("vec_id") % 100 == 0)
