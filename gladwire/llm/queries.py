@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gladwire.llm import decontam, exactdup, hmm, imatch, langid, linededup, neardup, negatives, pieces, secrets, sharding, toxicity
+from gladwire.llm import decontam, exactdup, hmm, imatch, langid, linededup, neardup, negatives, pieces, secrets, sharding, toxicity, whitening
 from gladwire.llm.common import fold
 from gladwire.session import configure
 
@@ -29,6 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def finite(embeddings: DataFrame) -> DataFrame:
+    """Rows whose vector and all its entries are numbers."""
+    return embeddings.filter(
+        "embedding is not null and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
+    )
+
+
 @register("op1_language_id")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -203,10 +210,25 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings").filter(
-        "embedding is not null and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
-    )
+    rows = finite(table(spark, sf_dir, "embeddings"))
     vector = F.transform("embedding", lambda x: F.floor(F.lit(256) * x.cast("double")))
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     prepared = rows.select("vec_id", label.alias("label"), vector.alias("vector"))
     return negatives.mine(prepared, F.col("vec_id") % 100 == 0)
+
+
+@register("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    most = F.lit(1 << 52)  # whole numbers beyond are no exact doubles
+    entry = lambda c: F.greatest(F.least(F.floor(F.lit(64) * c.cast("double")), most), -most) + 1_000_000
+    vector = F.transform("embedding", entry)
+    rows = finite(table(spark, sf_dir, "embeddings")).select("vec_id", vector.alias("vector"))
+    blocks, size = whitening.packed(rows)
+    model, covariance = whitening.fit(blocks, size)
+    error = whitening.identity_error(covariance, model)
+    explained = F.array(*(F.lit(float(e)) for e in model.explained)).cast("array<double>")
+    value = whitening.apply(blocks, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return value.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("bigint").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"),
+    )
