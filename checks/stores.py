@@ -9,7 +9,7 @@ from checks.views import (
 )
 from gladwire.functions.dates import format_datetime
 from gladwire.operators import merge
-from gladwire.operators.scoring import purge_below, rule_scorer
+from gladwire.operators.scoring import is_below, rule_scorer
 from gladwire.plans.run import RunOptions, run_batch
 from gladwire.session import new_folder
 from gladwire.sources.store import ArticleStore
@@ -122,21 +122,13 @@ def cache_replace(t: Tables) -> DataFrame:
 def _store(t: Tables) -> ArticleStore:
     """A store that knows the sources and holds the labelled articles as raw and final rows."""
     store = ArticleStore(t.spark, new_folder(t.spark, "store"))
-    store.replace("sources", _as(t, "sources", t.sources))
+    store.append("sources", t.sources)
     scored = t.labelled.withColumn("uplifting_score", rule_scorer(POSITIVE, NEGATIVE)(F.col("title")))
-    raw = store.stage_batch("crawled_articles", _article_rows(scored))
-    good = store.read_folders("crawled_articles", raw).filter("is_uplifting").drop("is_uplifting")
-    store.commit({"crawled_articles": raw, "articles": [store.stage("articles", good)]})
+    store.append("crawled_articles", store.collapsed("crawled_articles", _article_rows(scored)))
+    store.append("articles", store.scan("crawled_articles").filter("is_uplifting"), index=False)
     return store
 
 
-def _as(t: Tables, name: str, rows: DataFrame) -> DataFrame:
-    from gladwire import schemas
-    from gladwire.operators.articles import add_missing_columns
-
-    return add_missing_columns(rows, schemas.TABLES[name])
-
-
 def _article_rows(rows: DataFrame) -> DataFrame:
     return rows.select(
         "seq", F.col("seq").alias("id"), "title", "url", F.col("body").alias("content"),
@@ -190,7 +182,7 @@ _GROUP = "'https://few.example.org/' || (length(title) % 97) || '/' || (seq % 5)
 def refresh_enriched(t: Tables) -> DataFrame:
     """A run over urls that repeat with mixed flags: the raw store holds the enriched rows."""
     store = ArticleStore(t.spark, new_folder(t.spark, "store"))
-    store.replace("sources", _as(t, "sources", t.sources))
+    store.append("sources", t.sources)
     few = F.concat(F.lit("https://few.example.org/"), F.length("title") % 97, F.lit("/"), F.col("seq") % 5)
     run_batch(store, t.articles.withColumn("url", few).select(*_HEADLINES), _options())
     return store.scan("crawled_articles", ["url", "source_id", "title", "is_uplifting", "category"])
@@ -216,7 +208,7 @@ def atomic_batch(t: Tables) -> DataFrame:
                          FROM {_STORED} WHERE uplifting_score >= 0.6 GROUP BY url) WHERE s >= 0.75""")
 def purge_store(t: Tables) -> DataFrame:
     store = _store(t)
-    store.replace("articles", purge_below(store.scan("articles"), 0.75))
+    store.purge("articles", is_below(0.75))
     return store.scan("articles", ["url", "id"])
 
 
@@ -273,20 +265,28 @@ def run_counts(t: Tables) -> DataFrame:
     )
 
 
-@check("incremental_ingest", _FINAL.replace("lower(body)", "lower(title)"))
-def incremental_ingest(t: Tables) -> DataFrame:
-    """The batch arrives by two streams, each in two files and one file at a time.
+# Arrivals by digits of the title's hash, in this order: all rows of a url, and of a title and date,
+# arrive together, as a later batch would find them known.
+_ARRIVAL = "((substring(md5(title), 1, 1) >= '8')::INT * 2 + (substring(md5(title), 2, 1) >= '8')::INT)"
 
-    All rows of a url, and of a title and date, come in one file, as a later
-    batch would find them known.
-    """
+# Every batch purges what lies below the threshold of the run before it adds its rows, so rows of lenient
+# sources live until the next batch that has new rows.
+_STREAMED = f"""
+    SELECT url, title, category, uplifting_score FROM ({_FINAL}) WHERE url NOT IN (
+        SELECT url FROM (SELECT *, {_ARRIVAL} AS arrival, max({_ARRIVAL}) OVER () AS newest FROM {_NEW})
+        WHERE is_uplifting AND arrival < newest AND uplifting_score < 0.75)"""
+
+
+@check("incremental_ingest", _STREAMED.replace("lower(body)", "lower(title)"))
+def incremental_ingest(t: Tables) -> DataFrame:
+    """The batch arrives by two streams, each in two files and one file at a time."""
     store = _store(t)
     rows = t.batch.select(*_HEADLINES)
+    digit = lambda i: (F.substring(F.md5("title"), i, 1) >= "8").cast("int")
     for half in (0, 1):
         arrivals = new_folder(t.spark, "arrivals")
-        mine = rows.filter(F.pmod(F.hash("title"), F.lit(2)) == half)
         for part in (0, 1):
-            one = mine.filter(F.pmod(F.xxhash64("title"), F.lit(2)) == part).coalesce(1)
+            one = rows.filter((digit(1) == half) & (digit(2) == part)).coalesce(1)
             one.write.mode("append").parquet(arrivals)
         stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
         ingest_stream(store, stream, new_folder(t.spark, "checkpoint"), _options()).awaitTermination()

@@ -139,6 +139,12 @@ def filter_positive_news(df: DataFrame, *args, **kwargs) -> DataFrame:
     return filter_positive(score_news(df, *args, **kwargs))
 
 
+def is_below(threshold: float = fixed.DEFAULT_THRESHOLD) -> Column:
+    """Whether an article has no score or one under the threshold."""
+    score = F.col("uplifting_score")
+    return score.isNull() | (score < F.lit(float(threshold)))
+
+
 def purge_below(articles: DataFrame, threshold: float = fixed.DEFAULT_THRESHOLD) -> DataFrame:
     """Articles that stay when those without score or under the threshold go."""
     return articles.filter(F.col("uplifting_score") >= F.lit(float(threshold)))
@@ -146,8 +152,7 @@ def purge_below(articles: DataFrame, threshold: float = fixed.DEFAULT_THRESHOLD)
 
 def below_threshold(articles: DataFrame, threshold: float = fixed.DEFAULT_THRESHOLD) -> DataFrame:
     """The articles a purge removes."""
-    score = F.col("uplifting_score")
-    return articles.filter(score.isNull() | (score < F.lit(float(threshold))))
+    return articles.filter(is_below(threshold))
 
 
 def match_lexicon(titles: DataFrame, lexicon: DataFrame, title: str = "title") -> DataFrame:

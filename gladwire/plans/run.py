@@ -7,7 +7,7 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gladwire import fixed, schemas
@@ -22,10 +22,11 @@ from gladwire.operators.enrich import (
 )
 from gladwire.operators.lookup import with_source_ids
 from gladwire.operators.metrics import new_crawl_id
-from gladwire.operators.scoring import Scorer, below_threshold, filter_positive, purge_below, score_news
+from gladwire.operators.scoring import Scorer, filter_positive, is_below, score_news
+from gladwire.session import remove_folder
 from gladwire.sources.exports import article_events, write_events
 from gladwire.sources.feeds import Adapter, crawl_entries, stamped_entries
-from gladwire.sources.store import ArticleStore
+from gladwire.sources.store import ArticleStore, Origin, written_by
 
 
 @dataclass(frozen=True)
@@ -65,18 +66,18 @@ class RunReport:
 
 
 class _Run:
-    """A run in progress: its folder, its report and its moment."""
+    """A run in progress: its folder, its report, its moment, and the batch of the stream it is."""
 
-    def __init__(self, store: ArticleStore, options: RunOptions):
+    def __init__(self, store: ArticleStore, options: RunOptions, origin: Origin):
         now = dt.datetime.now(dt.timezone.utc)
-        self.store, self.options = store, options
+        self.store, self.options, self.origin = store, options, origin
         self.report = RunReport(new_crawl_id(now), now)
         self.moment = F.lit(now.replace(microsecond=0))
         self.folder = f"{store.root}/_runs/{self.report.crawl_id}"
-        # folder lists of the tables this run changes
-        self.folders: dict[str, list[str]] = {}
+        # entries that join the caches with the end of the run
+        self.entries: dict[str, DataFrame] = {}
 
-    def keep(self, name: str, rows: DataFrame) -> DataFrame:
+    def keep(self, name: str, rows: DataFrame, stage: bool = True) -> DataFrame:
         """Write a stage result and go on from the written table.
 
         Later stages then read it, however often, and a lost executor costs a
@@ -85,18 +86,21 @@ class _Run:
         path = f"{self.folder}/{name}"
         started = time.monotonic()
         rows.write.parquet(path)
-        self.report.stage_ms[name] = round((time.monotonic() - started) * 1000, 1)
+        if stage:
+            self.report.stage_ms[name] = round((time.monotonic() - started) * 1000, 1)
         return self.store.spark.read.schema(rows.schema).parquet(path)
 
-    def extend_cache(self, name: str, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """Write the entries a cache lacks, once; gives the whole cache.
+    def counted(self, name: str, rows: DataFrame, stage: bool = True, **values: Column) -> tuple[DataFrame, dict]:
+        """``keep``, and values of all rows, observed while they are written."""
+        seen = Observation(f"{self.report.crawl_id}-{name}")
+        kept = self.keep(name, rows.observe(seen, *[value.alias(v) for v, value in values.items()]), stage)
+        return kept, seen.get
 
-        They join the cache with the commit of the run.
-        """
-        old = self.store.tables().get(name, [])
-        fresh = compute(self.store.read_folders(name, old))
-        self.folders[name] = [*old, self.store.stage(name, fresh)]
-        return self.store.read_folders(name, self.folders[name])
+    def extend_cache(self, name: str, keys: DataFrame, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Compute the entries a cache lacks for the keys, once; gives all entries of the keys."""
+        known = self.store.scan(name, keys=keys)
+        self.entries[name] = self.keep(name, compute(known), stage=False)
+        return known.unionByName(self.entries[name])
 
     def attempt(self, name: str, rows: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """A stage that may fail: its error is recorded and the rows go on without it."""
@@ -116,12 +120,15 @@ def run_batch(
     """Run one batch of crawled articles into the store.
 
     ``batch`` has ``seq``, the order of its rows, and the columns a crawl
-    gives. Source keys must be in the sources table. All tables change in one
-    commit at the end; a run that dies before leaves the store as it was.
-    A stage that fails is recorded: without scores nothing is classified, and
-    where the rows cannot be written only the metrics of the run are.
+    gives. Source keys must be in the sources table. A stage that fails is
+    recorded: without scores nothing is classified, and where the rows cannot
+    be made only the metrics of the run are stored.
+
+    All rows are made before the first table changes. A run that dies while
+    it stores them leaves rows of new urls behind; with ``stream_batch``, the name of a
+    stream and the number of its batch, it can be run again and completes them.
     """
-    return _run(_Run(store, options), batch, stream_batch)
+    return _run(_Run(store, options, stream_batch or (None, None)), batch)
 
 
 def run_crawl(
@@ -139,39 +146,45 @@ def run_crawl(
     The entries are written once and then read by every adapter, so that each
     document is parsed once.
     """
-    run = _Run(store, options)
+    run = _Run(store, options, (None, None))
     entries = run.keep("entries", stamped_entries(feeds, registry))
     cap = max_articles if max_articles and max_articles > 0 else None
-    return _run(run, crawl_entries(entries, limit_per_source, cap, post_pages, adapters), None)
+    return _run(run, crawl_entries(entries, limit_per_source, cap, post_pages, adapters))
 
 
-def _run(run: _Run, batch: DataFrame, stream_batch: tuple[str, int] | None) -> RunReport:
-    store, options = run.store, run.options
-    store.refresh()
-    landed = run.keep("batch", fill_url_and_date(batch))
-    fetched = landed.count()
+def _run(run: _Run, batch: DataFrame) -> RunReport:
+    try:
+        return _stages(run, batch)
+    finally:
+        remove_folder(run.store.spark, run.folder)
 
-    fresh = run.keep("new", _without_known(store, landed))
-    new = fresh.count()
-    counts = {"articles_fetched": fetched, "articles_skipped": fetched - new, "articles_new": new}
+
+def _stages(run: _Run, batch: DataFrame) -> RunReport:
+    store, options = run.store, run.options
+    row = F.count(F.lit(1))
+    landed, found = run.counted(
+        "batch", fill_url_and_date(batch), n=row, urls=F.collect_set(store.bucket("crawled_articles")),
+        titles=F.collect_set(store.bucket("title_dates")),
+    )
+    fresh, new = run.counted("new", _without_known(run, landed, found["urls"], found["titles"]), n=row)
+    counts = {"articles_fetched": found["n"], "articles_skipped": found["n"] - new["n"], "articles_new": new["n"]}
     run.report.counts = {**counts, "articles_classified": 0, "articles_stored": 0}
-    if new == 0:
-        return _finish(run, stream_batch)
+    if new["n"] == 0:
+        return _finish(run)
 
     try:
         scored = run.keep("scored", _score(fresh, options))
     except Exception as problem:  # noqa: BLE001 - scorers of the user may raise anything
         run.report.errors.append(f"classification_failed: {_first_line(problem)}")
-        return _finish(run, stream_batch)
+        return _finish(run)
     positive = filter_positive(scored)
     enriched = _enrich(run, positive)
     raw_rows = scored.filter(~F.col("is_uplifting")).unionByName(enriched, allowMissingColumns=True)
-
-    totals = enriched.agg(
-        F.count("*").alias("n"), F.avg("uplifting_score").alias("avg"),
-        F.count("category").alias("categorized"), F.count("summary").alias("summarized"),
-        F.count(non_empty(column_or_null(enriched, "thumbnail_url"))).alias("pictured"),
-    ).collect()[0]
+    thumbnail = non_empty(column_or_null(enriched, "thumbnail_url"))
+    enriched, totals = run.counted(
+        "enriched", enriched, stage=False, n=row, avg=F.avg("uplifting_score"), categorized=F.count("category"),
+        summarized=F.count("summary"), pictured=F.count(thumbnail),
+    )
     run.report.avg_score = totals["avg"]
     run.report.counts.update(
         articles_classified=totals["n"], articles_categorized=totals["categorized"] if options.topic_scorer else 0,
@@ -179,43 +192,46 @@ def _run(run: _Run, batch: DataFrame, stream_batch: tuple[str, int] | None) -> R
         thumbnails_found=totals["pictured"] if options.pages is not None else 0,
     )
     try:
-        staged = {
-            "crawled_articles": _stage_rows(run, "crawled_articles", raw_rows),
-            "articles": _stage_final(run, enriched),
-        }
+        # All rows are made before anything is stored, so that rows which cannot be written leave the
+        # tables alone. The final rows are made of some of them, in the same way.
+        raw = run.keep("raw_rows", _table_rows(run, "crawled_articles", raw_rows), stage=False)
+        store.purge("articles", is_below(options.threshold))
+        store.append_once("crawled_articles", raw, run.origin, found["urls"])
+        store.append_once("articles", _table_rows(run, "articles", enriched), run.origin, found["urls"], index=False)
     except Exception as problem:  # noqa: BLE001 - the store may refuse the rows or fail
+        if run.origin != (None, None):
+            raise  # the stream runs the batch again
         run.report.errors.append(f"database_write_failed: {_first_line(problem)}")
-        return _finish(run, stream_batch)
-    run.folders.update(staged)
+        return _finish(run)
     run.report.counts["articles_stored"] = totals["n"]
-    return _finish(run, stream_batch, enriched)
+    return _finish(run, enriched)
 
 
 def _first_line(problem: Exception) -> str:
     return (str(problem).splitlines() or [type(problem).__name__])[0]
 
 
-def _without_known(store: ArticleStore, landed: DataFrame) -> DataFrame:
+def _without_known(run: _Run, landed: DataFrame, urls: list[int], titles: list[int]) -> DataFrame:
     """Rows whose url, then whose title and date, no store holds.
 
-    The batch is the small side: both stores are cut down to what can meet
-    it before anything of them is made distinct or collapsed.
+    ``urls`` and ``titles`` are the partitions that can hold those of the batch: no other is read. What
+    an interrupted run of the same batch has stored is not known.
     """
-    raw, final = store.scan_versions("crawled_articles"), store.scan_versions("articles")
-    urls = existing_urls(landed, raw, final)
-    fresh = drop_known_urls(landed, urls)
-    known = known_pairs(*(_meeting_pairs(store, table, fresh) for table in ("crawled_articles", "articles")))
+    store = run.store
+
+    def stored(table: str, buckets: list[int]) -> DataFrame:
+        rows = store.read(table, buckets)
+        return rows if run.origin == (None, None) else rows.filter(~written_by(run.origin))
+
+    tables = ("crawled_articles", "articles")
+    fresh = drop_known_urls(landed, existing_urls(landed, *(stored(t, urls) for t in tables)))
+    pairs = landed.select("title", format_datetime("published_at").alias("happened")).distinct()
+    met = store.read("title_dates", titles).join(pairs, ["title", "happened"], "left_semi").select("url").distinct()
+    met, found = run.counted("met", met, stage=False, urls=F.collect_set(store.bucket("crawled_articles")))
+    known = known_pairs(*(stored(t, found["urls"]).join(met, "url", "left_semi") for t in tables))
     return drop_known_titles(fresh, known)
 
 
-def _meeting_pairs(store: ArticleStore, table: str, batch: DataFrame) -> DataFrame:
-    """Title and date of the stored articles that had a title and date of the batch in some version."""
-    versions = store.scan_versions(table)
-    wanted = batch.select("title", format_datetime("published_at").alias("_when")).distinct()
-    met = versions.withColumn("_when", format_datetime("published_at")).join(wanted, ["title", "_when"], "left_semi")
-    return store.scan(table, ["title", "published_at"], keys=met.select("url").distinct())
-
-
 def _score(fresh: DataFrame, options: RunOptions) -> DataFrame:
     thresholds = options.source_thresholds
     own = F.col("threshold") if options.use_registry_threshold and "threshold" in fresh.columns else None
@@ -241,7 +257,7 @@ def _categories(run: _Run, rows: DataFrame) -> DataFrame:
         return categorize(rows, o.topic_scorer, o.categories, once_per_text=o.score_topics_once_per_text)[0]
     keyed = with_category_key(rows, o.categories)
     entries = run.extend_cache(
-        "category_cache", lambda cache: new_categories(keyed, o.topic_scorer, o.categories, cache)
+        "category_cache", keyed, lambda cache: new_categories(keyed, o.topic_scorer, o.categories, cache)
     )
     return fill_categories(keyed, entries)
 
@@ -251,7 +267,7 @@ def _thumbnails(run: _Run, rows: DataFrame) -> DataFrame:
     if not run.options.use_caches:
         return add_thumbnails(rows, pages)[0]
     return fill_thumbnails(
-        rows, run.extend_cache("thumbnail_cache", lambda cache: new_thumbnails(rows, pages, cache))
+        rows, run.extend_cache("thumbnail_cache", rows, lambda cache: new_thumbnails(rows, pages, cache))
     )
 
 
@@ -262,41 +278,27 @@ def _summaries(run: _Run, rows: DataFrame) -> DataFrame:
         return add_summaries(rows, o.summary_mode, o.summariser)
     keyed = with_summary_key(rows, summary_source(rows))
     entries = run.extend_cache(
-        "summary_cache", lambda cache: new_summaries(keyed, o.summariser, cache=cache)
+        "summary_cache", keyed, lambda cache: new_summaries(keyed, o.summariser, cache=cache)
     )
     return fill_summaries(keyed, entries)
 
 
-def _stage_rows(run: _Run, table: str, rows: DataFrame) -> list[str]:
+def _table_rows(run: _Run, table: str, rows: DataFrame) -> DataFrame:
+    """The rows of a run for a table, one per url."""
     mapped = store_rows(rows, run.moment, raw=table == "crawled_articles")
     ready = with_source_ids(mapped, run.store.scan("sources", ["id", "source_id"]))
     stamped = ready.withColumns({"id": F.xxhash64("url"), "created_at": run.moment})
     # The raw rows are written as they were scored and then the uplifting ones again: of
     # equal urls the last uplifting row stays, but the first row of all gives the source.
     last = F.struct("is_uplifting", "seq") if table == "crawled_articles" else None
-    return run.store.stage_batch(table, stamped, last=last)
-
+    return run.store.collapsed(table, stamped, last=last)
 
-def _stage_final(run: _Run, enriched: DataFrame) -> list[str]:
-    """Purge, then add the batch; the table is rewritten only where rows must go.
 
-    A row under the threshold in no version of the table means nothing to
-    purge, which the scan sees from file statistics.
-    """
-    store, threshold = run.store, run.options.threshold
-    folders = _stage_rows(run, "articles", enriched)
-    old, added = folders[:-1], folders[-1]
-    if old and not below_threshold(store.scan_versions("articles"), threshold).isEmpty():
-        kept = purge_below(store.read_folders("articles", old), threshold)
-        return [store.stage("articles", kept), added]
-    return folders
-
-
-def _finish(
-    run: _Run, stream_batch: tuple[str, int] | None, enriched: DataFrame | None = None
-) -> RunReport:
-    """Add the metrics, commit, and only then announce what is stored."""
+def _finish(run: _Run, enriched: DataFrame | None = None) -> RunReport:
+    """Store the new cache entries and then the metrics, and only then announce what is stored."""
     report, store = run.report, run.store
+    for name, entries in run.entries.items():
+        store.append_once(name, entries, run.origin)
     report.end = dt.datetime.now(dt.timezone.utc)
     counts = report.counts
     row = (
@@ -305,8 +307,7 @@ def _finish(
         "; ".join(report.errors) or None,
     )
     metrics = store.spark.createDataFrame([row], schemas.CRAWL_METRICS)
-    run.folders["crawl_metrics"] = [*store.tables().get("crawl_metrics", []), store.stage("crawl_metrics", metrics)]
-    store.commit(run.folders, stream_batch)
+    store.append("crawl_metrics", metrics, run.origin)
     if run.options.events_path:
         if enriched is not None:
             events = article_events(enriched, "article_processed", "summarized")

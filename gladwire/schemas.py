@@ -49,6 +49,9 @@ CATEGORY_CACHE = _table(
 )
 SUMMARY_CACHE = _table(("cache_key", _S), ("summary", _S))
 
+# titles of stored articles with their dates, for lookups by title
+TITLE_DATES = _table(("title", _S), ("happened", _S), ("url", _S))
+
 FEEDS = _table(("source_id", _S), ("source_ord", _L), ("copy", _S), ("xml", _S))
 PAGES = _table(("url", _S), ("status", T.IntegerType()), ("html", _S))
 
@@ -67,4 +70,5 @@ TABLES = {
     "thumbnail_cache": THUMBNAIL_CACHE,
     "category_cache": CATEGORY_CACHE,
     "summary_cache": SUMMARY_CACHE,
+    "title_dates": TITLE_DATES,
 }

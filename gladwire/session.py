@@ -5,8 +5,12 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _own_folders: dict[str, str] = {}
 
@@ -66,3 +70,34 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = new_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """As ``written``, for as long as the block lasts; the folder goes with its end."""
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        remove_folder(df.sparkSession, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what it holds, wherever Spark can write; a missing one is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def read_evolved(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Parquet files of older and newer schemas as one table, in one scan.
+
+    Columns that a file lacks come as nulls, integers and floats are widened to
+    the asked type, and other columns are not read. A missing folder has no rows.
+    """
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if "PATH_NOT_FOUND" not in str(problem):
+            raise
+        return spark.createDataFrame([], schema)

@@ -1,28 +1,37 @@
-"""Article tables as parquet folders under one root.
+"""Article tables as partitioned Parquet folders under one root.
 
-A table is a list of folders. The first holds the base, later ones hold the
-rows of later batches, each with one row per key. Reading collapses them, so a
-batch is added by writing only its own rows. ``compact`` makes one base again.
+A keyed table has one row per key and is partitioned by a hash of the key
+(``bucket``), so the rows that can meet a batch lie in the partitions that the
+batch's keys name. Reads prune to these, and an update or a purge rewrites only
+these, by dynamic partition overwrite. New keys are appended.
 
-Which folders count is told by the newest row of ``_commits``. A run stages its
-folders first and commits one row at the end: all of its tables change at once,
-or none. One writer at a time.
+Every row carries the stream and the batch that wrote it. A batch that is
+replayed after a crash drops, by an anti join, the rows it has written already;
+its row in ``crawl_metrics`` comes last and tells that nothing is left to do.
+
+Files may be of several schemas: columns that an older file lacks are null,
+and narrower numbers are widened.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gladwire import fixed, schemas
+from gladwire.functions.dates import format_datetime
 from gladwire.operators.merge import collapse, insert_or_ignore
+from gladwire.session import read_evolved, remove_folder, scratch
+
+# Partitions of the large tables; a store keeps its number for life. Choose it so that
+# a partition of ``crawled_articles`` holds some hundred megabytes.
+BUCKETS = 16
 
-# the newest row holds the whole state
-_COMMITS = "commit_id long, streams map<string,long>, tables map<string,array<string>>"
+# Stream and batch of a row; both null outside of streams.
+Origin = tuple[str | None, int | None]
 
 # key of a table, and the columns a later version of a row does not change
 KEYS = {
@@ -33,154 +42,166 @@ KEYS = {
     "thumbnail_cache": ("url", ()),
     "category_cache": ("cache_key", ()),
     "summary_cache": ("cache_key", ()),
+    "title_dates": ("title", ()),
     "crawl_metrics": (None, ()),
     "bookmarks": (None, ()),
 }
+_ONE_BUCKET = ("sources", "categories", "crawl_metrics", "bookmarks")
+_TITLED = ("articles", "crawled_articles")
+_OWN = [
+    T.StructField("_stream", T.StringType()), T.StructField("_batch", T.LongType()), T.StructField("bucket", T.IntegerType()),
+]
 
 
 class ArticleStore:
     """The tables under ``root``, a folder that all executors can reach."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._newest: tuple[int, dict[str, int], dict[str, list[str]]] | None = None
-
-    # --- commits ---
-
-    def _commits(self) -> DataFrame:
-        # reading a folder without files is an error only for some readers, so
-        # the first commit is looked for by the same call that reads it
-        try:
-            return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/_commits")
-        except Exception as problem:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(problem):
-                raise
-            return self.spark.createDataFrame([], _COMMITS)
-
-    def _latest(self) -> tuple[int, dict[str, int], dict[str, list[str]]]:
-        if self._newest is None:
-            rows = self._commits().orderBy(F.desc("commit_id")).limit(1).collect()
-            self._newest = tuple(rows[0]) if rows else (-1, {}, {})
-        return self._newest
-
-    def refresh(self) -> None:
-        """Look for commits of other writers at the next call."""
-        self._newest = None
-
-    def tables(self) -> dict[str, list[str]]:
-        """Folders of each table in the newest commit."""
-        return dict(self._latest()[2])
-
-    def last_batch_id(self, stream: str) -> int | None:
-        """The newest batch id that this stream has committed."""
-        return self._latest()[1].get(stream)
-
-    def commit(self, tables: Mapping[str, Sequence[str]], batch: tuple[str, int] | None = None) -> int:
-        """Make the given folder lists current; other tables and streams stay as they are.
-
-        ``batch`` is the name and the batch id of the stream that commits. The newest
-        commit is read again first: one by another writer, since this store
-        looked last, is an error, as the lists would undo it.
-        """
-        newest, streams, current = self._latest()
-        self._newest = None
-        if self._latest()[0] != newest:
-            raise RuntimeError("another writer has committed meanwhile; refresh and stage again")
-        merged = {**current, **{name: list(folders) for name, folders in tables.items()}}
-        commit = (newest + 1, {**streams, **({batch[0]: batch[1]} if batch else {})}, merged)
-        row = self.spark.createDataFrame([commit], _COMMITS)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
-        self._newest = commit
-        return commit[0]
+        self.buckets = buckets
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def bucket(self, name: str, key: Column | None = None) -> Column:
+        """The partition of a row of a table."""
+        column = KEYS[name][0]
+        if name in _ONE_BUCKET or column is None:
+            return F.lit(0)
+        return F.pmod(F.xxhash64(F.col(column) if key is None else key), F.lit(self.buckets)).cast("int")
 
     # --- reading ---
 
-    def _folder(self, name: str, folders: Sequence[str]) -> DataFrame:
-        schema = schemas.TABLES[name]
-        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{f}" for f in folders])
+    def read(self, name: str, buckets: Iterable[int] | None = None) -> DataFrame:
+        """All columns, origin and partition included, of the given partitions, or of all."""
+        kind = T.StructType(schemas.TABLES[name].fields + _OWN)
+        rows = read_evolved(self.spark, self.path(name), kind)
+        return rows if buckets is None else rows.filter(F.col("bucket").isin(sorted(buckets)))
 
-    def read_folders(
+    def scan(
         self,
         name: str,
-        folders: Sequence[str],
         columns: Sequence[str] | None = None,
         keys: DataFrame | None = None,
+        other_than: Origin = (None, None),
     ) -> DataFrame:
-        """A table made of the given folders; columns an older folder lacks are null.
+        """The table, or some of its columns.
 
-        Name the ``columns`` you need: the collapse packs whole rows, so the
-        planner cannot drop the others by itself. ``keys`` are the only keys
-        wanted; other rows are dropped before the collapse.
+        ``keys`` are the only keys wanted; only the partitions that can hold them are read.
+        Rows of the batch ``other_than`` are left out.
         """
         columns = list(columns or schemas.TABLES[name].names)
-        key, kept = KEYS[name]
-        if not folders:
-            return self.spark.createDataFrame([], schemas.TABLES[name]).select(*columns)
-        if key is None or len(folders) == 1:
-            rows = self._folder(name, folders)
-            return (rows if keys is None else rows.join(keys, key, "left_semi")).select(*columns)
-        needed = list(dict.fromkeys([key, *columns]))
-        parts = [
-            self._folder(name, [f]).select(*needed).withColumn("_age", F.lit(i))
-            for i, f in enumerate(folders)
-        ]
-        rows = reduce(DataFrame.unionByName, parts)
+        rows = self.read(name, None if keys is None else self.touched(name, keys))
+        if other_than != (None, None):
+            rows = rows.filter(~written_by(other_than))
         if keys is not None:
-            rows = rows.join(keys, key, "left_semi")
-        return collapse(rows, key, "_age", kept).select(*columns)
+            rows = rows.join(keys.select(KEYS[name][0]), KEYS[name][0], "left_semi")
+        return rows.select(*columns)
 
-    def scan(
-        self, name: str, columns: Sequence[str] | None = None, keys: DataFrame | None = None
-    ) -> DataFrame:
-        """The table, or some of its columns or keys, as of the newest commit."""
-        return self.read_folders(name, self.tables().get(name, []), columns, keys)
+    def touched(self, name: str, keys: DataFrame) -> list[int]:
+        """The partitions that can hold the keys: at most as many numbers as the table has."""
+        return [r["bucket"] for r in keys.select(self.bucket(name).alias("bucket")).distinct().collect()]
 
-    def scan_versions(self, name: str) -> DataFrame:
-        """All versions of all rows, not collapsed; enough where only keys matter."""
-        folders = self.tables().get(name, [])
-        if not folders:
-            return self.spark.createDataFrame([], schemas.TABLES[name])
-        return self._folder(name, folders)
+    def finished(self, origin: Origin) -> bool:
+        """Whether a batch of a stream was run to its end."""
+        return not self.read("crawl_metrics").filter(written_by(origin)).isEmpty()
 
     # --- writing ---
 
-    def stage(self, name: str, rows: DataFrame) -> str:
-        """Write rows to a new folder that does not count yet; gives its name."""
-        folder = f"{name}/part-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.root}/{folder}")
-        return folder
+    def _ready(self, name: str, rows: DataFrame, origin: Origin = (None, None)) -> DataFrame:
+        """Rows in the columns of the table, with partition and origin."""
+        columns = [
+            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schemas.TABLES[name].fields
+        ]
+        own = [
+            (F.col(c) if c in rows.columns else F.lit(given)).cast(kind).alias(c)
+            for c, given, kind in (("_stream", origin[0], "string"), ("_batch", origin[1], "long"))
+        ]
+        return rows.select(*columns, *own).withColumn("bucket", self.bucket(name))
+
+    def _write(self, name: str, ready: DataFrame, mode: str) -> None:
+        # rows of a partition meet in few tasks, so that it gets few files; large ones are split
+        dealt = ready.hint("rebalance", F.col("bucket"))
+        dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path(name))
+
+    def _overwrite(self, name: str, ready: DataFrame, old: Iterable[int] = ()) -> None:
+        """Make the rows the whole content of their partitions; partitions of ``old`` without rows go."""
+        left = {r["bucket"] for r in ready.select("bucket").distinct().collect()} if old else set()
+        self._write(name, ready, "overwrite")
+        for bucket in set(old) - left:
+            remove_folder(self.spark, f"{self.path(name)}/bucket={bucket}")
+
+    def collapsed(self, name: str, rows: DataFrame, order: str = "seq", last: Column | None = None) -> DataFrame:
+        """One row per key, in the columns of the table."""
+        key, kept = KEYS[name]
+        return self._ready(name, collapse(rows, key, order, kept, last)).select(*schemas.TABLES[name].names)
 
-    def stage_batch(
-        self, name: str, rows: DataFrame, order: str = "seq", last: Column | None = None
-    ) -> list[str]:
-        """Stage an insert-or-update batch; gives the folder list to commit."""
+    def upsert(self, name: str, rows: DataFrame, order: str = "seq", last: Column | None = None) -> None:
+        """Insert or update a batch; rewrites the partitions of its keys, and no other."""
         key, kept = KEYS[name]
-        one = collapse(rows, key, order, kept, last)
-        ready = one.select(
-            *[
-                (F.col(f.name) if f.name in one.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in schemas.TABLES[name].fields
-            ]
-        )
-        return [*self.tables().get(name, []), self.stage(name, ready)]
+        with scratch(self._ready(name, self.collapsed(name, rows, order, last)), f"upsert-{name}") as fresh:
+            touched = self.touched(name, fresh)
+            old = self.read(name, touched).withColumn("_age", F.lit(0))
+            both = old.unionByName(fresh.withColumn("_age", F.lit(1))).drop("bucket")
+            self._overwrite(name, self._ready(name, collapse(both, key, "_age", kept)))
+            self._index(name, fresh)
 
-    def upsert(self, name: str, rows: DataFrame, order: str = "seq") -> None:
-        """Insert or update a batch, all rows or none."""
-        self.commit({name: self.stage_batch(name, rows, order)})
+    def append(self, name: str, rows: DataFrame, origin: Origin = (None, None), index: bool = True) -> None:
+        """Add rows whose keys the table does not hold, or to a table without key.
 
-    def replace(self, name: str, rows: DataFrame) -> None:
-        """Make ``rows`` the whole table."""
-        self.commit({name: [self.stage(name, rows)]})
+        ``index=False`` leaves out the titles, for rows whose titles another table brings.
+        """
+        ready = self._ready(name, rows, origin)
+        self._write(name, ready, "append")
+        if index:
+            self._index(name, ready)
 
-    def append(self, name: str, rows: DataFrame) -> None:
-        """Add rows to a table without key."""
-        self.commit({name: [*self.tables().get(name, []), self.stage(name, rows)]})
+    def append_once(
+        self, name: str, rows: DataFrame, origin: Origin, buckets: Iterable[int] | None = None, index: bool = True
+    ) -> None:
+        """``append``, without the rows that the same batch has written before.
+
+        ``buckets`` are the partitions of the rows, where they are known.
+        """
+        if origin != (None, None):
+            key = KEYS[name][0]
+            before = self.read(name, buckets).filter(written_by(origin)).select(key)
+            rows = rows.join(before, key, "left_anti")
+        self.append(name, rows, origin, index)
+
+    def replace(self, name: str, rows: DataFrame) -> None:
+        """Make ``rows``, one per key, the whole table."""
+        with scratch(self._ready(name, rows), f"replace-{name}") as ready:
+            old = [r["bucket"] for r in self.read(name).select("bucket").distinct().collect()]
+            self._overwrite(name, ready, old)
+            self._index(name, ready)
+
+    def purge(self, name: str, gone: Column) -> None:
+        """Remove rows; partitions without such rows stay as they are, file by file."""
+        hit = [r["bucket"] for r in self.read(name).filter(gone).select("bucket").distinct().collect()]
+        if hit:
+            stays = ~F.coalesce(gone, F.lit(False))
+            self._overwrite(name, self.read(name, hit).filter(stays), hit)
 
     def compact(self, name: str) -> None:
-        """Write the table as one folder; its rows do not change."""
-        if len(self.tables().get(name, [])) > 1:
-            self.replace(name, self.scan(name))
+        """Write each partition that has several files as few; its rows do not change."""
+        files = self.read(name).select("bucket", F.input_file_name().alias("file")).groupBy("bucket")
+        many = files.agg(F.count_distinct("file").alias("n")).filter("n > 1").select("bucket").collect()
+        if many:
+            self._write(name, self.read(name, [r["bucket"] for r in many]), "overwrite")
+
+    def _index(self, name: str, rows: DataFrame) -> None:
+        """Add titles with their dates and urls to ``title_dates``, partitioned by the title.
+
+        Entries may be out of date, as urls can get other titles; who looks up goes on to the row.
+        """
+        if name in _TITLED:
+            entries = rows.select("title", format_datetime("published_at").alias("happened"), "url").filter(
+                "title is not null and happened is not null"
+            )
+            self._write("title_dates", self._ready("title_dates", entries), "append")
 
     # --- seeds ---
 
@@ -208,3 +229,8 @@ class ArticleStore:
                 for f in schema.fields
             ],
         )
+
+
+def written_by(origin: Origin) -> Column:
+    """Whether a row was written by a batch of a stream."""
+    return F.col("_stream").eqNullSafe(F.lit(origin[0])) & F.col("_batch").eqNullSafe(F.lit(origin[1]))

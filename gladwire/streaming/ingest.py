@@ -15,27 +15,31 @@ def ingest_stream(
     checkpoint: str,
     options: RunOptions = RunOptions(),
     name: str | None = None,
+    interval: str | None = None,
 ) -> StreamingQuery:
-    """Run every arriving batch of a stream of articles into the store, then stop.
+    """Run every arriving batch of a stream of articles into the store.
+
+    Without ``interval`` the query stops when all that has arrived is run; with
+    one, such as ``"30 seconds"``, it goes on and looks for arrivals that often, until it is stopped.
 
     Batch ids count from 0 in every checkpoint, so they are compared only
-    within a stream: ``name``, by default the folder of its checkpoint. The
-    name and the id are part of the commit, so a batch that is replayed after a crash
-    is not stored twice. A stream that starts anew from another checkpoint
-    runs all its batches; what the store knows is dropped by the run itself.
+    within a stream: ``name``, by default the folder of its checkpoint. Every stored
+    row carries the name and the id. A batch that was run to its end is skipped when it is replayed; one
+    that died half-way is run again, drops the rows it has stored already and adds the rest. A
+    stream that starts anew from another checkpoint runs all its batches; what
+    the store knows is dropped by the run itself.
     """
     stream = name or checkpoint
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        store.refresh()
-        done = store.last_batch_id(stream)
-        if done is None or batch_id > done:
+        if not store.finished((stream, batch_id)):
             run_batch(store, batch, options, (stream, batch_id))
 
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
         articles.writeStream.foreachBatch(one_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 

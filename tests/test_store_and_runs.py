@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,7 +91,7 @@ def test_enriched_run_and_kept_columns(spark, store):
     assert (second.title, second.category, second.updated_at) == ("New", None, DAY)
     before = store.scan("articles").collect()
     store.compact("articles")
-    assert store.scan("articles").collect() == before and len(store.tables()["articles"]) == 1
+    assert store.scan("articles").collect() == before
 
 
 def test_raised_threshold_purges_the_final_table(spark, store):
@@ -100,12 +101,97 @@ def test_raised_threshold_purges_the_final_table(spark, store):
     assert len(stored(store, "crawled_articles", "url")) == 3
 
 
-def test_many_runs_are_compacted_on_request(spark, store):
+def files(store, name="articles"):
+    found = store.read(name).select("bucket", F.input_file_name().alias("file")).distinct().collect()
+    return {(r.bucket, r.file) for r in found}
+
+
+def test_many_runs_are_compacted_on_request(spark, tmp_path, store):
+    one = ArticleStore(spark, store.root, buckets=1)
     for i in range(3):
-        run_batch(store, batch(spark, article(f"Cup wins {i}", f"u{i}")))
-    assert len(store.tables()["articles"]) == 3
-    store.compact("articles")
-    assert len(store.tables()["articles"]) == 1 and len(stored(store, "articles", "url")) == 3
+        run_batch(one, batch(spark, article(f"Cup wins {i}", f"u{i}")))
+    assert len(files(one)) == 3
+    one.compact("articles")
+    assert len(files(one)) == 1 and len(stored(one, "articles", "url")) == 3
+    one.compact("articles")
+    assert len(files(one)) == 1
+
+
+def test_a_purge_rewrites_only_what_it_must(spark, store):
+    run_batch(store, batch(spark, *(article(f"Cup wins {i}", f"u{i}") for i in range(40)), article("Hope wins", "low")))
+    before = files(store)
+    store.purge("articles", F.col("url") == "low")
+    after = files(store)
+    hit = {r.bucket for r in spark.sql("SELECT 'low' AS url").select(store.bucket("articles").alias("bucket")).collect()}
+    assert {b for b, _ in before - after} == hit and len(stored(store, "articles", "url")) == 40
+    assert {f for b, f in before if b not in hit} == {f for b, f in after if b not in hit}
+    # a partition that loses all its rows goes
+    store.purge("articles", F.col("url") != "u7")
+    assert stored(store, "articles", "url") == [("u7",)] and len(files(store)) == 1
+    store.purge("articles", F.col("url") == "u7")
+    assert stored(store, "articles", "url") == [] and files(store) == set()
+
+
+def test_an_upsert_rewrites_only_its_partitions(spark, store):
+    run_batch(store, batch(spark, *(article(f"Cup wins {i}", f"u{i}") for i in range(40))))
+    before = files(store)
+    rows = store.scan("articles").filter("url = 'u3'").withColumns({"seq": F.lit(0), "title": F.lit("New")})
+    store.upsert("articles", rows)
+    changed = {b for b, _ in before - files(store)}
+    assert len(changed) == 1 and ("u3", "New") in stored(store, "articles", "url", "title") and len(stored(store, "articles", "url")) == 40
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookups_read_only_the_partitions_of_their_keys(spark, store):
+    rows = [article(f"Cup wins {i}", f"u{i}", when=DAY + dt.timedelta(days=i)) for i in range(60)]
+    run_batch(store, batch(spark, *rows))
+    few = spark.createDataFrame([("u5",), ("u9",)], "url string")
+    found = store.scan("crawled_articles", ["url"], keys=few)
+    buckets = sorted(store.touched("crawled_articles", few))
+    assert len(buckets) <= 2 and re.search(r"PartitionFilters: \[[^]]*bucket#", plan(found)) and stored_rows(found) == [("u5",), ("u9",)]
+    read = store.read("crawled_articles", buckets).count()
+    assert read < 30 and store.read("crawled_articles", []).count() == 0
+    # a run reads as many rows of a store twice as large
+    seen = []
+    original = ArticleStore.read
+
+    def watched(self, name, buckets=None):
+        frame = original(self, name, buckets)
+        if name in ("crawled_articles", "articles", "title_dates") and buckets is not None:
+            seen.append((name, len(list(buckets))))
+        return frame
+
+    ArticleStore.read = watched
+    try:
+        run_batch(store, batch(spark, article("Cup wins 5", "v", when=DAY + dt.timedelta(days=5)), article("Hope wins", "u1")))
+    finally:
+        ArticleStore.read = original
+    assert seen and all(n <= 2 for _, n in seen)
+    assert store.scan("crawl_metrics").filter("articles_fetched = 2 and articles_stored = 0").count() == 1
+
+
+def stored_rows(frame):
+    return sorted(tuple(r) for r in frame.collect())
+
+
+def test_titles_that_changed_are_no_longer_known(spark, store):
+    run_batch(store, batch(spark, article("Cup wins", "u1")))
+    for table in ("crawled_articles", "articles"):
+        store.upsert(table, store.scan(table).withColumns({"seq": F.lit(0), "title": F.lit("Other cup wins")}))
+    report = run_batch(store, batch(spark, article("Cup wins", "u2"), article("Other cup wins", "u3")))
+    assert report.counts["articles_new"] == 1
+    assert stored(store, "crawled_articles", "url") == [("u1",), ("u2",)]
+
+
+def test_runs_leave_no_working_folders(spark, store, tmp_path):
+    run_batch(store, batch(spark, article("Cup wins", "u1")))
+    run_batch(store, batch(spark, article("Cup wins", "u1", "Nobody")))
+    from pathlib import Path
+
+    assert list(Path(store.root, "_runs").iterdir()) == []
 
 
 def test_raw_store_keeps_the_last_uplifting_row(spark, store):
@@ -132,15 +218,13 @@ def test_failing_scores_and_writes_leave_metrics(spark, store, tmp_path):
     assert spark.read.json(events).filter("event = 'article_processed'").count() == 0
 
 
-def test_another_writer_is_noticed(spark, store):
+def test_two_writers_append(spark, store):
     other = ArticleStore(spark, store.root)
-    store.tables()
-    other.append("crawl_metrics", spark.createDataFrame([], schemas.CRAWL_METRICS))
-    with pytest.raises(RuntimeError):
-        store.append("crawl_metrics", spark.createDataFrame([], schemas.CRAWL_METRICS))
-    store.refresh()
     store.append("crawl_metrics", spark.createDataFrame([], schemas.CRAWL_METRICS))
-    assert len(store.tables()["crawl_metrics"]) == 2
+    row = ("a", DAY, DAY, 1, 1, 1, 0.5, None)
+    for writer in (store, other):
+        writer.append("crawl_metrics", spark.createDataFrame([row], schemas.CRAWL_METRICS))
+    assert store.scan("crawl_metrics").count() == other.scan("crawl_metrics").count() == 2
 
 
 @pytest.mark.parametrize(("own", "classified"), [(0.9, 1), (0.05, 3), (None, 2)])
@@ -162,8 +246,8 @@ def test_seeds_do_not_replace(spark, tmp_path):
 
 def test_older_folders_lack_columns(spark, tmp_path):
     store = ArticleStore(spark, str(tmp_path / "s"))
-    older = spark.createDataFrame([(1, "t", "u")], "id long, title string, url string")
-    store.commit({"articles": [store.stage("articles", older)]})
+    older = spark.createDataFrame([(1, "t", "u")], "id int, title string, url string").withColumn("bucket", store.bucket("articles"))
+    older.write.partitionBy("bucket").parquet(store.path("articles"))
     store.upsert("articles", add_missing_columns(spark.createDataFrame([(2, "t2", "v")], "id long, title string, url string"), schemas.ARTICLES).withColumn("seq", F.lit(0)))
     assert stored(store, "articles", "id", "url") == [(1, "u"), (2, "v")]
 
@@ -214,7 +298,8 @@ def test_stream_runs_each_batch_once(spark, store, tmp_path):
     batch(spark, article("Cup wins", "u1"), article("Hope rescued", "u3")).coalesce(1).write.mode("append").parquet(arrivals)
     ingest_stream(store, stream(), str(tmp_path / "cp")).awaitTermination()
     assert stored(store, "articles", "url") == [("u1",), ("u3",)]
-    assert store.last_batch_id(str(tmp_path / "cp")) == 1 and store.scan("crawl_metrics").count() == 2
+    cp = str(tmp_path / "cp")
+    assert store.finished((cp, 0)) and store.finished((cp, 1)) and not store.finished((cp, 2)) and store.scan("crawl_metrics").count() == 2
     # a replay of the same stream is skipped
     ingest_stream(store, stream(), str(tmp_path / "cp2"), name=str(tmp_path / "cp")).awaitTermination()
     assert store.scan("crawl_metrics").count() == 2
@@ -225,6 +310,47 @@ def test_stream_runs_each_batch_once(spark, store, tmp_path):
     assert stored(store, "articles", "url") == [("u1",), ("u3",), ("u9",)] and store.scan("crawl_metrics").count() == 3
 
 
+@pytest.mark.parametrize("dies_at", ["crawled_articles", "articles", "crawl_metrics"])
+def test_a_batch_that_died_is_completed_by_its_replay(spark, store, tmp_path, monkeypatch, dies_at):
+    """The driver dies right after a write; the same checkpoint runs the batch again."""
+    rows = batch(spark, article("Cup wins", "u1"), article("War", "u2"), article("Hope rescued", "u3", when=None), article("Cup wins", "u4"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = lambda: spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    append = ArticleStore.append
+
+    def dying(self, name, *args, **more):
+        if name != "crawl_metrics" or dies_at != "crawl_metrics":
+            append(self, name, *args, **more)
+        if name == dies_at:
+            raise SystemError("the driver died")
+
+    monkeypatch.setattr(ArticleStore, "append", dying)
+    with pytest.raises(Exception, match="the driver died"):
+        ingest_stream(store, stream(), str(tmp_path / "cp")).awaitTermination()
+    monkeypatch.undo()
+    ingest_stream(store, stream(), str(tmp_path / "cp")).awaitTermination()
+    assert stored(store, "articles", "url") == [("u1",), ("u3",), ("u4",)]
+    assert stored(store, "crawled_articles", "url") == [("u1",), ("u2",), ("u3",), ("u4",)]
+    metrics = store.scan("crawl_metrics").collect()
+    assert [(r.articles_fetched, r.articles_stored, r.errors) for r in metrics] == [(4, 3, None)]
+    ingest_stream(store, stream(), str(tmp_path / "cp")).awaitTermination()
+    assert store.scan("crawl_metrics").count() == 1
+
+
+def test_stream_that_goes_on(spark, store, tmp_path):
+    rows = batch(spark, article("Cup wins", "u1")).coalesce(1)
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = ingest_stream(store, stream, str(tmp_path / "cp"), interval="1 second")
+    try:
+        query.processAllAvailable()
+        batch(spark, article("Hope rescued", "u2")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        query.processAllAvailable()
+        assert query.isActive and stored(store, "articles", "url") == [("u1",), ("u2",)]
+    finally:
+        query.stop()
+
+
 def test_stream_dedup(spark, tmp_path):
     old, future, minute = dt.datetime(2020, 1, 1), dt.datetime(2099, 1, 1), dt.timedelta(minutes=1)
     rows = [("u1", DAY, DAY), ("u2", future, DAY), ("u1", DAY, DAY + minute), ("u3", old, DAY + minute), ("u4", None, DAY + 2 * minute)]
