@@ -4,7 +4,7 @@ The generated pages hold no images and no absolute links, so the queries add
 some to each page by its own url.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from checks import check
@@ -158,3 +158,82 @@ def reddit_page_link(t: Tables) -> DataFrame:
 def reddit_page_link_legacy(t: Tables) -> DataFrame:
     link = html.reddit_page_link_or_post("html", "url")
     return _post_pages(t).select("page_id", link.alias("link"))
+
+
+# --- pages that tag patterns cannot read -------------------------------------
+
+
+def _quarter(n: int):
+    return F.col("page_id") % 4 == n
+
+
+def _untidy(t: Tables) -> DataFrame:
+    """Named references, stray quotes, a quote that is never closed; every fourth page as it is."""
+    def text(*parts):
+        return F.concat(*(p if isinstance(p, Column) else F.lit(p) for p in parts))
+
+    head = (
+        F.when(_quarter(0), text('<meta property="og:image" content="/caf&eacute;/', _number(), '&ndash;x.png?a=1&b=2">'))
+        .when(_quarter(1), text('<meta property="og:title" content="say "cheese""><meta property="og:image" content="/q/', _number(), '.png">'))
+        .when(_quarter(2), text('<img alt=none><img src="/cut/', _number(), '.gif><b title="x"><img src="/later.gif">'))
+        .otherwise(F.lit(""))
+    )
+    return t.read("pages").withColumn("html", F.concat(head, "html"))
+
+
+_HOST = "regexp_extract(url, '^(https?://[^/?#]+)', 1)"
+_UNTIDY_META = f"""CASE page_id % 4 WHEN 0 THEN {_HOST} || '/café/' || page_id || '–x.png?a=1&b=2'
+                        WHEN 1 THEN {_HOST} || '/q/' || page_id || '.png' END"""
+_UNTIDY_IMG = f"""CASE page_id % 4 WHEN 2 THEN {_HOST} || '/cut/' || page_id || '.gif><b title=' END"""
+
+
+@check("meta_image_untidy", f"SELECT page_id, {_UNTIDY_META} AS image FROM pages")
+def meta_image_untidy(t: Tables) -> DataFrame:
+    return _untidy(t).select("page_id", html.meta_image("html", "url").alias("image"))
+
+
+@check("first_img_untidy", f"SELECT page_id, {_UNTIDY_IMG} AS image FROM pages")
+def first_img_untidy(t: Tables) -> DataFrame:
+    return _untidy(t).select("page_id", html.first_img("html", "url").alias("image"))
+
+
+@check("thumbnail_chain_untidy", f"""
+    SELECT page_id, coalesce({_UNTIDY_META}, {_UNTIDY_IMG}, {_ICON}) AS thumbnail_url FROM pages""")
+def thumbnail_chain_untidy(t: Tables) -> DataFrame:
+    return _untidy(t).select("page_id", html.thumbnail("html", "url").alias("thumbnail_url"))
+
+
+def _untidy_posts(t: Tables) -> DataFrame:
+    """Post content in nested divisions that an outer element closes, or that never closes."""
+    early = F.concat(F.lit('<a href="https://early.example.org/'), _number(), F.lit('">e</a>'))
+    inside = F.concat(
+        F.lit('<section><div class="c" data-testid="post-content"><div><div><a href="https://www.reddit.com/r/x">x</a></div></div>'
+              '<p>open<br><a href="https://in.example.org/&Eacute;/'), _number(),
+        F.lit('?x=1">n</a></section><a href="https://late.example.org/x">l</a>'),
+    )
+    outside = F.lit('<section><div data-testid="post-content"><div><a href="https://i.redd.it/x">x</a></section>'
+                    '<a href="https://late.example.org/x">l</a>')
+    element = F.concat(F.lit('<shreddit-post title="a "b" c" content-href="https://el.example.org/'), _number(), F.lit('">'))
+    extra = (
+        F.when(_quarter(0), F.concat(early, inside)).when(_quarter(1), F.concat(early, outside))
+        .when(_quarter(2), F.concat(early, element)).otherwise(F.lit(""))
+    )
+    return t.read("pages").withColumn("html", F.concat("html", extra))
+
+
+@check("reddit_page_link_untidy", """
+    SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'https://in.example.org/É/' || page_id
+        WHEN 1 THEN 'https://early.example.org/' || page_id WHEN 2 THEN 'https://el.example.org/' || page_id END AS link
+    FROM pages""")
+def reddit_page_link_untidy(t: Tables) -> DataFrame:
+    return _untidy_posts(t).select("page_id", html.reddit_page_link("html").alias("link"))
+
+
+@check("reddit_entry_link_untidy", """
+    SELECT page_id, CASE page_id % 4 WHEN 2 THEN 'https://el.example.org/' || page_id
+        WHEN 3 THEN 'https://tidy.example.org/' || page_id ELSE 'https://early.example.org/' || page_id END AS link
+    FROM pages""")
+def reddit_entry_link_untidy(t: Tables) -> DataFrame:
+    tidy = F.concat(F.lit('<a href="https://tidy.example.org/'), _number(), F.lit('?q">t</a>'))
+    blocks = F.array(F.lit("<p>no link &eacute;</p>"), F.col("html"), tidy)
+    return _untidy_posts(t).select("page_id", html.reddit_entry_link(blocks).alias("link"))

@@ -1,8 +1,7 @@
-"""HTML functions on columns, by tag patterns.
+"""HTML functions on columns.
 
-Limits, against a full HTML parser: an unclosed quote in a tag hides the tag,
-and of the named character references only five are decoded in attribute
-values; numeric ones all are.
+Tag patterns read the pages whose tags are well-formed; the others go through the
+tokenizer of ``gladwire.functions.pages``. Both give the same for well-formed pages.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gladwire import fixed
+from gladwire.functions.pages import is_doubtful, read_page, read_pages
 from gladwire.functions.text import _col, bind, non_empty, trim_title
 from gladwire.functions.urls import (
     clean_url, favicon_url, is_external_link, is_reddit_internal, make_absolute,
@@ -73,56 +73,82 @@ def _unquote(value: Column) -> Column:
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute in a tag; null where the tag has none."""
+    """Value of an attribute in a tag, the last of several; null where the tag has none."""
 
     def find(tag: Column) -> Column:
         pairs = F.arrays_zip(
             F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(1)).alias("name"),
             F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(2)).alias("value"),
         )
-        return F.get(F.filter(pairs, lambda p: F.lower(p["name"]) == name), F.lit(0))["value"]
+        return F.try_element_at(F.filter(pairs, lambda p: F.lower(p["name"]) == name), F.lit(-1))["value"]
 
     return _unescape(bind(bind(tag, find), _unquote))
 
 
-def meta_image(html: Column | str, page_url: Column | str) -> Column:
-    """Image named in the meta tags.
+def _read(html: Column | str) -> Column:
+    """The page as the tokenizer reads it; null where patterns are enough."""
+    html = _col(html)
+    return read_page(F.when(is_doubtful(html), html))
 
-    Names are tried in a fixed order. Per name the first tag with that
-    ``property`` counts, else the first with that ``name``; where its content
-    is empty the next name is tried, not the next tag.
-    """
+
+def _named_image(metas: Column) -> Column:
+    """Names are tried in a fixed order. Per name the first tag with that ``property``
+    counts, else the first with that ``name``; where its content is empty the next
+    name is tried, not the next tag."""
 
     def content_of(metas: Column, name: str) -> Column:
         by_property = F.get(F.filter(metas, lambda m: m["property"] == name), F.lit(0))
         by_name = F.get(F.filter(metas, lambda m: m["name"] == name), F.lit(0))
-        return non_empty(F.coalesce(by_property, by_name)["content"])
+        return non_empty(trim_title(F.coalesce(by_property, by_name)["content"]))
 
-    metas = F.transform(
-        tags(html, "meta"),
+    return bind(metas, lambda m: F.coalesce(*[content_of(m, n) for n in fixed.IMAGE_META_NAMES]))
+
+
+def _metas(body: Column | str) -> Column:
+    return F.transform(
+        tags(body, "meta"),
         lambda t: F.struct(
-            attribute(t, "property").alias("property"),
-            attribute(t, "name").alias("name"),
-            trim_title(attribute(t, "content")).alias("content"),
+            attribute(t, "property").alias("property"), attribute(t, "name").alias("name"),
+            attribute(t, "content").alias("content"),
         ),
     )
-    image = bind(metas, lambda m: F.coalesce(*[content_of(m, n) for n in fixed.IMAGE_META_NAMES]))
+
+
+def _usable_image(sources: Column) -> Column:
+    """The first source that is not empty and not inlined as data."""
+    trimmed = F.transform(sources, trim_title)
+    return F.get(F.filter(trimmed, lambda s: (s != "") & ~s.startswith("data:")), F.lit(0))
+
+
+def _images(body: Column | str) -> Column:
+    return F.transform(tags(body, "img"), lambda t: attribute(t, "src"))
+
+
+def _either(page: Column, read: Column, by_patterns: Column) -> Column:
+    return F.when(page.isNotNull(), read).otherwise(by_patterns)
+
+
+def meta_image(html: Column | str, page_url: Column | str) -> Column:
+    """Image named in the meta tags."""
+    page = _read(html)
+    image = _either(page["metas"], _named_image(page["metas"]), _named_image(_metas(markup(html))))
     return make_absolute(image, page_url)
 
 
 def first_img(html: Column | str, page_url: Column | str) -> Column:
     """Source of the first image that has one and is not inlined as data."""
-    sources = F.transform(tags(html, "img"), lambda t: trim_title(attribute(t, "src")))
-    usable = F.filter(sources, lambda s: (s != "") & ~s.startswith("data:"))
-    return make_absolute(F.get(usable, F.lit(0)), page_url)
+    page = _read(html)
+    image = _either(page["metas"], _usable_image(page["images"]), _usable_image(_images(markup(html))))
+    return make_absolute(image, page_url)
 
 
 def thumbnail(html: Column | str, page_url: Column | str) -> Column:
     """Meta image, else first image, else the site icon; the icon where there is no HTML."""
-    found = bind(
-        markup(html), lambda body: F.coalesce(meta_image(body, page_url), first_img(body, page_url))
-    )
-    return F.coalesce(found, favicon_url(page_url))
+    page = _read(html)
+    read = F.coalesce(_named_image(page["metas"]), _usable_image(page["images"]))
+    by_patterns = bind(markup(html), lambda body: F.coalesce(_named_image(_metas(body)), _usable_image(_images(body))))
+    image = make_absolute(_either(page["metas"], read, by_patterns), page_url)
+    return F.coalesce(image, favicon_url(page_url))
 
 
 def hrefs(html: Column | str) -> Column:
@@ -135,30 +161,37 @@ def first_external_link(links: Column | str) -> Column:
     return bind(F.get(F.filter(_col(links), is_external_link), F.lit(0)), clean_url)
 
 
-def _reddit_target(body: Column) -> Column:
-    """Link of the first post element, cleaned; null where it leads back to Reddit."""
-    target = non_empty(attribute(F.get(tags(body, "shreddit-post"), F.lit(0)), "content-href"))
-    return bind(target, lambda link: F.when(~is_reddit_internal(link), clean_url(link)))
+def _outside_target(target: Column) -> Column:
+    """The link of a post element, cleaned; null where it leads back to Reddit."""
+    return bind(non_empty(target), lambda link: F.when(~is_reddit_internal(link), clean_url(link)))
+
+
+def _post_target(body: Column) -> Column:
+    return attribute(F.get(tags(body, "shreddit-post"), F.lit(0)), "content-href")
 
 
 def reddit_entry_link(blocks: Column | str) -> Column:
     """External link of a post from the HTML blocks of its feed entry."""
+    blocks = _col(blocks)
+    pages = read_pages(F.transform(blocks, lambda b: F.when(is_doubtful(b), b)))
 
-    def link_of(block: Column) -> Column:
-        return bind(
+    def link_of(block: Column, page: Column) -> Column:
+        by_patterns = bind(
             markup(block),
-            lambda body: F.coalesce(_reddit_target(body), first_external_link(hrefs(body))),
+            lambda body: F.coalesce(_outside_target(_post_target(body)), first_external_link(hrefs(body))),
         )
+        read = F.coalesce(_outside_target(page["post"]), first_external_link(page["links"]))
+        return F.when(page.isNotNull(), read).otherwise(by_patterns)
 
-    found = F.filter(F.transform(_col(blocks), link_of), lambda link: link.isNotNull())
+    found = F.filter(F.zip_with(blocks, pages, link_of), lambda link: link.isNotNull())
     return F.get(found, F.lit(0))
 
 
 def post_content_links(body: Column) -> Column:
     """Link targets inside the first ``div`` marked as post content.
 
-    A fold over the ``div`` and ``a`` tags after that ``div`` keeps the depth;
-    it takes no more links once the ``div`` is closed.
+    A fold over the ``div`` and ``a`` tags after that ``div`` keeps only the depth and
+    the place where the ``div`` is closed.
     """
     marked = F.filter(
         tags(body, "div"), lambda t: F.coalesce(attribute(t, "data-testid") == "post-content", F.lit(False))
@@ -169,34 +202,37 @@ def post_content_links(body: Column) -> Column:
     parts = F.regexp_extract_all(after, F.lit(_DIV_OR_ANCHOR), F.lit(0))
 
     def step(state: Column, tag: Column) -> Column:
-        depth, links = state["depth"], state["links"]
-        is_open, start = depth > 0, F.lower(F.substring(tag, 1, 5))
-        change = (
-            F.when(~is_open, F.lit(0))
-            .when(start == "</div", F.lit(-1))
-            .when(start.startswith("<div"), F.lit(1))
-        )
-        taken = is_open & start.startswith("<a")
+        start = F.lower(F.substring(tag, 1, 5))
+        change = F.when(start == "</div", F.lit(-1)).when(start.startswith("<div"), F.lit(1)).otherwise(F.lit(0))
+        is_open = state["depth"] > 0
         return F.struct(
-            (depth + F.coalesce(change, F.lit(0))).alias("depth"),
-            F.when(taken, F.concat(links, F.array(tag))).otherwise(links).alias("links"),
+            F.when(is_open, state["depth"] + change).otherwise(F.lit(0)).alias("depth"),
+            (state["length"] + is_open.cast("int")).alias("length"),
         )
 
-    start = F.struct(F.lit(1).alias("depth"), F.array().cast("array<string>").alias("links"))
-    inside = F.aggregate(parts, start, step, lambda state: state["links"])
-    return F.transform(inside, lambda tag: attribute(tag, "href"))
+    def inside(parts: Column) -> Column:
+        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("length"))
+        length = F.aggregate(parts, start, step, lambda state: state["length"])
+        return F.filter(F.slice(parts, F.lit(1), length), lambda tag: F.lower(F.substring(tag, 1, 2)) == "<a")
+
+    return F.transform(bind(parts, inside), lambda tag: attribute(tag, "href"))
 
 
 def reddit_page_link(html: Column | str) -> Column:
     """External link of a post from its page: post element, post content, any link."""
-    return bind(
+    page = _read(html)
+    read = F.coalesce(
+        _outside_target(page["post"]), first_external_link(page["content"]), first_external_link(page["links"])
+    )
+    by_patterns = bind(
         markup(html),
         lambda body: F.coalesce(
-            _reddit_target(body),
+            _outside_target(_post_target(body)),
             first_external_link(post_content_links(body)),
             first_external_link(hrefs(body)),
         ),
     )
+    return _either(page["metas"], read, by_patterns)
 
 
 def reddit_page_link_or_post(html: Column | str, post_url: Column | str) -> Column:
