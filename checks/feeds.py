@@ -8,7 +8,8 @@ from checks.views import Tables, minutes_after_epoch, stamp
 from gladwire.functions import html
 from gladwire.functions.dates import format_datetime
 from gladwire.operators import articles as article_ops
-from gladwire.sources import feeds, registry
+from gladwire.session import new_folder
+from gladwire.sources import archive, feeds, registry
 
 def _date() -> Column:
     return F.date_format(minutes_after_epoch(F.col("n_chars")), "d MMM yyyy HH:mm:ss")
@@ -226,3 +227,38 @@ def custom_source(t: Tables) -> DataFrame:
     rows = _entries(t).withColumn("adapter", registry.adapter_of(adapter))
     adapters = {"rss": feeds.default_adapters()["rss"], "mirror": mirror}
     return feeds.route(rows, rows, adapters).select("doc_id", "pos", "url")
+
+
+@check("custom_source_format", f"""
+    SELECT doc_id, pos, {_TITLE} AS title, {_SQL_LINK} || '?utm=1' AS link,
+           {stamp(_MOMENT + " - INTERVAL 1 HOUR")} AS published_at
+    FROM v_lines WHERE lang <> 'es'""")
+def custom_source_format(t: Tables) -> DataFrame:
+    """Feeds written as an archive and read through the data source."""
+    path = new_folder(t.spark, "archive")
+    archive.write_archive(rss(t, broken=F.col("lang") == "es"), path)
+    archive.register(t.spark)
+    return _shown(feeds.feed_entries(t.spark.read.format(archive.FORMAT).load(path).drop("file")))
+
+
+@check("custom_source_stream", f"""
+    SELECT doc_id, pos, {_TITLE} AS title, {_SQL_LINK} || '?utm=1' AS link, {stamp(_MOMENT)} AS published_at
+    FROM v_lines""")
+def custom_source_stream(t: Tables) -> DataFrame:
+    """Feeds that arrive in an archive in two parts, one before and one after the stream has begun."""
+    path, sink = new_folder(t.spark, "archive"), new_folder(t.spark, "entries")
+    whole, early = atom(t), F.pmod(F.xxhash64("source_id"), F.lit(2)) == 0
+    archive.write_archive(whole.filter(early), path)
+    stream = archive.register(t.spark).readStream.format(archive.FORMAT).load(path).drop("file")
+    entries = feeds.feed_entries(stream)
+    query = (
+        entries.writeStream.format("parquet").option("path", sink)
+        .option("checkpointLocation", new_folder(t.spark, "checkpoint")).start()
+    )
+    try:
+        query.processAllAvailable()
+        archive.write_archive(whole.filter(~early), path)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return _shown(t.spark.read.schema(entries.schema).parquet(sink))
