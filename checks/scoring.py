@@ -36,6 +36,20 @@ def lexicon_match(t: Tables) -> DataFrame:
     return scoring.match_lexicon(t.articles, lexicon).select("seq", "hint")
 
 
+@check("lexicon_match_table", r"""
+    WITH words AS (SELECT DISTINCT unnest(regexp_extract_all(lower(body), '[\p{L}\p{N}_]+')) AS hint FROM v_articles),
+    own AS (SELECT seq, title, unnest(list_distinct(regexp_extract_all(lower(title), '[\p{L}\p{N}_]+'))) AS hint FROM v_articles)
+    SELECT seq, hint FROM own WHERE hint IN (SELECT hint FROM words)
+    UNION ALL SELECT seq, '!!' FROM v_articles WHERE regexp_matches(title, '[\p{L}\p{N}_]!![\p{L}\p{N}_]')
+    UNION ALL SELECT seq, '. ' FROM v_articles WHERE regexp_matches(title, '[\p{L}\p{N}_]\. [\p{L}\p{N}_]')
+    UNION ALL SELECT seq, '' FROM v_articles WHERE regexp_matches(title, '[\p{L}\p{N}_]')""")
+def lexicon_match_table(t: Tables) -> DataFrame:
+    """All words of all texts as a lexicon, and hints without a letter."""
+    words = t.articles.select(F.explode(F.regexp_extract_all(F.lower("body"), F.lit(r"([\p{L}\p{N}_]+)"))).alias("hint")).distinct()
+    signs = t.spark.createDataFrame([("!!",), (". ",), ("",)], "hint string")
+    return scoring.match_lexicon(t.articles, words.unionByName(signs)).select("seq", "hint")
+
+
 @check("rule_score", f"""
     SELECT seq, 1.0::DOUBLE - score AS negative, score AS positive
     FROM (SELECT seq, {rule_score('title')} AS score FROM v_articles)""")

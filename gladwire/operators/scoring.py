@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import reduce
 
+import pandas as pd
 from pyspark.ml import Transformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -11,7 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gladwire import fixed
-from gladwire.functions.text import _col, has_hint, hint_hit_count, words
+from gladwire.functions.text import _col, has_hint, hint_hit_count
+
+# Characters of the hints of one automaton: what is broadcast at a time.
+LEXICON_CHARS = 1_000_000
 
 # A scorer maps the title column to a score, or to a pair [negative, positive].
 Scorer = Callable[[Column], Column]
@@ -155,29 +160,71 @@ def below_threshold(articles: DataFrame, threshold: float = fixed.DEFAULT_THRESH
     return articles.filter(is_below(threshold))
 
 
+class Lexicon:
+    """Hints as an Aho-Corasick automaton: all of them are found in one pass over a text.
+
+    A hint counts where a regular expression would find it between two ``\\b``: a hint that begins with a
+    letter, digit or underscore must not follow one, any other must; likewise at its end. The empty
+    hint is in every text that has such a sign. Hints and texts are given in lower case.
+    """
+
+    def __init__(self, hints: Sequence[tuple[str, str]]):
+        import ahocorasick
+
+        self.names: dict[str, list[str]] = {}
+        for hint, lowered in hints:
+            self.names.setdefault(lowered, []).append(hint)
+        self.automaton = ahocorasick.Automaton()
+        for lowered in self.names:
+            if lowered:
+                self.automaton.add_word(lowered, (lowered, len(lowered), _is_word(lowered[0]), _is_word(lowered[-1])))
+        if len(self.automaton):
+            self.automaton.make_automaton()
+
+    def found(self, text: str) -> list[str]:
+        """The hints in a text, each once."""
+        seen = set()
+        if len(self.automaton):
+            last = len(text) - 1
+            for end, (lowered, length, first_is_word, last_is_word) in self.automaton.iter(text):
+                start = end - length + 1
+                before = start > 0 and _is_word(text[start - 1])
+                after = end < last and _is_word(text[end + 1])
+                if before != first_is_word and after != last_is_word:
+                    seen.add(lowered)
+        if "" in self.names and any(map(_is_word, text)):
+            seen.add("")
+        return [name for lowered in seen for name in self.names[lowered]]
+
+
+def _is_word(sign: str) -> bool:
+    return sign.isalnum() or sign == "_"
+
+
 def match_lexicon(titles: DataFrame, lexicon: DataFrame, title: str = "title") -> DataFrame:
     """A row per title row and hint of a lexicon table found as a whole word.
 
-    Not a pairwise test: the first word of a hint must be a word of the title,
-    so the two meet in an equality join; only hints that are more than one word
-    are then tested by their pattern. A hint without any letter or digit has no
-    such word, and stops the job.
+    The hints go to the executors as one automaton, or, beyond ``LEXICON_CHARS``
+    characters in all, as several of about that size, one after the other; every hint is looked for in every title.
     """
-    lowered = F.lower(F.col(title))
-    found_words = F.array_distinct(F.filter(words(F.col(title)), lambda w: w != ""))
-    exploded = titles.withColumn("_word", F.explode_outer(found_words))
-    hint = F.lower("hint")
-    escaped = F.regexp_replace(hint, r"([^\p{L}\p{N}_ ])", r"\\$1")
-    inside, outside = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
-    left = F.when(hint.rlike(f"^{inside}"), rf"(?<!{inside})").otherwise(rf"(?<={inside})")
-    right = F.when(hint.rlike(f"{inside}$"), rf"(?!{inside})").otherwise(rf"(?={inside})")
-    first = F.regexp_extract(hint, f"{inside}+", 0)
-    wordless = F.raise_error(F.concat(F.lit("a hint without letter or digit: "), hint)).cast("string")
-    hints = lexicon.select("hint").distinct().filter(F.col("hint").isNotNull()).select(
-        "hint",
-        F.when(first == "", wordless).otherwise(first).alias("_word"),
-        F.concat(left, escaped, right).alias("_pattern"),
-    )
-    met = exploded.join(hints, "_word", "inner")
-    exact = (F.lower("hint") == F.col("_word")) | F.rlike(lowered, F.col("_pattern"))
-    return met.filter(exact).drop("_word", "_pattern")
+    hints = lexicon.select("hint").filter(F.col("hint").isNotNull()).distinct().withColumn("lowered", F.lower("hint"))
+    size = hints.agg(F.sum(F.length("hint") + 1).alias("n")).collect()[0]["n"] or 0
+    slices = max(1, -(-size // LEXICON_CHARS))
+    number = F.pmod(F.xxhash64("hint"), F.lit(slices))
+    parts = []
+    for i in range(slices):
+        rows = hints.filter(number == i).collect()
+        parts.append(_with_hints(titles, Lexicon([(r["hint"], r["lowered"]) for r in rows]), title))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _with_hints(titles: DataFrame, lexicon: Lexicon, title: str) -> DataFrame:
+    shared = titles.sparkSession.sparkContext.broadcast(lexicon)
+
+    @F.pandas_udf("array<string>")
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = shared.value
+        for texts in batches:
+            yield pd.Series([None if t is None else own.found(t) for t in texts], dtype=object)
+
+    return titles.withColumn("hint", F.explode(find(F.lower(F.col(title)))))

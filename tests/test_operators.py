@@ -126,6 +126,29 @@ def test_purge(spark):
     assert rows_of(scoring.below_threshold(frame), "id") == [(2,), (3,)]
 
 
+@pytest.mark.parametrize("most", [None, 2_000])
+def test_lexicon_of_ten_thousand_phrases_against_regular_expressions(spark, monkeypatch, most):
+    """Phrases of any signs are found as between two word boundaries, in one automaton or in several."""
+    import random
+    import re
+
+    if most:
+        monkeypatch.setattr(scoring, "LEXICON_CHARS", most)
+    rng = random.Random(3)
+    syllables = ["a", "be", "é", "ß", "7", "_", " ", "-", "!", ".", "'", "日", "co"]
+    texts = [None, "", "...", "a"] + ["".join(rng.choices(syllables, k=rng.randint(1, 25))) for _ in range(150)]
+    hints = {"", "!!!", "-", "a.b", "(", "É"} | {"".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(10_000 if not most else 600)}
+    hints = sorted(hints)
+    titles = spark.createDataFrame(list(enumerate(texts)), "i int, title string")
+    lexicon = spark.createDataFrame([(h,) for h in [*hints, *hints[:5], None]], "hint string")
+    got = sorted(rows_of(scoring.match_lexicon(titles, lexicon), "i", "hint"))
+    want = sorted(
+        (i, h) for i, t in enumerate(texts) if t is not None for h in hints
+        if re.search(rf"\b{re.escape(h.lower())}\b", t.lower())
+    )
+    assert got == want and len(want) > 500
+
+
 def test_match_lexicon_finds_words_and_phrases(spark):
     titles = spark.createDataFrame([(1, "A Record High win"), (2, "record-high"), (3, "c++ vs c"), (4, None)], "i int, title string")
     lexicon = spark.createDataFrame([("record high",), ("win",), ("c",), ("Win",)], "hint string")
