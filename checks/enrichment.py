@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import check
 from checks.views import INPUT_TEXT, TOPIC_WORDS, Tables, hits
 from gladwire.functions.labels import category_key
-from gladwire.operators import enrich
+from gladwire.operators import enrich, models
 
 _LABELS = tuple(TOPIC_WORDS)
 
@@ -143,3 +143,31 @@ def summary_mode(t: Tables) -> DataFrame:
         for mode in ("title", "none", "summary")
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _load_topics():
+    """Labels by lengths and letters of the text, with weights that are exact in binary."""
+    import numpy as np
+
+    def predict(texts):
+        return np.array([[len(t) / 1024, t.count("e") / 128, t.count("a") / 128] for t in texts], dtype=np.float64)
+
+    return predict
+
+
+_BATCH_LABELS = ("Health", "Sports", "Education")
+_BATCH_BEST, _BATCH_NAME = _top(_BATCH_LABELS)
+
+
+@check("topic_scores_batches", f"""
+    SELECT seq, s0, s1, s2, {_BATCH_NAME} AS category, {_BATCH_BEST} AS confidence FROM (
+        SELECT *, length(input) / 1024.0::DOUBLE AS s0, (length(input) - length(replace(input, 'e', ''))) / 128.0::DOUBLE AS s1,
+               (length(input) - length(replace(input, 'a', ''))) / 128.0::DOUBLE AS s2
+        FROM (SELECT *, {INPUT_TEXT} AS input FROM v_articles))""")
+def topic_scores_batches(t: Tables) -> DataFrame:
+    """A model of topics that is loaded once per worker and scores batches."""
+    scorer = enrich.probabilities_scorer(models.batch_model(_load_topics), _BATCH_LABELS)
+    done, _ = enrich.categorize(t.articles, scorer, _BATCH_LABELS)
+    return done.select(
+        "seq", *_flat(F.col("category_scores"), _BATCH_LABELS), "category", F.col("category_confidence").alias("confidence")
+    )

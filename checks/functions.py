@@ -2,12 +2,14 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks import check
 from checks.views import INPUT_TEXT, Tables, stamp
 from gladwire import fixed, schemas
 from gladwire.functions import dates, labels, text, urls
 from gladwire.operators import articles as article_ops
+from gladwire.session import new_folder, read_evolved
 
 _WORDS = r"CAST(len(regexp_extract_all(body, '\S+')) AS INTEGER)"
 
@@ -300,3 +302,29 @@ def argmax_category(t: Tables) -> DataFrame:
         "category", labels.argmax_label(F.col("m"))
     )
     return rows.select("seq", "category", F.col("m")[F.col("category")].alias("confidence"))
+
+
+@check("schema_evolve_files", """
+    SELECT doc_id AS id, CASE WHEN doc_id % 4 <> 0 THEN source END AS source_id,
+           CASE WHEN doc_id % 4 > 1 THEN n_chars END AS size,
+           CASE doc_id % 4 WHEN 2 THEN (n_chars % 64) / 4.0::DOUBLE WHEN 3 THEN n_chars / 4.0::DOUBLE END AS score,
+           lang FROM documents""")
+def schema_evolve_files(t: Tables) -> DataFrame:
+    """One scan over files of four schemas: narrower numbers, columns that lack, columns too many."""
+    path, part = new_folder(t.spark, "evolved"), F.col("doc_id") % 4
+    docs = t.read("documents")
+    kinds = (
+        (F.col("doc_id").cast("int").alias("id"), "lang"),
+        (F.col("doc_id").cast("int").alias("id"), F.col("source").alias("source_id"), "lang", F.lit(True).alias("gone")),
+        (F.col("doc_id").alias("id"), F.col("source").alias("source_id"), F.col("n_chars").cast("int").alias("size"),
+         ((F.col("n_chars") % 64) / 4).cast("float").alias("score"), "lang"),
+        ("lang", (F.col("n_chars") / 4).alias("score"), F.col("n_chars").cast("long").alias("size"),
+         F.col("source").alias("source_id"), F.col("doc_id").alias("id")),
+    )
+    for i, columns in enumerate(kinds):
+        docs.filter(part == i).select(*columns).write.mode("append").parquet(path)
+    wanted = T.StructType([
+        T.StructField("id", T.LongType()), T.StructField("source_id", T.StringType()), T.StructField("size", T.LongType()),
+        T.StructField("score", T.DoubleType()), T.StructField("lang", T.StringType()),
+    ])
+    return read_evolved(t.spark, path, wanted)

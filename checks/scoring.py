@@ -10,7 +10,7 @@ from checks.views import (
 )
 from gladwire.functions.text import has_hint, hint_hit_count
 from gladwire.operators import articles as article_ops
-from gladwire.operators import scoring
+from gladwire.operators import models, scoring
 
 
 @check("has_hint", f"SELECT seq, {hits('title', BASE)} > 0 AS hinted FROM v_articles")
@@ -148,3 +148,58 @@ def override_hooks(t: Tables) -> DataFrame:
 
     rows = t.articles.select("seq", "title")
     return scoring.score_news(rows, model).select("seq", "uplifting_score", "is_uplifting")
+
+
+# --- models ------------------------------------------------------------------
+
+
+def _load_linear():
+    """A linear model on the length of a title and its letters e, with weights that are exact in binary."""
+    import numpy as np
+
+    weights = np.array([0.0078125, 0.03125])
+
+    def predict(titles):
+        features = np.array([[len(t), t.count("e")] for t in titles], dtype=np.float64)
+        positive = np.clip(0.125 + features @ weights, 0.0, 1.0)
+        return np.stack([1.0 - positive, positive], axis=1)
+
+    return predict
+
+
+_LINEAR = """least(1.0::DOUBLE, 0.125::DOUBLE + 0.0078125::DOUBLE * length(title)
+             + 0.03125::DOUBLE * (length(title) - length(replace(title, 'e', ''))))"""
+
+
+@check("score_news_batches", f"""
+    SELECT seq, score AS uplifting_score, min_threshold,
+           score >= min_threshold AND (source_id NOT IN ({STRICT_LIST}) OR {hits('title', BASE)} > 0) AS is_uplifting
+    FROM (SELECT *, {_LINEAR} AS score, {threshold_of('source_id')} AS min_threshold FROM v_articles)""")
+def score_news_batches(t: Tables) -> DataFrame:
+    """A model that is loaded once per worker and scores batches."""
+    scored = scoring.score_news(t.articles, models.batch_model(_load_linear), 0.75, THRESHOLDS, BASE)
+    return scored.select(*_SCORED)
+
+
+_VOCABULARY = (*POSITIVE, *NEGATIVE)
+_COUNTS = ", ".join(
+    rf"len(list_filter(regexp_extract_all(lower(title), '[\p{{L}}\p{{N}}_]+'), lambda x: x = '{w}')) AS c{i}"
+    for i, w in enumerate(_VOCABULARY)
+)
+_SUMS = ", ".join(f"sum(c{i}) AS c{i}" for i in range(len(_VOCABULARY)))
+_ALL = " + ".join(f"m.c{i}" for i in range(len(_VOCABULARY)))
+_LIKELY = " + ".join(f"a.c{i} * ln((m.c{i} + 1) / ({_ALL} + {len(_VOCABULARY)}))" for i in range(len(_VOCABULARY)))
+
+
+@check("score_news_fitted", f"""
+    WITH a AS (SELECT *, {_COUNTS} FROM v_articles),
+    m AS (SELECT quality, count(*) AS docs, {_SUMS} FROM a JOIN labels ON doc_id = seq GROUP BY quality),
+    scores AS (
+        SELECT seq, quality, ln((m.docs + 1) / ((SELECT sum(docs) FROM m) + 2)) + {_LIKELY} AS s FROM a, m),
+    pairs AS (SELECT seq, sum(s) FILTER (WHERE quality = 1) - sum(s) FILTER (WHERE quality = 0) AS ahead FROM scores GROUP BY seq)
+    SELECT seq, round(1 / (1 + exp(-ahead)), 6) AS uplifting_score, ahead > 0 AS likely FROM pairs""")
+def score_news_fitted(t: Tables) -> DataFrame:
+    """Naive Bayes fitted by Spark on the labelled articles, as the scorer of all."""
+    model = models.fit_headlines(t.labelled.withColumn("label", F.col("quality").cast("double")), _VOCABULARY)
+    scored = scoring.score_news(t.articles, model, 0.5, {"no such source": 0.5})
+    return scored.select("seq", F.round("uplifting_score", 6).alias("uplifting_score"), F.col("uplifting_score").__gt__(0.5).alias("likely"))

@@ -13,7 +13,7 @@ from gladwire.operators.scoring import is_below, rule_scorer
 from gladwire.plans.run import RunOptions, run_batch
 from gladwire.session import new_folder
 from gladwire.sources.store import ArticleStore
-from gladwire.streaming.ingest import drop_repeats, ingest_stream
+from gladwire.streaming.ingest import drop_repeats, ingest_stream, write_unique
 
 # Rows of a batch: the summary is null in French texts, so an update may
 # overwrite with null; the source differs between copies of a url.
@@ -308,3 +308,17 @@ def stream_dedup(t: Tables) -> DataFrame:
     )
     query.awaitTermination()
     return t.spark.read.schema(rows.schema).parquet(sink).select("url")
+
+
+@check("stream_dedup_restart", """
+    SELECT url, min(seq % 4) AS hour FROM v_articles GROUP BY url""")
+def stream_dedup_restart(t: Tables) -> DataFrame:
+    """Four arrivals; the query is stopped and started again after each of them."""
+    arrivals, sink, checkpoint = (new_folder(t.spark, n) for n in ("arrivals", "unique", "checkpoint"))
+    hour = F.col("seq") % 4
+    rows = t.articles.select("url", hour.alias("hour"), minutes_after_epoch(hour * 60).alias("crawled_at"))
+    for i in range(4):
+        rows.filter(F.col("hour") == i).coalesce(1).write.mode("append").parquet(arrivals)
+        stream = t.spark.readStream.schema(rows.schema).parquet(arrivals)
+        write_unique(stream, sink, checkpoint).awaitTermination()
+    return t.spark.read.schema(rows.schema).parquet(sink).select("url", "hour")

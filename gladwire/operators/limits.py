@@ -40,94 +40,93 @@ def richer_snapshot(copies: DataFrame, is_url_copy: Column) -> DataFrame:
     return chosen.select("source_id", "_copy.*")
 
 
+def levels(n: int) -> int:
+    """How often ``n`` places are put together, a block at a time, until one block is left."""
+    return 0 if n <= _BLOCK else 1 + levels(-(-n // _BLOCK))
+
+
+def sum_before(values: DataFrame, up: int) -> DataFrame:
+    """``_at, _before``: the sum of ``_value`` over all earlier places of ``_at, _value``.
+
+    Blocks of places are summed, blocks of blocks, and so on, ``up`` times; no
+    task sees more than one block.
+    """
+    block = Window.partitionBy("_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("_value").over(block), F.lit(0))
+    blocked = values.withColumn("_block", F.floor(F.col("_at") / F.lit(_BLOCK)) if up else F.lit(0))
+    within = blocked.select("_at", "_block", inside.alias("_inside"))
+    if not up:
+        return within.select("_at", F.col("_inside").alias("_before"))
+    sums = blocked.groupBy(F.col("_block").alias("_at")).agg(F.sum("_value").alias("_value"))
+    earlier = sum_before(sums, up - 1).select(F.col("_at").alias("_block"), F.col("_before").alias("_earlier"))
+    return within.join(earlier, "_block").select("_at", (F.col("_inside") + F.col("_earlier")).alias("_before"))
+
+
+def left_before(maps: DataFrame, limit: int, up: int) -> DataFrame:
+    """``_at, _left``: what is left before each place of ``_at, _map, _first``.
+
+    ``_map`` tells, for each number up to ``limit`` left before a place, how many are left after it;
+    ``_first`` is known for the first place, and no larger elsewhere. Maps
+    compose, so blocks of places become one map each, blocks of blocks as well,
+    ``up`` times; then every block is replayed from what is left at its start.
+    """
+    steps = F.array_sort(F.collect_list(F.struct("_at", "_map")))
+    block = F.floor(F.col("_at") / F.lit(_BLOCK)) if up else F.lit(0).cast("long")
+    blocks = maps.groupBy(block.alias("_block")).agg(steps.alias("_steps"), F.max("_first").alias("_first"))
+    if up:
+        whole = F.transform(
+            F.sequence(F.lit(0), F.lit(limit)),
+            lambda r: F.aggregate("_steps", r, lambda left, s: F.get(s["_map"], left)),
+        )
+        composed = blocks.select(F.col("_block").alias("_at"), whole.alias("_map"), "_first")
+        starts = left_before(composed, limit, up - 1).select(F.col("_at").alias("_block"), F.col("_left").alias("_start"))
+        blocks = blocks.join(starts, "_block")
+    else:
+        blocks = blocks.withColumn("_start", F.col("_first"))
+
+    def replay(state: Column, s: Column) -> Column:
+        here = F.array(F.struct(s["_at"].alias("_at"), state["left"].alias("_left")))
+        return F.struct(F.get(s["_map"], state["left"]).alias("left"), F.concat(state["seen"], here).alias("seen"))
+
+    begin = F.struct(
+        F.col("_start").cast("int").alias("left"), F.array().cast("array<struct<_at:bigint,_left:int>>").alias("seen")
+    )
+    seen = F.aggregate("_steps", begin, replay, lambda state: state["seen"])
+    return blocks.select(F.explode_outer(seen).alias("s")).select("s.*")
+
+
 def take_per_source(sources: DataFrame, cap: int, limit: int) -> DataFrame:
     """How many leading entries each source may hand over under a global cap.
 
-    ``sources`` has one row per source: ``source_ord`` (dense from 0) and
+    ``sources`` has one row per source: ``source_ord`` (from 0) and
     ``flags``, the validity of its first ``limit`` entries. Sources are served
     in order; each hands over up to ``min(limit, cap left)`` entries, of which
     only the valid ones use up the cap.
 
     While at least ``limit`` is left, a source always uses all its valid
     entries, so the start is a running sum. From then on the cap left is a
-    number under ``limit`` and each source maps it to a smaller one. Such maps
-    compose, so blocks of sources are reduced to one map each, in parallel; the
-    short list of block maps gives the cap left at the start of each block, and
-    each block is then replayed by itself.
+    number up to ``limit`` and each source maps it to a smaller one. Sums and maps
+    are put together block by block, in as many levels as the number of sources asks for.
     """
     flags = F.slice("flags", 1, limit)
     valid_before = F.transform(
         F.sequence(F.lit(0), F.lit(limit)),
         lambda r: F.size(F.filter(F.slice(flags, F.lit(1), F.greatest(r, F.lit(0))), lambda f: f)),
     )
-    block = F.floor(F.col("source_ord") / F.lit(_BLOCK))
-    served = sources.select(
-        "source_ord", block.alias("_block"), valid_before.alias("_used"),
-    ).withColumn("_all", F.get("_used", F.lit(limit)).cast("long"))
-
-    # running sum of valid entries: over the blocks, then inside each block
-    earlier_blocks = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    in_block = Window.partitionBy("_block").orderBy("source_ord").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        served.groupBy("_block").agg(F.sum("_all").alias("_sum"))
-        .select("_block", F.coalesce(F.sum("_sum").over(earlier_blocks), F.lit(0)).alias("_offset"))
-    )
-    summed = served.join(offsets, "_block").withColumn(
-        "_left", F.lit(cap) - F.col("_offset") - F.coalesce(F.sum("_all").over(in_block), F.lit(0))
-    )
+    served = sources.select(F.col("source_ord").cast("long").alias("_at"), valid_before.alias("_used"))
+    last = sources.agg(F.max("source_ord").alias("last")).collect()[0]["last"]
+    up = levels((last or 0) + 1)
+    before = sum_before(served.select("_at", F.get("_used", F.lit(limit)).cast("long").alias("_value")), up)
+    summed = served.join(before, "_at").withColumn("_left", F.lit(cap) - F.col("_before"))
     ample = F.col("_left") >= limit
-    start = summed.filter(ample).select("source_ord", F.lit(limit).alias("take"))
+    start = summed.filter(ample).select(F.col("_at").alias("source_ord"), F.lit(limit).alias("take"))
 
     # the scarce rest, in order; the first of them still knows the cap left
-    rest = summed.filter(~ample)
-    first_left = F.greatest(F.max("_left"), F.lit(0))
-    steps = F.array_sort(F.collect_list(F.struct("source_ord", "_used")))
-    blocks = rest.groupBy("_block").agg(steps.alias("_steps"), first_left.alias("_first_left"))
-
-    def left_after(left: Column, used: Column) -> Column:
-        return left - F.get(used, left)
-
-    block_map = F.transform(
-        F.sequence(F.lit(0), F.lit(limit)),
-        lambda r: F.aggregate("_steps", r, lambda left, s: left_after(left, s["_used"])),
-    )
-    maps = blocks.select("_block", block_map.alias("_map"), "_first_left")
-    ordered = maps.agg(
-        F.array_sort(F.collect_list(F.struct("_block", "_map"))).alias("_maps"),
-        F.max("_first_left").cast("int").alias("_initial"),
-    )
-
-    def enter(state: Column, m: Column) -> Column:
-        entered = F.concat(
-            state["entered"], F.array(F.struct(m["_block"].alias("_block"), state["left"].alias("_enter")))
-        )
-        return F.struct(F.get(m["_map"], state["left"]).alias("left"), entered.alias("entered"))
-
-    initial = F.struct(
-        F.col("_initial").alias("left"),
-        F.array().cast("array<struct<_block:bigint,_enter:int>>").alias("entered"),
-    )
-    entries = ordered.select(
-        F.explode_outer(F.aggregate("_maps", initial, enter, lambda s: s["entered"])).alias("e")
-    ).select("e.*")
-
-    def replay(state: Column, s: Column) -> Column:
-        taken = F.concat(
-            state["taken"],
-            F.array(F.struct(s["source_ord"].alias("source_ord"), state["left"].alias("take"))),
-        )
-        return F.struct(left_after(state["left"], s["_used"]).alias("left"), taken.alias("taken"))
-
-    none_yet = F.struct(
-        F.col("_enter").alias("left"),
-        F.array().cast("array<struct<source_ord:bigint,take:int>>").alias("taken"),
-    )
+    after = F.transform("_used", lambda used, left: left - used)
+    first = F.greatest(F.col("_left"), F.lit(0)).cast("int")
+    rest = summed.filter(~ample).select("_at", after.alias("_map"), first.alias("_first"))
+    end = left_before(rest, limit, up).select(F.col("_at").alias("source_ord"), F.col("_left").alias("take"))
     # sources after the point where nothing is left hand over nothing
-    end = (
-        blocks.join(entries, "_block")
-        .select(F.explode_outer(F.aggregate("_steps", none_yet, replay, lambda s: s["taken"])).alias("t"))
-        .select("t.*")
-    )
     return start.unionByName(end).filter(F.col("take") > 0)
 
 

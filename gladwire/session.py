@@ -15,14 +15,18 @@ from pyspark.sql.types import StructType
 _own_folders: dict[str, str] = {}
 
 # Runtime settings the operators count on: UTC timestamps, a runtime plan that
-# splits skewed join partitions even where the split costs a shuffle, and small
-# batches for Python workers.
+# splits skewed join partitions even where the split costs a shuffle, state of streams off
+# the heap, and small batches for Python workers.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # State of streams lies on local disks, not on the heap, and is saved as changes.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # What a Python worker gets at a time is bounded by bytes, not only by rows.
     "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }

@@ -52,3 +52,34 @@ def drop_repeats(articles: DataFrame, delay: str = "7 days", arrived: str = "cra
     future must not move the watermark.
     """
     return articles.withWatermark(arrived, delay).dropDuplicatesWithinWatermark(["url"])
+
+
+def write_unique(
+    articles: DataFrame,
+    path: str,
+    checkpoint: str,
+    delay: str = "7 days",
+    arrived: str = "crawled_at",
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Append the first arrivals to a folder of Parquet files.
+
+    The urls of the delay are kept in RocksDB on the executors' disks and saved to the
+    checkpoint as changes; a query that is stopped or dies goes on from there. As with
+    ``ingest_stream``, it stops when all is read, or goes on with an ``interval``.
+    """
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return (
+        drop_repeats(articles, delay, arrived).writeStream.format("parquet").option("path", path)
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    )
+
+
+def state_size(query: StreamingQuery) -> dict[str, int]:
+    """Urls kept, bytes of memory and of files they take, as of the last batch; zeros before the first."""
+    operators = (query.lastProgress or {}).get("stateOperators", [])
+    return {
+        "rows": sum(o["numRowsTotal"] for o in operators),
+        "memory_bytes": sum(o["memoryUsedBytes"] for o in operators),
+        "file_bytes": sum(o["customMetrics"].get("rocksdbSstFileSize", 0) for o in operators),
+    }

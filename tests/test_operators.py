@@ -120,12 +120,79 @@ def test_fitted_model_as_scorer(spark):
     assert [r.is_uplifting for r in scored.collect()] == [True, True, False, False]
 
 
+def test_models_are_loaded_once_per_worker(spark, tmp_path):
+    from gladwire.operators import models
+
+    folder = str(tmp_path)
+
+    def load():
+        import os
+        import tempfile
+
+        handle, _ = tempfile.mkstemp(prefix=f"load-{os.getpid()}-", dir=folder)
+        os.close(handle)
+
+        def predict(texts):
+            handle, _ = tempfile.mkstemp(prefix="call-", dir=folder)
+            os.write(handle, str(len(texts)).encode())
+            os.close(handle)
+            return [[1.0 - len(t) / 10, len(t) / 10] for t in texts]
+
+        return predict
+
+    rows = [(i, None if i % 50 == 7 else "x" * (i % 10)) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "i int, title string").repartition(16)
+    scored = scoring.score_news(frame, models.batch_model(load, batch_size=32), threshold=0.5).collect()
+    assert all(r.uplifting_score == (None if r.title is None else len(r.title) / 10) for r in scored)
+    assert all(r.is_uplifting == (r.title is not None and len(r.title) >= 5) for r in scored)
+    loads = [p.name.split("-")[1] for p in tmp_path.glob("load-*")]
+    calls = [int(p.read_text()) for p in tmp_path.glob("call-*")]
+    assert len(loads) == len(set(loads)) <= 16 and len(calls) > 3 * len(loads) and max(calls) <= 32
+
+
+def test_fitted_headlines(spark):
+    from gladwire.operators import models
+
+    train = spark.createDataFrame(
+        [("Good day", 1.0), ("good, GOOD news", 1.0), ("bad day", 0.0), ("bad news", 0.0), (None, 1.0), ("good", None)], "title string, label double")
+    model = models.fit_headlines(train, ["good", "bad"])
+    rows = spark.createDataFrame([("good!",), ("bad_day bad",), ("neither",)], "title string")
+    scored = scoring.score_news(rows, model, threshold=0.55).collect()
+    assert [r.is_uplifting for r in scored] == [True, False, False] and scored[2].uplifting_score == pytest.approx(0.5)
+    # good: 3 of 3 counted words in one class, 0 of 2 in the other, one added to each
+    assert scored[0].uplifting_score == pytest.approx((4 / 5) / (4 / 5 + 1 / 4))
+
+
 def test_purge(spark):
     frame = spark.createDataFrame([(1, 0.9), (2, 0.2), (3, None), (4, 0.75)], "id int, uplifting_score double")
     assert rows_of(scoring.purge_below(frame), "id") == [(1,), (4,)]
     assert rows_of(scoring.below_threshold(frame), "id") == [(2,), (3,)]
 
 
+@pytest.mark.parametrize(("n", "want"), [(0, 0), (512, 0), (513, 1), (512 * 512, 1), (10_000_000, 2), (10**9, 3)])
+def test_levels_of_a_cap(n, want):
+    assert limits.levels(n) == want
+
+
+@pytest.mark.parametrize("block", [2, 5])
+def test_global_cap_in_many_levels(spark, monkeypatch, block):
+    """Sources with gaps in their numbers, far more than a block, against the loop over them."""
+    import random
+
+    monkeypatch.setattr(limits, "_BLOCK", block)
+    rng = random.Random(block)
+    sources = sorted(rng.sample(range(60), 40))
+    rows = [(s, p, rng.random() < 0.4) for s in sources for p in range(rng.randint(0, 7))]
+    cap, limit, want = 55, 5, []
+    for s in sources:
+        taken = [r for r in rows if r[0] == s][: min(limit, cap)]
+        cap -= sum(r[2] for r in taken)
+        want += [r[:2] for r in taken if r[2]]
+    entries = spark.createDataFrame(rows, "source_ord int, pos int, ok boolean")
+    got = limits.global_cap(entries, 55, limit, F.col("ok"))
+    assert rows_of(got, "source_ord", "pos") == sorted(want, key=repr)
+
+
 @pytest.mark.parametrize("most", [None, 2_000])
 def test_lexicon_of_ten_thousand_phrases_against_regular_expressions(spark, monkeypatch, most):
     """Phrases of any signs are found as between two word boundaries, in one automaton or in several."""

@@ -9,7 +9,7 @@ from gladwire.operators.articles import add_missing_columns
 from gladwire.plans.run import RunOptions, run_batch, run_crawl
 from gladwire.sources import exports
 from gladwire.sources.store import ArticleStore
-from gladwire.streaming.ingest import drop_repeats, ingest_stream
+from gladwire.streaming.ingest import drop_repeats, ingest_stream, state_size, write_unique
 
 DAY = dt.datetime(2026, 3, 26, 10, 0, 0)
 BATCH = "seq long, title string, url string, source_id string, published_at timestamp, body string"
@@ -364,6 +364,26 @@ def test_stream_dedup(spark, tmp_path):
     assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["u1", "u2", "u3", "u4"]
 
 
+def test_stream_dedup_goes_on_after_a_restart(spark, tmp_path):
+    """State outlives the query: it is in the checkpoint, and old urls leave it."""
+    kind, places = "url string, crawled_at timestamp", [str(tmp_path / n) for n in ("in", "out", "cp")]
+    hour = dt.timedelta(hours=1)
+
+    def arrive(*rows):
+        spark.createDataFrame([(u, DAY + h * hour) for u, h in rows], kind).coalesce(1).write.mode("append").parquet(places[0])
+        query = write_unique(spark.readStream.schema(kind).parquet(places[0]), places[1], places[2], delay="10 hours")
+        query.awaitTermination()
+        return state_size(query)
+
+    first = arrive(("u1", 0), ("u2", 0), ("u1", 0))
+    assert first["rows"] == 2 and first["memory_bytes"] > 0
+    assert arrive(("u1", 1), ("u3", 1))["rows"] == 3
+    assert arrive(("u2", 2), ("u4", 30))["rows"] <= 4
+    last = arrive(("u5", 31), ("u4", 31))
+    assert last["rows"] == 2 and sorted(r.url for r in spark.read.parquet(places[1]).collect()) == ["u1", "u2", "u3", "u4", "u5"]
+    assert list((tmp_path / "cp" / "state").rglob("*.changelog"))
+
+
 def test_crawl_into_the_store_with_events(spark, store, tmp_path):
     from tests.test_feeds import BROKEN, RSS
 
