@@ -20,12 +20,13 @@ import base64
 import hashlib
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 # The patterns and least lengths of the base.
 ASSIGN = re.compile(
-    r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
@@ -130,8 +131,15 @@ def all_spans(text: str, tokens) -> tuple[list, list]:
     """The base spans, and these with the random ones, as far as they lie outside the base spans."""
     base = base_spans(text)
     more: list[tuple[int, int]] = []
+    # Both lists are in order: base spans that end before a random one are passed over once.
+    ends = np.maximum.accumulate([b for _, b, _ in base]) if base else []
     for start, end, _ in random_spans(text, tokens):
-        over = [b for b in base if b[0] < end and start < b[1]]
+        over = []
+        for i in range(int(np.searchsorted(ends, start, "right")), len(base)):
+            if base[i][0] >= end:
+                break
+            if start < base[i][1]:
+                over.append(base[i])
         if not over:
             more.append((start, end))
             continue
