@@ -7,25 +7,28 @@ in the order of scores), and the fall-back to bytes. Batches are encoded by
 the backend's threads, and decoding rebuilds the text from the ids.
 
 Every text is decoded again from its ids by the backend, and ``round_trip``
-tells whether it came back. Every text is encoded by the original library too,
-and ``parity`` tells whether the ids agree. Equal texts of a block of rows are
-encoded, compared and decoded once.
+tells whether it came back. Every whole text is encoded by the original library too,
+and ``parity`` tells whether the ids agree. Rows are taken in blocks of ``BLOCK`` characters (or one text),
+and nothing of a block is kept for the next. Equal texts of a block are encoded, compared and decoded once.
 
 Defined cases: a null or empty text has no ids, and decodes to the empty
 text; repeated rows each get their ids; texts are read whole; a text
 that holds the space marker itself comes back with spaces there, as in the
 original; characters without a piece become bytes, or the unknown piece where the model has no
-bytes. Columns of any name are carried along.
+bytes; names of control and byte pieces in a text are spelled out; an empty table gives an empty
+result. Columns of any name are carried along.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -37,10 +40,8 @@ THREADS = 2
 # Parity is tested on the texts whose CRC-32 is divisible by this: on all.
 VERIFY_EVERY = 1
 MARK = "▁"
-# Texts of one call of the backend: at most so many characters, or one text.
+# Texts of one call of the backend, and rows whose ids are held at a time: at most so many characters, or one text.
 BLOCK = 200_000
-# Rows whose ids are held at a time.
-ROWS = 200
 
 # Field numbers and kinds of the model format.
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
@@ -125,14 +126,36 @@ def merges(spec: Spec) -> list[tuple[str, str]]:
     return [(left, right) for *_, left, right in sorted(found)]
 
 
-def build(spec: Spec):
-    """The backend's tokenizer for a model."""
-    from tokenizers import Regex, Tokenizer, decoders, models, normalizers
+def normaliser(spec: Spec):
+    """The backend's normaliser for a model."""
+    from tokenizers import Regex, normalizers
+
+    steps = [normalizers.Precompiled(spec.charsmap)] if spec.charsmap else []
+    if spec.remove_extra_whitespaces:
+        # spaces only: other white space is a sign like others unless the character map says otherwise
+        steps += [normalizers.Replace(Regex(r"\A +| +\z"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
+    if spec.add_dummy_prefix:
+        steps.append(normalizers.Prepend(" "))
+    if spec.escape_whitespaces:
+        steps.append(normalizers.Replace(" ", MARK))
+    return normalizers.Sequence(steps)
+
+
+def build(spec: Spec, for_encoding: bool = False):
+    """The backend's tokenizer for a model.
+
+    A unigram model finds its pieces by name wherever they stand in a text. ``for_encoding``, the names of
+    pieces that texts must not match are replaced by ones with spaces, which no marked text has.
+    """
+    from tokenizers import Tokenizer, decoders, models
 
     names = [p for p, _, _ in spec.pieces]
     if spec.kind == _UNIGRAM:
+        hidden = (_UNKNOWN, _CONTROL, _UNUSED, _BYTE) if for_encoding else ()
+        own = [f" \U0010fffe {i}" if kind in hidden else p for i, (p, _, kind) in enumerate(spec.pieces)]
+        scores = [0.0 if kind in hidden else score for _, score, kind in spec.pieces]
         model = models.Unigram(
-            [(p, score) for p, score, _ in spec.pieces], spec.unknown, spec.byte_fallback
+            list(zip(own, scores, strict=True)), spec.unknown, spec.byte_fallback and not for_encoding
         )
     elif spec.kind == _BPE:
         model = models.BPE(
@@ -141,17 +164,9 @@ def build(spec: Spec):
         )
     else:
         raise ValueError("only unigram and BPE models can be rebuilt")
-    steps = [normalizers.Precompiled(spec.charsmap)] if spec.charsmap else []
-    if spec.remove_extra_whitespaces:
-        steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
-    if spec.add_dummy_prefix:
-        steps.append(normalizers.Prepend(" "))
-    if spec.escape_whitespaces:
-        steps.append(normalizers.Replace(" ", MARK))
     tokenizer = Tokenizer(model)
-    if steps:
-        tokenizer.normalizer = normalizers.Sequence(steps)
-    back = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
+    tokenizer.normalizer = normaliser(spec)
+    back = [decoders.ByteFallback(), decoders.Fuse(), decoders.Replace(MARK, " ")]
     if spec.add_dummy_prefix:
         back.append(decoders.Strip(" ", 1, 0))
     tokenizer.decoder = decoders.Sequence(back)
@@ -159,7 +174,7 @@ def build(spec: Spec):
 
 
 class Codec:
-    """Backend and original of one model, for the texts of a task."""
+    """Backend and original of one model, for the texts of a worker."""
 
     def __init__(self, model: bytes, threads: int = THREADS):
         import sentencepiece
@@ -167,18 +182,41 @@ class Codec:
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         spec = parse(model)
-        self.backend = build(spec)
+        self.encoder, self.backend = build(spec, for_encoding=True), build(spec)
         self.original = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.threads = threads
+        # ids of the bytes, where the encoder does not fall back by itself; then texts come normalised, so
+        # that offsets are places in them
+        self.signs = build(spec, for_encoding=True)
+        self.signs.normalizer = None
+        self.bytes = {
+            int(p[3:5], 16): i for i, (p, _, kind) in enumerate(spec.pieces)
+            if kind == _BYTE and spec.kind == _UNIGRAM and spec.byte_fallback
+        }
+        self.unknown = spec.unknown
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text, by the backend's threads."""
-        blocks = (self.backend.encode_batch_fast(b, add_special_tokens=False) for b in _blocks(texts))
-        return [e.ids for block in blocks for e in block]
+        out: list[list[int]] = []
+        for block in _blocks(texts):
+            encoded = self.encoder.encode_batch_fast(block, add_special_tokens=False)
+            out += [self._ids(e.ids, text) for text, e in zip(block, encoded, strict=True)]
+        return out
+
+    def _ids(self, ids: list[int], text: str) -> list[int]:
+        """Ids with bytes in the place of unknown signs, where the encoder has not put them itself."""
+        if not self.bytes or self.unknown not in ids:
+            return ids
+        text = self.encoder.normalizer.normalize_str(text)
+        encoded = self.signs.encode(text, add_special_tokens=False)
+        out: list[int] = []
+        for i, (begin, end) in zip(encoded.ids, encoded.offsets, strict=True):
+            out += [self.bytes[b] for b in text[begin:end].encode()] if i == self.unknown else [i]
+        return out
 
     def parity(self, texts: list[str], ids: list[list[int]], every: int) -> list[bool | None]:
         """Whether the original library agrees; None where a text is not tested."""
-        tested = [i for i, t in enumerate(texts) if zlib.crc32(t.encode()) % every == 0]
+        tested = [i for i, t in enumerate(texts) if every == 1 or zlib.crc32(t.encode()) % every == 0]
         want = self.original.encode([texts[i] for i in tested], num_threads=self.threads)
         same: list[bool | None] = [None] * len(texts)
         for i, own in zip(tested, want, strict=True):
@@ -198,6 +236,30 @@ class Codec:
         return tuple([found[place[t]] for t in texts] for found in (ids, same, back))
 
 
+# One codec a worker and model: building one takes as long as thousands of texts.
+_codecs: dict[str, Codec] = {}
+
+
+def codec_of(model: bytes) -> Codec:
+    """The worker's codec of a model."""
+    digest = hashlib.sha256(model).hexdigest()
+    if digest not in _codecs:
+        _codecs.clear()
+        _codecs[digest] = Codec(model)
+    return _codecs[digest]
+
+
+def _row_blocks(lengths: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of rows of at most ``BLOCK`` characters, or of one row."""
+    out, begin, total = [], 0, 0
+    for i, length in enumerate(lengths.tolist()):
+        if i > begin and total + length > BLOCK:
+            out.append((begin, i))
+            begin, total = i, 0
+        total += length
+    return [*out, (begin, len(lengths))] if len(lengths) else out
+
+
 def _blocks(texts: list[str]):
     block, length = [], 0
     for text in texts:
@@ -218,13 +280,11 @@ def _shared(spark, model: str):
 
 def decoder(spark, model: str = MODEL):
     """A function from a column of ids to the text; null ids give null."""
-    shared, own = _shared(spark, model), []
+    shared = _shared(spark, model)
 
     @F.pandas_udf("string")
     def decode(ids: pd.Series) -> pd.Series:
-        if not own:
-            own.append(Codec(shared.value))
-        back = own[0].decode([[] if i is None else [int(x) for x in i] for i in ids])
+        back = codec_of(shared.value).decode([[] if i is None else [int(x) for x in i] for i in ids])
         return pd.Series([None if i is None else b for i, b in zip(ids, back, strict=True)])
 
     return decode
@@ -242,12 +302,12 @@ def tokenized(docs: DataFrame, model: str = MODEL, every: int = VERIFY_EVERY) ->
     shared, names = _shared(docs.sparkSession, model), rows.columns[1:]
 
     def work(batches):
-        codec = Codec(shared.value)
+        codec = codec_of(shared.value)
         for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
-                texts = [t or "" for t in batch.column(0).to_pylist()]
-                ids, same, back = codec.verified(texts, every)
+            lengths = pc.fill_null(pc.utf8_length(whole.column(0)), 0).to_numpy(zero_copy_only=False)
+            for begin, end in _row_blocks(lengths):
+                batch = whole.slice(begin, end - begin)
+                ids, same, back = codec.verified([t or "" for t in batch.column(0).to_pylist()], every)
                 yield {
                     **{name: batch.column(i + 1) for i, name in enumerate(names)},
                     "token_ids": [np.array(i, dtype=np.int32) for i in ids], "n_tokens": [len(i) for i in ids],
