@@ -69,8 +69,8 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """The documents with shorter texts, and ``removed_lines`` behind their columns."""
+def dedup_lines(docs: DataFrame, count: str = "removed_lines") -> DataFrame:
+    """The documents with shorter texts, and the number of removed lines behind their columns."""
     found = written(repeated_places(docs), "repeats").select(
         F.col("id").alias("_id"), F.col("th").alias("_th"), "places"
     )
@@ -89,5 +89,5 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     text = F.when(changed, kept).otherwise(F.col("_docs.text"))
     return joined.select(
         *(text.alias("text") if c == "text" else F.col(f"_docs.`{c}`") for c in docs.columns),
-        F.when(changed, F.size(gone)).otherwise(0).alias("removed_lines"),
+        F.when(changed, F.size(gone)).otherwise(0).alias(count),
     )

@@ -9,6 +9,10 @@ sketches hold the whole sets, and but for about 5e-10 at the very threshold
 where sets are larger. Single values would put all documents that use one
 common shingle into one list; runs keep the lists short.
 
+Where sketches hold the whole sets, no link is lost. For larger sets two filters are statistical:
+of pairs at the very threshold about 5e-10 share no run, and up to 4e-6 of those that no list ties
+into one family lie beyond ``PARITY_FAR`` (binomial tails; both fall fast above the threshold).
+
 From the lists to the groups, no list is expanded into its pairs:
 
 1. Every member of a list is held against the list's first one, by the
@@ -49,9 +53,10 @@ KEEP = 96
 RUN, SHORT_RUN = 4, 3
 # Sets of at most so many shingles also use short runs, of at least so many long ones.
 SHORT_UPTO, LONG_FROM = 15, 13
-# Estimates that tie a family, and that a pair across families needs.
-WEAK, LIKELY = 0.4, 0.6
+# Estimates that tie a family, and a pair across families.
+WEAK = 0.4
 PARITY_WORDS = 8
+# Bits by which the parity of two sketches of larger sets may differ: about 24 are expected at the threshold.
 PARITY_FAR = 52
 # A block of a family: at most about so many members and so many shingles.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 256, 200_000
@@ -176,7 +181,7 @@ def _ties_across(lists: DataFrame, families: DataFrame, classes: DataFrame) -> D
         & (far <= F.when(whole, (n_a + n_b) * (100 - PERCENT) / (100 + PERCENT)).otherwise(PARITY_FAR))
     )
     pairs = a.join(b, condition).select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct()
-    return _with_sketches(pairs, classes).filter(_estimate(F.col("sa"), F.col("sb")) >= LIKELY).select("a", "b")
+    return _with_sketches(pairs, classes).filter(_estimate(F.col("sa"), F.col("sb")) >= WEAK).select("a", "b")
 
 
 # --- components --------------------------------------------------------------

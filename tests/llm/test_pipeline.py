@@ -86,3 +86,16 @@ def test_stages_keep_columns_and_take_odd_rows(spark, tmp_path):
 def test_stages_are_listed():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "sentencepiece"]
     assert corpus_pipeline.ORACLE_SQL is None and toxicity.CUT == 0.7
+
+
+def test_columns_with_names_of_the_stages_are_carried_along(spark, tmp_path):
+    made_tables(spark, tmp_path)
+    names = ["removed_lines", "removed_lines_", "_own_removed_lines", "_toxicity", "own.name", "kept"]
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, docs["doc_id"] * 10 + i)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *names]
+    rows = docs.collect()
+    assert rows and all(r[name] == r.doc_id * 10 + i for r in rows for i, name in enumerate(names))
