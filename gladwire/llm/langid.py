@@ -9,8 +9,10 @@ goes to the prototype with the largest cosine, the first by name among equals.
 A run of characters that are not letters counts as one space, which is a
 symbol too; case is ignored. Defined cases: a text that is null or has no
 letter is ``und`` with score 0; rows with a null language or such a text teach
-nothing; without a prototype every text is ``und``; repeated rows count as
-often as they occur. Texts are read whole, in blocks of bounded size.
+nothing; without a prototype, as for an empty table, every text is ``und``; repeated rows count as
+often as they occur; beyond the ``MAX_LANGUAGES`` most frequent, language values teach nothing; only the columns
+``text`` and ``lang`` are looked at. Texts are read whole, in blocks of bounded size, and the trigrams of a
+block in chunks, so alphabets of any size fit.
 """
 
 from __future__ import annotations
@@ -26,8 +28,10 @@ from gladwire.llm.common import arrow_rows
 
 DIM = 1024
 SEED = 20240607
-# Texts are bundled in blocks of so many characters, or one text alone.
-BLOCK = 400_000
+# Texts are bundled in blocks of so many characters and texts, or one text alone.
+BLOCK, BLOCK_TEXTS = 400_000, 1024
+# Trigrams whose vectors are held at a time, and their occurrences where these are few.
+KINDS, CELLS = 4096, 4096
 # Vectors of the training texts are rounded to this grain: sums are exact in any order.
 GRAIN = 1 << 20
 # More language values than this are junk, and would not fit a broadcast.
@@ -42,14 +46,18 @@ class Letters:
         self.dim = dim
         self.number = np.full(0x110000, -1, dtype=np.int32)
         self.by_letter: dict[str, int] = {" ": 0}
-        self.rotated = [np.zeros((0, dim), dtype=np.int8) for _ in range(3)]
+        self.vectors = np.zeros((64, dim), dtype=np.int8)
         self._add(" ")
 
     def _add(self, letter: str) -> None:
-        drawn = np.random.default_rng([SEED, ord(letter)]).integers(0, 2, self.dim) * 2 - 1
-        for turn in range(3):
-            row = np.roll(drawn, turn).astype(np.int8)[None]
-            self.rotated[turn] = np.concatenate([self.rotated[turn], row])
+        at = self.by_letter[letter]
+        if at >= len(self.vectors):
+            self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
+        self.vectors[at] = np.random.default_rng([SEED, ord(letter)]).integers(0, 2, self.dim) * 2 - 1
+
+    def rotated(self, ids: np.ndarray, turn: int) -> np.ndarray:
+        """The vectors of some letters, rotated."""
+        return np.roll(self.vectors[ids], turn, axis=1)
 
     def numbers(self, points: np.ndarray) -> np.ndarray:
         """The letter number of each code point."""
@@ -77,11 +85,29 @@ def bundle(texts: list[str], letters: Letters) -> np.ndarray:
     base = len(letters.by_letter)
     code = ((ids[:-2] * base + ids[1:-1]) * base + ids[2:])[inside]
     kinds, which = np.unique(code, return_inverse=True)
-    first, second, third = letters.rotated[2], letters.rotated[1], letters.rotated[0]
-    vectors = first[kinds // base**2] * second[kinds // base % base] * third[kinds % base]
-    cells = owner[2:][inside] * len(kinds) + which
-    counts = np.bincount(cells, minlength=len(texts) * len(kinds)).reshape(len(texts), -1)
-    return counts.astype(np.float32) @ vectors.astype(np.float32)
+    cells, counts = np.unique(owner[2:][inside] * max(len(kinds), 1) + which, return_counts=True)
+    text, kind = np.divmod(cells, max(len(kinds), 1))
+    out = np.zeros((len(texts), letters.dim), dtype=np.float32)
+    for at in range(0, len(kinds), KINDS):
+        own = kinds[at : at + KINDS]
+        bound = letters.rotated(own // base**2, 2) * letters.rotated(own // base % base, 1) * letters.rotated(own % base, 0)
+        chosen = (kind >= at) & (kind < at + KINDS)
+        _add_bundles(out, text[chosen], kind[chosen] - at, counts[chosen], bound.astype(np.float32))
+    return out
+
+
+def _add_bundles(out: np.ndarray, text: np.ndarray, kind: np.ndarray, counts: np.ndarray, bound: np.ndarray) -> None:
+    """Add ``counts`` times the vector of ``kind`` to the row of ``text``; rows come in order. All sums are exact."""
+    if len(text) * 16 > len(out) * len(bound):
+        table = np.zeros((len(out), len(bound)), dtype=np.float32)
+        table[text, kind] = counts
+        out += table @ bound
+        return
+    for at in range(0, len(text), CELLS):
+        rows = text[at : at + CELLS]
+        begins = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+        vectors = bound[kind[at : at + CELLS]] * counts[at : at + CELLS, None].astype(np.float32)
+        out[rows[begins]] += np.add.reduceat(vectors, begins, axis=0)
 
 
 def blocks(texts: list[str | None], size: int = BLOCK) -> Iterator[list[int]]:
@@ -89,7 +115,7 @@ def blocks(texts: list[str | None], size: int = BLOCK) -> Iterator[list[int]]:
     block, length = [], 0
     for place, text in enumerate(texts):
         if text and any(map(str.isalpha, text)):
-            if block and length + len(text) > size:
+            if block and (length + len(text) > size or len(block) == BLOCK_TEXTS):
                 yield block
                 block, length = [], 0
             block.append(place)
@@ -117,15 +143,16 @@ def train(rows: DataFrame) -> dict[str, np.ndarray]:
         yield {"lang": list(sums), "sums": [v.tolist() for v in sums.values()]}
 
     named = rows.filter("lang is not null and text is not null").select("text", "lang")
-    if named.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} language values")
+    counted = named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
+    named = named.join(F.broadcast(counted.limit(MAX_LANGUAGES).select("lang")), "lang", "left_semi").select("text", "lang")
     parts = arrow_rows(named, "lang string, sums array<bigint>", add)
     cells = parts.select("lang", F.posexplode("sums").alias("at", "v"))
-    total = cells.groupBy("lang", "at").agg(F.sum("v").alias("v")).toPandas()
-    return {
-        lang: unit(own.sort_values("at")["v"].to_numpy(dtype=np.float64)[None])[0]
-        for lang, own in total.groupby("lang")
-    }
+    total = cells.groupBy("lang", "at").agg(F.sum("v").alias("v")).groupBy("lang").agg(
+        F.array_sort(F.collect_list(F.struct("at", "v"))).alias("sums")
+    )
+    # One vector a language comes to the driver.
+    found = total.select("lang", F.transform("sums", lambda s: s["v"].cast("double")).alias("sums")).toPandas()
+    return {lang: unit(np.array([own], dtype=np.float64))[0] for lang, own in zip(found["lang"], found["sums"], strict=True)}
 
 
 def predictor(spark, prototypes: dict[str, np.ndarray]):

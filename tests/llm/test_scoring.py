@@ -35,7 +35,7 @@ def test_language_held_out(spark):
 def test_bundle_is_the_sum_of_bound_trigrams():
     letters = langid.Letters()
     got = langid.bundle(["Ab, c", "b"], letters)
-    vector = lambda c, turn: letters.rotated[turn][letters.by_letter[c]].astype(int)
+    vector = lambda c, turn: letters.rotated(np.array([letters.by_letter[c]]), turn)[0].astype(int)
     plain = " ab c "
     want = sum(
         vector(plain[i], 2) * vector(plain[i + 1], 1) * vector(plain[i + 2], 0) for i in range(len(plain) - 2)
@@ -44,6 +44,61 @@ def test_bundle_is_the_sum_of_bound_trigrams():
     assert (got[1] == vector(" ", 2) * vector("b", 1) * vector(" ", 0)).all()
 
 
+def plain_bundle(text):
+    """Trigrams one by one, letters drawn anew each time."""
+    letters = [c.lower()[0] if c.isalpha() else " " for c in f" {text} "]
+    letters = [c for i, c in enumerate(letters) if c != " " or i == 0 or letters[i - 1] != " "]
+    draw = lambda c, turn: np.roll(np.random.default_rng([langid.SEED, ord(c)]).integers(0, 2, langid.DIM) * 2 - 1, turn)
+    drawn = [draw(" ", t) if c == " " else draw(c, t) for c in letters for t in (2, 1, 0)]
+    return sum((drawn[3 * i] * drawn[3 * i + 4] * drawn[3 * i + 8] for i in range(len(letters) - 2)), np.zeros(langid.DIM))
+
+
+def test_prototypes_and_cosines_by_hand(spark):
+    rng = random.Random(4)
+    rows = [(i, "".join(rng.choices("abc é1" if i % 3 else "xyzß -", k=rng.randint(1, 40))), f"l{i % 3}") for i in range(30)]
+    rows = [(i, t + "a", g) for i, t, g in rows] + [(30, "12", "l0"), (31, None, "l0"), (32, "abc", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    unit = lambda v: v / np.linalg.norm(v)
+    want = {}
+    for _, t, g in rows[:30]:
+        want[g] = want.get(g, 0) + np.rint(unit(plain_bundle(t)) * langid.GRAIN)
+    prototypes = langid.train(frame)
+    assert prototypes.keys() == want.keys()
+    assert all(np.allclose(prototypes[g], unit(v), atol=1e-5) for g, v in want.items())
+    got = frame.select("text", langid.predictor(spark, prototypes)("text").alias("p")).limit(30).collect()
+    for r in got:
+        near = {g: float(unit(plain_bundle(r.text)) @ unit(v)) for g, v in want.items()}
+        assert near[r.p.lang] == pytest.approx(max(near.values()), abs=1e-5) and r.p.score == pytest.approx(max(0, max(near.values())), abs=1e-5)
+
+
+def test_bundles_of_a_large_alphabet_are_exact_and_small(monkeypatch):
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x9000, 400))) for _ in range(1000)]
+    letters = langid.Letters()
+    tracemalloc.start()
+    got = langid.bundle(texts, letters)
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert peak < 500
+    for i in (0, 7, 999):
+        assert (got[i] == plain_bundle(texts[i])).all()
+    # dense and sparse sums are the same
+    few = ["".join(rng.choice(list("abcde "), 200)) for _ in range(20)]
+    dense = langid.bundle(few, letters)
+    monkeypatch.setattr(langid, "KINDS", 3)
+    monkeypatch.setattr(langid, "CELLS", 5)
+    assert (langid.bundle(few, letters) == dense).all() and (dense[3] == plain_bundle(few[3])).all()
+
+
+def test_junk_languages_teach_nothing(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
+    rows = [(i, "some words here", "aa") for i in range(5)] + [(9, "other words", "bb"), (10, "more", "bb"), (11, "junk", "cc")]
+    found = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(found) == ["aa", "bb"]
+
+
 def test_language_defined_cases(spark):
     rows = spark.createDataFrame(
         [(1, "abc abd", "aa"), (1, "abc abd", "aa"), (2, None, "aa"), (3, "", None), (None, "12 !!", "aa"), (4, "abc " * 50_000, None)],
