@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from gladwire.llm import decontam, imatch, linededup, neardup
@@ -157,40 +158,79 @@ def test_components_of_a_path(spark):
 # --- I-Match -----------------------------------------------------------------
 
 
+def plain_fingerprint(text, lexicon):
+    """Subset by subset, in plain loops; the lexicon holds terms."""
+    hashed = {w: xxhash.xxh3_64_intdigest(w) for w in set(text_words(text))}
+    chosen = {h for w, h in hashed.items() if w in lexicon} or set(hashed.values())
+    signed = sorted(h - 2**64 if h >= 2**63 else h for h in chosen)
+    parts = []
+    for deal in range(imatch.DEALS):
+        for subset in range(imatch.SUBSETS):
+            own = [h for h in signed if ((h * 0x9E3779B97F4A7C15 % 2**64) >> (48 - 16 * deal)) % imatch.SUBSETS == subset]
+            digest = xxhash.xxh3_64_hexdigest(b"".join(h.to_bytes(8, "little", signed=True) for h in own))
+            parts.append(digest[: imatch.DIGITS] if own else imatch.NONE)
+    return "".join(parts) if signed else ""
+
+
+def plain_likeness(a, b):
+    if not a or not b:
+        return float(a == b)
+    parts = [(a[i : i + 4], b[i : i + 4]) for i in range(0, len(a), 4)]
+    parts = [p for p in parts if p != (imatch.NONE, imatch.NONE)]
+    return sum(x == y for x, y in parts) / len(parts)
+
+
 def test_fingerprints_by_hand(spark):
     rng = random.Random(2)
     vocabulary = [f"t{i}" for i in range(200)]
     texts = [" ".join(rng.choices(vocabulary, k=rng.randint(1, 80))) for _ in range(40)]
-    texts += [texts[0], texts[0], None, "", "unheard of words", "é " * 30_001]
-    rows = list(enumerate(texts)) + [(None, "first of all")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    terms = imatch.lexicon(docs)
+    texts += [texts[0], texts[0], None, "", "unheard of words", "é " * 30_001, "文" * 60, "字" * 60]
+    texts += [f"{'長' * 40} z{i}" for i in range(3)]
+    rows = list(enumerate(texts)) + [(None, "first of all"), (None, "t1 t2"), (None, None), (7, "t3 t4 t5")]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, packed string, slice int").repartition(4)
+    known = imatch.lexicon(docs)
     counts = {}
     for _, t in rows:
         for w in set(text_words(t)):
             counts[w] = counts.get(w, 0) + 1
     low, high = max(3, len(rows) * imatch.LEAST_SHARE), max(3, len(rows) * imatch.MOST_SHARE)
-    assert terms == {w for w, n in counts.items() if low <= n <= high}
-    got = {r["doc_id"]: r for r in imatch.compare(docs, terms, slices=5).collect()}
-    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    lexicon = {w for w, n in counts.items() if low <= n <= high}
+    assert known.tolist() == sorted(imatch.term_hashes(b" ".join(lexicon).decode()).tolist()) and any(len(w) > 64 for w in lexicon)
+    got = {(r["doc_id"], r["n_chars"], r["edited_sha256"]): r for r in imatch.compare(docs, known, slices=9).collect()}
     assert len(got) == len(rows)
-    subsets = imatch.Subsets()
+    tie = {r["text"]: r["h"] for r in docs.selectExpr("text", "xxhash64(text) AS h").collect()}
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, tie[r[1]]))
     for at, (i, text) in enumerate(ordered):
         text, follower = text or "", ordered[(at + 1) % len(ordered)][1] or ""
         half = len(text) // 2
         changed = text[: len(text) - half] + follower[:half]
-        own, other, after = (imatch.fingerprint(t, terms, subsets) for t in (text, changed, follower))
-        r = got[i]
-        assert (r["n_chars"], r["edited_sha256"]) == (len(text), hashlib.sha256(changed.encode()).hexdigest())
+        r = got[i, len(text), hashlib.sha256(changed.encode()).hexdigest()]
+        own, other, after = (plain_fingerprint(t, lexicon) for t in (text, changed, follower))
         assert (r["fingerprint"], r["edited_fingerprint"]) == (own, other)
-        assert (r["near_edited"], r["near_next"]) == (imatch.likeness(own, other), imatch.likeness(own, after))
-    assert got[0]["fingerprint"] == got[40]["fingerprint"] and got[40]["near_next"] == 1
-    assert imatch.compare(docs.limit(0), frozenset(), slices=3).collect() == []
+        assert (r["near_edited"], r["near_next"]) == (plain_likeness(own, other), plain_likeness(own, after))
+    # texts without spaces that have no term in common are not alike
+    assert imatch.likeness(plain_fingerprint("文" * 60, lexicon), plain_fingerprint("字" * 60, lexicon)) < 0.1
+    assert imatch.compare(docs.limit(0), known[:0], slices=3).collect() == [] and len(imatch.lexicon(docs.limit(0))) == 0
+
+
+def test_the_band_bounds_the_lexicon(spark, monkeypatch):
+    monkeypatch.setattr(imatch, "MAX_TERMS", 10)
+    rows = [(i, " ".join(f"w{j}" for j in range(i % 40))) for i in range(80)]
+    known = imatch.lexicon(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert len(known) <= 10
+
+
+def test_one_id_with_many_texts_is_cut_into_slices(spark):
+    rows = [(5, f"a{i} b{i % 7}") for i in range(300)] + [(None, f"n{i}") for i in range(200)] + [(i, "x") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    laid = imatch.with_followers(docs, 10).filter("after = 0").groupBy("slice").count().collect()
+    assert len(laid) >= 8 and max(r["count"] for r in laid) < 160
+    assert imatch.compare(docs, imatch.lexicon(docs), slices=10).count() == 510
 
 
 def test_one_document_follows_itself(spark):
     docs = spark.createDataFrame([(4, "abcdef")], "doc_id long, text string")
-    r = imatch.compare(docs, frozenset()).collect()[0]
+    r = imatch.compare(docs, np.zeros(0, np.int64)).collect()[0]
     assert r["edited_sha256"] == hashlib.sha256(b"abcabc").hexdigest()
 
 
