@@ -1,5 +1,6 @@
 import datetime as dt
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -414,3 +415,34 @@ def test_caches_grow_with_the_runs(spark, store):
     assert stored(store, "articles", "url", "category", "summary")[2:] == [
         ("https://a.b/3", "Health", "Hope is a word. Hope is a word. Hope is a word."), ("https://a.b/4", "Sports", "Hope wins")]
     assert len(stored(store, "category_cache", "category")) == 2
+
+
+@pytest.mark.parametrize("name", ["incremental_ingest"])
+def test_arrivals_of_stream_queries_are_written_by_many_tasks(spark, tmp_path, monkeypatch, name):
+    """No task of these queries writes a whole arrival; the rows stay those of the SQL."""
+    import duckdb
+
+    import checks
+    from checks import stores
+
+    checks.load_all()
+    rows = [(i, f"Headline {i % 90} with luck\nbody", "en", f"src{i % 4}", 20 + i % 90) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(4, "doc_id").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 240, 10)], "doc_id long, quality int, toxic int")
+    labels.coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    folders = []
+
+    def noted(spark, purpose):
+        folders.append((purpose, str(tmp_path / f"{purpose}-{len(folders)}")))
+        return folders[-1][1]
+
+    monkeypatch.setattr(stores, "new_folder", noted)
+    got = sorted(map(tuple, checks.QUERIES[name](spark, str(tmp_path)).collect()), key=str)
+    con = duckdb.connect()
+    for table in ("documents", "labels"):
+        con.sql(f"CREATE VIEW {table} AS FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
+    assert got == sorted(con.sql(checks.ORACLES[name]).fetchall(), key=str) and got
+    files = [len(list(Path(path).glob("*.parquet"))) for purpose, path in folders if purpose == "arrivals"]
+    arrivals = 2 if name == "incremental_ingest" else 4
+    assert all(n > arrivals for n in files) and files
