@@ -417,7 +417,7 @@ def test_caches_grow_with_the_runs(spark, store):
     assert len(stored(store, "category_cache", "category")) == 2
 
 
-@pytest.mark.parametrize("name", ["incremental_ingest", "stream_dedup"])
+@pytest.mark.parametrize("name", ["incremental_ingest", "stream_dedup", "stream_dedup_restart"])
 def test_arrivals_of_stream_queries_are_written_by_many_tasks(spark, tmp_path, monkeypatch, name):
     """No task of these queries writes a whole arrival; the rows stay those of the SQL."""
     import duckdb
