@@ -216,6 +216,30 @@ def test_lexicon_of_ten_thousand_phrases_against_regular_expressions(spark, monk
     assert got == want and len(want) > 500
 
 
+def test_large_lexicon_takes_one_pass_over_the_titles(spark, monkeypatch):
+    """However large the lexicon, every different title is read once; hints longer than their opening are held in full."""
+    monkeypatch.setattr(scoring, "LEXICON_CHARS", 50)
+    long = "one two three four five six seven"
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(title):
+        read.add(1)
+        return title
+
+    titles = spark.createDataFrame(
+        [(1, f"So: {long.upper()}!", "x"), (1, f"So: {long.upper()}!", "x"), (2, f"{long}s", "y"), (3, "...", "z"), (4, None, "z"), (5, "w7 (w7)", "z")],
+        "i int, title string, hint string",
+    )
+    hints = [(f"w{i}",) for i in range(200)] + [(long,), ("six seven",), (f"{long} eight",), (long.title(),), (" (",), ("",), ("(w7",)]
+    got = scoring.match_lexicon(titles.withColumn("title", counted("title")), spark.createDataFrame(hints, "hint string"))
+    assert got.columns == ["i", "title", "hint"]
+    want = [(1, long), (1, long.title()), (1, "six seven"), (1, "")] * 2 + [(2, ""), (5, "w7"), (5, " ("), (5, "")]
+    assert rows_of(got, "i", "hint") == sorted(want, key=repr)
+    # once to take them apart, once to give the rows their hints; an expression may be evaluated twice in a pass
+    assert read.value <= 4 * 6
+
+
 def test_match_lexicon_finds_words_and_phrases(spark):
     titles = spark.createDataFrame([(1, "A Record High win"), (2, "record-high"), (3, "c++ vs c"), (4, None)], "i int, title string")
     lexicon = spark.createDataFrame([("record high",), ("win",), ("c",), ("Win",)], "hint string")
