@@ -38,6 +38,21 @@ def test_pieces_parity_and_round_trip(spark):
     assert pieces.tokenized(docs.limit(0)).collect() == []
 
 
+@no_model
+def test_pieces_marks_and_spaces_are_those_of_the_whole_backend():
+    """Marks are set and taken away outside of the backend, with its ids and texts."""
+    import random
+
+    model, rng = Path(pieces.MODEL).read_bytes(), random.Random(5)
+    signs = [" ", "  ", "\n", "a", "the", "é", "▁", "▁▁", "\t", "日", "🙂", "<0x0A>", "<s>", "\x00"]
+    texts = ["", " ", "▁", *("".join(rng.choices(signs, k=rng.randint(0, 30))) for _ in range(500))]
+    codec, whole = pieces.Codec(model, 1), pieces.build(pieces.parse(model))
+    codec.encoder = None
+    ids = codec.encode(texts)
+    assert ids == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert codec.decode(ids) == whole.decode_batch(ids, skip_special_tokens=False)
+
+
 @no_model
 def test_pieces_of_every_text_are_verified(spark, monkeypatch):
     texts = [f"text {i} é" for i in range(40)] + ["text 0 é", None]
