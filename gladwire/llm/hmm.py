@@ -8,9 +8,9 @@ symbols times the shares of its rare words.
 
 Baum-Welch: every task computes expected counts of its texts with the scaled
 forward and backward recursions, and the counts are summed over the
-partitions. Every round covers all training texts: their symbols are written
-once and read by each round, and texts that a batch holds several times are
-counted by their number of copies.
+partitions. Every round covers all training texts, and texts that a batch holds several times are
+counted by their number of copies. Texts are taken apart twice, for the counts of words and for their
+places in the vocabulary; the places are written once and read by each round and by the scoring.
 
 Counts of the most frequent words are broadcast, at most ``KNOWN``; the other
 words of each text are looked up by a join. Equal texts ask once per task.
@@ -115,16 +115,19 @@ def expected(model: Model, texts: list[np.ndarray], into: Model, times: np.ndarr
         alpha *= times[np.arange(len(flat)) - np.repeat(offsets[:-1], running)][:, None]
     emit = np.ascontiguousarray(model.emit.T)[flat]
     emit /= scale[:, None]
-    gamma = np.empty_like(alpha)
-    beta = np.ones((0, alpha.shape[1]))
+    gamma = alpha.copy()
+    beta, back, pairs = np.ones((0, alpha.shape[1])), np.ascontiguousarray(model.move.T), np.zeros_like(model.move)
     for t in reversed(range(len(running))):
-        lo, hi = offsets[t], offsets[t + 1]
-        own = np.ones((running[t], alpha.shape[1]))
-        own[: len(beta)] = beta @ model.move.T
-        gamma[lo:hi] = alpha[lo:hi] * own
+        lo, going = offsets[t], len(beta)
+        if going:
+            own = beta @ back
+            gamma[lo : lo + going] *= own
+        beta = emit[lo : offsets[t + 1]]
+        if going:
+            beta[:going] *= own
         if t:
-            beta = own * emit[lo:hi]
-            into.move += (alpha[offsets[t - 1] : offsets[t - 1] + running[t]].T @ beta) * model.move
+            pairs += alpha[offsets[t - 1] : offsets[t - 1] + running[t]].T @ beta
+    into.move += pairs * model.move
     into.start += gamma[: running[0]].sum(axis=0)
     for s in range(alpha.shape[1]):
         into.emit[s] += np.bincount(flat, weights=gamma[:, s], minlength=into.emit.shape[1])
@@ -168,8 +171,12 @@ class Vocabulary:
         return places, [words[i] for i in np.flatnonzero(places < 0)]
 
     def as_symbols(self, places: np.ndarray) -> np.ndarray:
-        out = np.where((places < 0) | (places >= self.symbols), self.rare, places)
-        return np.append(out, self.end)
+        return as_symbols(places, self.rare, self.end)
+
+
+def as_symbols(places: np.ndarray, rare: int, end: int) -> np.ndarray:
+    """The symbols of a text: words without one of their own are rare, and the end follows."""
+    return np.append(np.where((places < 0) | (places >= rare), rare, places), end)
 
 
 def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
@@ -180,29 +187,60 @@ def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
     return Vocabulary([w for w, _ in most], [c for _, c in most], n, v, ends)
 
 
-def _symbols(texts: DataFrame, vocabulary) -> DataFrame:
-    """``symbols, times``: the symbols of the texts of a batch, and how many are equal."""
+def _coded(docs: DataFrame, kept: dict[str, str], trains: Column, vocabulary) -> DataFrame:
+    """Columns of ``docs`` but ``text`` under other names, and what training and scoring need of each text.
+
+    ``places`` are those of its words; ``asked`` and ``times`` are its words that are not in the broadcast
+    part, given once per text and task. ``symbols`` and ``copies`` are given for training texts of a batch, once per text.
+    """
+    own = docs.select("text", F.coalesce(trains, F.lit(False)), *(F.col(f"`{c}`").alias(n) for c, n in kept.items()))
+    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in own.schema.fields[2:])
 
     def encode(batches):
         known = vocabulary.value
+        seen: set[bytes] = set()
         for batch in batches:
-            copies = Counter(batch.column(0).to_pylist())
+            texts = [t or "" for t in batch.column(0).to_pylist()]
+            training = Counter(t for t, yes in zip(texts, batch.column(1).to_pylist(), strict=True) if yes)
+            coded: dict[str, tuple] = {}
+            asked, times, copies = [], [], []
+            for text in texts:
+                first = text not in coded
+                if first:
+                    coded[text] = (_key(text), *known.places(text))
+                key, _, others = coded[text]
+                own = Counter(others) if first and key not in seen else {}
+                if len(seen) >= 200_000:
+                    seen.clear()
+                seen.add(key)
+                asked.append(list(own))
+                times.append(list(own.values()))
+                copies.append(training[text] if first else 0)
             yield {
-                "symbols": [known.as_symbols(known.places(t)[0]).astype(np.uint32).tobytes() for t in copies],
-                "times": list(copies.values()),
+                **{name: batch.column(i + 2) for i, name in enumerate(kept.values())},
+                "key": [coded[t][0] for t in texts], "places": [coded[t][1].astype(np.int32).tobytes() for t in texts],
+                "asked": asked, "times": times, "copies": copies,
             }
 
-    return arrow_rows(texts.select("text"), "symbols binary, times bigint", encode)
+    added = "key binary, places binary, asked array<binary>, times array<bigint>, copies bigint"
+    return arrow_rows(own, schema + added, encode)
 
 
 def train(texts: DataFrame, vocabulary: Vocabulary) -> Model:
     """Baum-Welch over column ``text``."""
-    spark, size = texts.sparkSession, vocabulary.symbols + 2
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
+    return _fitted(written(_coded(texts.select("text"), {}, F.lit(True), shared), "coded"), vocabulary)
+
+
+def _fitted(coded: DataFrame, vocabulary: Vocabulary) -> Model:
+    """Baum-Welch over the rows of ``places, copies`` that have copies."""
+    spark, size = coded.sparkSession, vocabulary.symbols + 2
     rng = np.random.default_rng(SEED)
     model = normalised(
         Model(np.ones(STATES), np.ones((STATES, STATES)) + 40 * np.eye(STATES), rng.random((STATES, size)) + 0.5)
     )
-    coded = written(_symbols(texts, spark.sparkContext.broadcast(vocabulary)), "symbols")
+    rare, end = vocabulary.rare, vocabulary.end
+    coded = coded.filter("copies > 0").select("places", "copies")
     for _ in range(ROUNDS):
         now = spark.sparkContext.broadcast(model)
 
@@ -210,7 +248,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> Model:
             model = now.value
             sums = Model(*(np.zeros_like(x) for x in (model.start, model.move, model.emit)))
             for batch in batches:
-                every = [np.frombuffer(s, dtype=np.uint32) for s in batch.column(0).to_pylist()]
+                every = [as_symbols(np.frombuffer(p, dtype=np.int32), rare, end) for p in batch.column(0).to_pylist()]
                 times = batch.column(1).to_numpy()
                 lengths = np.array([len(s) for s in every])
                 for block in sequences(lengths):
@@ -242,59 +280,41 @@ def score(docs: DataFrame, trains: Column) -> DataFrame:
     rows = training.count()
     counts = written(word_counts(training), "word-counts")
     known = vocabulary(counts, rows)
-    shared = spark.sparkContext.broadcast((known, train(training, known)))
     kept = [c for c in docs.columns if c != "text"]
     taken = {c: f"_{i}" for i, c in enumerate(kept)}
-
-    own = docs.select("text", *(F.col(f"`{c}`").alias(taken[c]) for c in kept))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema if f.name != "text")
+    coded = written(_coded(docs, taken, trains, spark.sparkContext.broadcast(known)), "coded")
+    shared = spark.sparkContext.broadcast((known, _fitted(coded, known)))
+    own = coded.select("places", "key", *taken.values())
+    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in own.schema.fields[2:])
 
     def first(batches):
         known, model = shared.value
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            places = [known.places(t)[0] for t in texts]
-            every = [known.as_symbols(p) for p in places]
+            places = [np.frombuffer(p, dtype=np.int32) for p in batch.column(0).to_pylist()]
+            every = [as_symbols(p, known.rare, known.end) for p in places]
             base = [_base(known, p) for p in places]
-            hmm = np.zeros(len(texts))
+            hmm = np.zeros(len(places))
             for block in sequences(np.array([len(s) for s in every])):
                 hmm[block] = log10_likelihoods(model, [every[i] for i in block])
             yield {
-                **{name: batch.column(i + 1) for i, name in enumerate(taken.values())},
-                "key": [_key(t) for t in texts],
+                **{name: batch.column(i + 2) for i, name in enumerate(taken.values())},
+                "key": batch.column(1),
                 "n_tokens": [len(p) + 1 for p in places],
                 "n_known": [b[0] for b in base], "base": [b[1] for b in base],
                 "shares": [b[2] for b in base], "n_rare": [b[3] for b in base], "hmm": hmm.tolist(),
             }
 
-    def rare_words(batches):
-        known = shared.value[0]
-        asked: set[bytes] = set()
-        for batch in batches:
-            keys, found, times = [], [], []
-            for text in batch.column(0).to_pylist():
-                key = _key(text)
-                if key in asked:
-                    continue
-                if len(asked) >= 200_000:
-                    asked.clear()
-                asked.add(key)
-                for word, n in Counter(known.places(text)[1]).items():
-                    keys.append(key)
-                    found.append(word)
-                    times.append(n)
-            yield {"key": keys, "word": found, "times": times}
-
     scored = written(
         arrow_rows(
             own,
-            (schema + ", " if schema else "")
-            + "key binary, n_tokens bigint, n_known bigint, base double, shares double, n_rare bigint, hmm double",
+            schema + "key binary, n_tokens bigint, n_known bigint, base double, shares double, n_rare bigint, hmm double",
             first,
         ),
         "scored",
     )
-    asked = arrow_rows(docs.select("text"), "key binary, word binary, times bigint", rare_words)
+    asked = coded.select("key", F.explode(F.arrays_zip("asked", "times")).alias("a")).select(
+        "key", F.col("a.asked").alias("word"), "a.times"
+    )
     # An unknown word adds log10(0 + 1) = 0, so the inner join is enough.
     found = (
         asked.join(counts, "word").groupBy("key", "word")

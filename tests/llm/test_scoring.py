@@ -258,6 +258,19 @@ def test_every_round_covers_all_training_texts(spark, monkeypatch):
         assert np.allclose(own, other, rtol=1e-6, atol=1e-12)
 
 
+def test_texts_are_taken_apart_twice(spark, monkeypatch):
+    """Once for the counts of words and once for all that follows, and every null, copy and extra column is scored."""
+    docs = spark.createDataFrame([(i, None if i % 9 == 4 else f"a b{i % 7} c", None if i % 5 else "x") for i in range(60)], "doc_id long, text string, `key` string")
+    passes, plain = [], hmm.arrow_rows
+    monkeypatch.setattr(hmm, "KNOWN", 3)
+    monkeypatch.setattr(hmm, "arrow_rows", lambda rows, *more: passes.append(rows.columns) or plain(rows, *more))
+    got = hmm.score(docs, F.col("doc_id") % 2 == 0).collect()
+    assert len(got) == 60 and len({r["doc_id"] for r in got}) == 60 and {r["key"] for r in got} == {None, "x"}
+    assert len({(r["score"], r["base_score"], r["n_known"]) for r in got if r["doc_id"] % 9 == 4}) == 1
+    # the counts are made by ``word_counts``
+    assert sum("text" in columns for columns in passes) == 1
+
+
 def test_model_without_training_rows(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = hmm.score(docs, F.lit(False)).collect()
