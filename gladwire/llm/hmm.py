@@ -43,7 +43,10 @@ LONGEST = 64
 ROUNDS = 7
 SEED = 7
 # Tokens that one recursion holds at a time (one text may be longer).
-BLOCK = 200_000
+BLOCK = 600_000
+# Steps between two scalings. Symbols and moves have about ``PRIOR`` / tokens as probability at least, so the
+# nine steps up to the first scaling stay above 1e-252 if a trillion tokens teach.
+SCALED = 8
 # Added to the expected counts: nothing gets probability 0.
 PRIOR = 0.01
 
@@ -69,7 +72,7 @@ def sequences(lengths: np.ndarray) -> list[np.ndarray]:
 def _laid(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols by step, all texts of a step together, how many texts each step has, and offsets.
 
-    ``texts`` come longest first, so those still running are always the first ones.
+    ``texts`` come longest first, so those still running are always the first ones; each holds one symbol at least.
     """
     lengths = np.array([len(t) for t in texts])
     running = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
@@ -81,56 +84,62 @@ def _laid(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def forward(model: Model, texts: list[np.ndarray]):
-    """Scaled forward values, scale of each token, and the layout."""
+    """Forward values, scales by step of the steps that were scaled, what each text has at its end, and the layout.
+
+    Only every ``SCALED``th step is scaled to sum 1; those between shrink by what their symbols have for probability.
+    """
     flat, running, offsets = _laid(texts)
-    alpha = np.ascontiguousarray(model.emit.T)[flat]
-    scale = np.empty(len(flat))
-    for t in range(len(running)):
-        a = alpha[offsets[t] : offsets[t + 1]]
-        if t:
-            before = alpha[offsets[t - 1] : offsets[t - 1] + running[t]]
-            a *= before @ model.move
-        else:
-            a *= model.start
-        c = a.sum(axis=1)
-        a /= c[:, None]
-        scale[offsets[t] : offsets[t + 1]] = c
-    return alpha, scale, flat, running, offsets
+    alpha = np.take(np.ascontiguousarray(model.emit.T), flat, axis=0)
+    alpha[: running[0]] *= model.start
+    moved, scales, ones = np.empty((running[0], alpha.shape[1])), {}, np.ones(alpha.shape[1])
+    for t in range(1, len(running)):
+        a, step = alpha[offsets[t] : offsets[t + 1]], moved[: running[t]]
+        np.dot(alpha[offsets[t - 1] : offsets[t - 1] + running[t]], model.move, out=step)
+        a *= step
+        if t % SCALED == 0:
+            scales[t] = a @ ones
+            a /= scales[t][:, None]
+    last = offsets[np.array([len(t) for t in texts]) - 1] + np.arange(len(texts))
+    return alpha, scales, alpha[last] @ ones, last, flat, running, offsets
 
 
 def log10_likelihoods(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     """Exact log10 probability of each symbol sequence."""
-    _, scale, _, running, offsets = forward(model, texts)
-    out, logs = np.zeros(len(texts)), np.log10(scale)
-    for t in range(len(running)):
-        out[: running[t]] += logs[offsets[t] : offsets[t + 1]]
+    _, scales, ends, *_ = forward(model, texts)
+    out = np.log10(ends)
+    for scale in scales.values():
+        out[: len(scale)] += np.log10(scale)
     return out
 
 
 def expected(model: Model, texts: list[np.ndarray], into: Model, times: np.ndarray | None = None) -> None:
     """Add the expected counts of the texts, each ``times`` its own, to ``into``."""
-    alpha, scale, flat, running, offsets = forward(model, texts)
-    if times is not None and (times != 1).any():
-        # The counts are linear in the forward values.
-        alpha *= times[np.arange(len(flat)) - np.repeat(offsets[:-1], running)][:, None]
-    emit = np.ascontiguousarray(model.emit.T)[flat]
-    emit /= scale[:, None]
-    gamma = alpha.copy()
-    beta, back, pairs = np.ones((0, alpha.shape[1])), np.ascontiguousarray(model.move.T), np.zeros_like(model.move)
+    alpha, scales, ends, last, flat, running, offsets = forward(model, texts)
+    # The counts are linear in the backward values, so the probability of a text and its copies enter at its end.
+    weights = ((1.0 if times is None else times) / ends)[:, None]
+    alpha[last] *= weights
+    emit, back, pairs = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T), np.zeros_like(model.move)
+    own, emitted, going = np.empty((running[0], alpha.shape[1])), np.empty((running[0], alpha.shape[1])), 0
     for t in reversed(range(len(running))):
-        lo, going = offsets[t], len(beta)
-        if going:
-            own = beta @ back
-            gamma[lo : lo + going] *= own
-        beta = emit[lo : offsets[t + 1]]
+        lo, hi, now = offsets[t], offsets[t + 1], running[t]
         if going:
-            beta[:going] *= own
+            # ``emitted`` is that of the next step; the counts of this one take the place of its forward values.
+            np.dot(emitted[:going], back, out=own[:going])
+            alpha[lo : lo + going] *= own[:going]
+        if now > going:
+            own[going:now] = weights[going:now]
         if t:
-            pairs += alpha[offsets[t - 1] : offsets[t - 1] + running[t]].T @ beta
+            beta = emitted[:now]
+            np.take(emit, flat[lo:hi], axis=0, out=beta, mode="clip")
+            beta *= own[:now]
+            if t in scales:
+                beta /= scales[t][:, None]
+            pairs += np.dot(alpha[offsets[t - 1] : offsets[t - 1] + now].T, beta)
+        going = now
     into.move += pairs * model.move
-    into.start += gamma[: running[0]].sum(axis=0)
+    into.start += alpha[: running[0]].sum(axis=0)
     for s in range(alpha.shape[1]):
-        into.emit[s] += np.bincount(flat, weights=gamma[:, s], minlength=into.emit.shape[1])
+        into.emit[s] += np.bincount(flat, weights=alpha[:, s], minlength=into.emit.shape[1])
 
 
 def normalised(counts: Model) -> Model:
@@ -152,7 +161,7 @@ class Vocabulary:
         # What all words without a symbol weigh together, unknown ones (1) included.
         self.rare_weight = max(n + v + 1 - own, 1)
         # log10(c + 1) by place, and its sum needs N + V + 1 once per token.
-        self.logs = [math.log10(c + 1) for c in counts]
+        self.logs = np.array([math.log10(c + 1) for c in counts])
         self.log_all, self.log_rare = math.log10(n + v + 1), math.log10(self.rare_weight)
 
     @property
@@ -171,12 +180,18 @@ class Vocabulary:
         return places, [words[i] for i in np.flatnonzero(places < 0)]
 
     def as_symbols(self, places: np.ndarray) -> np.ndarray:
-        return as_symbols(places, self.rare, self.end)
+        """The symbols of a text: words without one of their own are rare, and the end follows."""
+        return np.append(np.where((places < 0) | (places >= self.rare), self.rare, places), self.end)
 
 
-def as_symbols(places: np.ndarray, rare: int, end: int) -> np.ndarray:
-    """The symbols of a text: words without one of their own are rare, and the end follows."""
-    return np.append(np.where((places < 0) | (places >= rare), rare, places), end)
+def as_symbols(places: list[bytes], rare: int, end: int) -> list[np.ndarray]:
+    """The symbols of each text of a batch, from its places as 32-bit integers."""
+    last = np.int32(-1).tobytes()
+    # Read without a sign, -1 is the greatest of all places.
+    flat = np.minimum(np.frombuffer(last.join([*places, b""]), dtype=np.uint32), rare).astype(np.int32)
+    stops = np.cumsum(np.array([len(p) // 4 + 1 for p in places], dtype=np.int64))
+    flat[stops - 1] = end
+    return [flat[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)] if places else []
 
 
 def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
@@ -248,7 +263,7 @@ def _fitted(coded: DataFrame, vocabulary: Vocabulary) -> Model:
             model = now.value
             sums = Model(*(np.zeros_like(x) for x in (model.start, model.move, model.emit)))
             for batch in batches:
-                every = [as_symbols(np.frombuffer(p, dtype=np.int32), rare, end) for p in batch.column(0).to_pylist()]
+                every = as_symbols(batch.column(0).to_pylist(), rare, end)
                 times = batch.column(1).to_numpy()
                 lengths = np.array([len(s) for s in every])
                 for block in sequences(lengths):
@@ -290,8 +305,9 @@ def score(docs: DataFrame, trains: Column) -> DataFrame:
     def first(batches):
         known, model = shared.value
         for batch in batches:
-            places = [np.frombuffer(p, dtype=np.int32) for p in batch.column(0).to_pylist()]
-            every = [as_symbols(p, known.rare, known.end) for p in places]
+            stored = batch.column(0).to_pylist()
+            places = [np.frombuffer(p, dtype=np.int32) for p in stored]
+            every = as_symbols(stored, known.rare, known.end)
             base = [_base(known, p) for p in places]
             hmm = np.zeros(len(places))
             for block in sequences(np.array([len(s) for s in every])):
@@ -335,12 +351,9 @@ def score(docs: DataFrame, trains: Column) -> DataFrame:
 
 def _base(known: Vocabulary, places: np.ndarray) -> tuple[int, float, float, int]:
     """Known tokens, sum of log10(c+1) of base and of rare words, and how many are rare."""
-    logs = known.logs
-    inside = places[places >= 0].tolist()
-    end = math.log10(known.ends + 1)
-    rare = [i for i in inside if i >= known.symbols]
-    shares = sum(logs[i] for i in rare)
+    inside = places[places >= 0]
+    logs, rare = known.logs[inside], inside >= known.symbols
     return (
-        len(inside) + (known.ends > 0), sum(logs[i] for i in inside) + end, shares,
-        len(places) - len(inside) + len(rare),
+        len(inside) + (known.ends > 0), float(logs.sum()) + math.log10(known.ends + 1), float(logs[rare].sum()),
+        len(places) - len(inside) + int(rare.sum()),
     )

@@ -196,6 +196,51 @@ def test_forward_is_exact_and_training_climbs():
         model = hmm.normalised(sums)
 
 
+def test_scaling_every_eighth_step_changes_no_count():
+    """Against recursions that scale every step, with rare symbols in a row, copies and texts of many lengths."""
+    rng = np.random.default_rng(2)
+    shape = (hmm.STATES, 6)
+    model = hmm.Model(rng.random(hmm.STATES), rng.random((hmm.STATES, hmm.STATES)) ** 9, rng.random(shape))
+    model.emit[:, 4:] *= 1e-14
+    model = hmm.Model(*(x / x.sum(axis=-1, keepdims=True) for x in (model.start, model.move, model.emit)))
+    texts = [np.full(40, 4), *(rng.integers(0, 6, k) for k in (33, 25, 17, 16, 16, 9, 8, 8, 7, 1, 1))]
+    times = np.array([1, 3, 2, 1, 0, 1, 1, 5, 1, 2, 1, 4])
+    want = hmm.Model(*(np.zeros_like(x) for x in (model.start, model.move, model.emit)))
+    logs = []
+    for text, copies in zip(texts, times, strict=True):
+        alpha, scale = np.empty((len(text), hmm.STATES)), np.empty(len(text))
+        for t, symbol in enumerate(text):
+            a = (alpha[t - 1] @ model.move if t else model.start) * model.emit[:, symbol]
+            scale[t] = a.sum()
+            alpha[t] = a / scale[t]
+        logs.append(np.log10(scale).sum())
+        beta = np.ones(hmm.STATES)
+        for t in reversed(range(len(text))):
+            want.emit[:, text[t]] += copies * alpha[t] * beta
+            emitted = model.emit[:, text[t]] * beta / scale[t]
+            if t:
+                want.move += copies * np.outer(alpha[t - 1], emitted) * model.move
+                beta = model.move @ emitted
+            else:
+                want.start += copies * alpha[0] * beta
+    got = hmm.Model(*(np.zeros_like(x) for x in (model.start, model.move, model.emit)))
+    hmm.expected(model, texts, got, times)
+    for own, other in ((got.start, want.start), (got.move, want.move), (got.emit, want.emit)):
+        assert np.allclose(own, other, rtol=1e-10, atol=1e-200)
+    assert np.allclose(hmm.log10_likelihoods(model, texts), logs, rtol=1e-12)
+    # The steps in between are left alone: most of the work of a step was its scaling.
+    assert list(hmm.forward(model, texts)[1]) == [8, 16, 24, 32]
+
+
+def test_symbols_of_a_batch_are_those_of_its_texts():
+    known = hmm.Vocabulary([b"a", b"b", b"c"], [3, 2, 1], 9, 3, 3)
+    known.symbols = 2
+    places = [np.array(p, dtype=np.int32) for p in ([0, 2, -1, 1], [], [-1], [], [2**31 - 1, 0])]
+    got = hmm.as_symbols([p.tobytes() for p in places], known.rare, known.end)
+    assert [g.tolist() for g in got] == [known.as_symbols(p).tolist() for p in places]
+    assert hmm.as_symbols([], known.rare, known.end) == []
+
+
 @pytest.mark.parametrize("known", [3, hmm.KNOWN])
 def test_base_score_against_counting(spark, monkeypatch, known):
     monkeypatch.setattr(hmm, "KNOWN", known)
