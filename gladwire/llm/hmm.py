@@ -43,7 +43,7 @@ LONGEST = 64
 ROUNDS = 7
 SEED = 7
 # Tokens that one recursion holds at a time (one text may be longer).
-BLOCK = 600_000
+BLOCK = 400_000
 # Tokens whose counts are added up at a time, so that they stay in a processor's cache.
 COUNTED = 32_768
 # Steps between two scalings. Symbols and moves have about ``PRIOR`` / tokens as probability at least, so the
@@ -193,7 +193,7 @@ def as_symbols(places: list[bytes], rare: int, end: int) -> list[np.ndarray]:
     """The symbols of each text of a batch, from its places as 32-bit integers."""
     last = np.int32(-1).tobytes()
     # Read without a sign, -1 is the greatest of all places.
-    flat = np.minimum(np.frombuffer(last.join([*places, b""]), dtype=np.uint32), rare).astype(np.int32)
+    flat = np.minimum(np.frombuffer(last.join([*places, b""]), dtype=np.uint32), np.uint32(rare)).view(np.int32)
     stops = np.cumsum(np.array([len(p) // 4 + 1 for p in places], dtype=np.int64))
     flat[stops - 1] = end
     return [flat[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)] if places else []
