@@ -446,3 +446,49 @@ def test_arrivals_of_stream_queries_are_written_by_many_tasks(spark, tmp_path, m
     files = [len(list(Path(path).glob("*.parquet"))) for purpose, path in folders if purpose == "arrivals"]
     arrivals = 2 if name == "incremental_ingest" else 4
     assert all(n > arrivals for n in files) and files
+
+
+def test_incremental_ingest_uses_whole_texts(spark, tmp_path, monkeypatch):
+    """A word that decides the category stands behind the title and far behind the head of the body."""
+    import duckdb
+
+    import checks
+    from checks import stores
+
+    checks.load_all()
+    tails = ("no such word", "at last the end")
+    texts = {i: f"Headline {i} with luck\n" + "lorem ipsum " * 700 + tails[i % 2] for i in range(24)}
+    docs = spark.createDataFrame([(i, texts[i], "en", f"src{i % 4 + 1}", 20 + i) for i in texts],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(2, "doc_id").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
+    labels.coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    folders = []
+
+    def noted(spark, purpose):
+        folders.append((purpose, str(tmp_path / f"{purpose}-{len(folders)}")))
+        return folders[-1][1]
+
+    monkeypatch.setattr(stores, "new_folder", noted)
+    got = sorted(map(tuple, checks.QUERIES["incremental_ingest"](spark, str(tmp_path)).collect()), key=str)
+    con = duckdb.connect()
+    for table in ("documents", "labels"):
+        con.sql(f"CREATE VIEW {table} AS FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
+    assert got == sorted(con.sql(checks.ORACLES["incremental_ingest"]).fetchall(), key=str)
+    assert {title: category for _, title, category, _ in got if category} == {
+        f"Headline {i} with luck": ("Sports", "Health")[i % 2] for i in texts if i}
+    for table in ("articles", "crawled_articles"):
+        rows = ArticleStore(spark, dict(folders)["store"]).scan(table, ["title", "content"]).collect()
+        assert {r.title: r.content for r in rows} == {f"Headline {i} with luck": text for i, text in texts.items()}
+
+
+@pytest.mark.parametrize("caches", [False, True])
+def test_topics_of_heads_or_whole_bodies(spark, store, caches):
+    """The scorer gets the first 500 characters of a body unless a run asks for more."""
+    def scorer(text):
+        return F.create_map(F.lit("Health"), F.contains(text, F.lit("the end")).cast("double"), F.lit("Sports"), F.lit(0.5))
+
+    for i, (chars, wanted) in enumerate([({}, "Sports"), ({"topic_chars": None}, "Health"), ({"topic_chars": 600}, "Sports")]):
+        rows = batch(spark, article(f"Cup wins {i}", f"u{i}", body="x" * 1000 + " the end"))
+        run_batch(store, rows, RunOptions(topic_scorer=scorer, use_caches=caches, **chars))
+        assert store.scan("articles").filter(F.col("url") == f"u{i}").collect()[0].category == wanted
